@@ -16,7 +16,14 @@ from tidewell.functions import json_text
 # Fixed values of the stored forms.
 TAG = "enc:v1:"
 VERSIONED = r"^([0-9]+):([A-Za-z0-9+/=]+)$"
-CBC, PADDING = F.lit("CBC"), F.lit("PKCS")
+
+
+def _seal(value: Column, key: Column, iv: Column) -> Column:
+    return F.aes_encrypt(value, key, F.lit("CBC"), F.lit("PKCS"), iv)
+
+
+def _open(blob: Column, key: Column) -> Column:
+    return F.aes_decrypt(blob, key, F.lit("CBC"), F.lit("PKCS")).cast("string")
 
 
 def key_ref(wrapped_key: Column) -> Column:
@@ -26,20 +33,20 @@ def key_ref(wrapped_key: Column) -> Column:
 
 def encrypt_tagged(value: Column, key: Column, iv: Column) -> Column:
     """Text -> tagged form.  Spark writes the given IV in front of the ciphertext."""
-    return F.concat(F.lit(TAG), F.base64(F.aes_encrypt(value, key, CBC, PADDING, iv)))
+    return F.concat(F.lit(TAG), F.base64(_seal(value, key, iv)))
 
 
 def decrypt_tagged(value: Column, key: Column) -> Column:
     """Tagged form -> text; untagged text passes through.  A wrong key fails the query, it is never hidden."""
     blob = F.unbase64(F.substring(value, F.lit(len(TAG) + 1), F.length(value)))
-    plain = F.aes_decrypt(blob, key, CBC, PADDING).cast("string")
+    plain = _open(blob, key)
     return F.when(F.startswith(value, F.lit(TAG)), plain).otherwise(value)
 
 
 def try_decrypt_tagged(value: Column, key: Column) -> Column:
     """As :func:`decrypt_tagged`, but NULL where the key does not fit; only for jobs with a quarantine output."""
     blob = F.unbase64(F.substring(value, F.lit(len(TAG) + 1), F.length(value)))
-    plain = F.try_aes_decrypt(blob, key, CBC, PADDING).cast("string")
+    plain = F.try_aes_decrypt(blob, key, F.lit("CBC"), F.lit("PKCS")).cast("string")
     return F.when(F.startswith(value, F.lit(TAG)), plain).otherwise(value)
 
 
@@ -50,7 +57,7 @@ def decrypt_properties(text: Column, key: Column) -> Column:
 
 def encrypt_versioned(value: Column, version: Column, key: Column, iv: Column) -> Column:
     """Deterministic form for lookups: the same text, key version and IV always give the same ciphertext."""
-    sealed = F.aes_encrypt(value, key, CBC, PADDING, iv)
+    sealed = _seal(value, key, iv)
     body = F.substring(sealed, F.lit(17), F.length(sealed))
     return F.concat(version.cast("string"), F.lit(":"), F.base64(body))
 
@@ -69,7 +76,7 @@ def decrypt_versioned(value: Column, ring: Column) -> Column:
     entry = F.try_element_at(ring, version)
     blob = F.concat(entry["iv"], body)
     plain = F.when(entry.isNull(), F.raise_error(F.concat(F.lit("unknown key version "), version))).otherwise(
-        F.aes_decrypt(blob, entry["key"], CBC, PADDING).cast("string")
+        _open(blob, entry["key"])
     )
     return F.when(value.rlike(VERSIONED), plain).otherwise(value)
 

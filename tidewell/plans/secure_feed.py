@@ -56,6 +56,6 @@ def open_properties(log: DataFrame, ring: DataFrame, keep: DataFrame, stored: st
 
     ``keep`` has one row per tenant: (tenant_id, keep array<string>).
     """
-    joined = log.join(keep, "tenant_id", "left")
-    opened = ciphers.decrypt_property_map(json_text.text_map(F.col(stored)), ring_of(ring, "props"), F.col("keep"))
-    return joined.withColumn(plain, opened).drop(stored, "keep")
+    joined = log.join(keep, "tenant_id", "left").withColumn("_ring", ring_of(ring, "props"))
+    opened = ciphers.decrypt_property_map(json_text.text_map(F.col(stored)), F.col("_ring"), F.col("keep"))
+    return joined.withColumn(plain, opened).drop(stored, "keep", "_ring")

@@ -125,9 +125,8 @@ def _membership(df: DataFrame, tiles: Sequence[Tile], at: Column, starts: Mappin
             )
         )
     widest = starts[max(t.minutes for t in tiles)]
-    return df.where(at >= widest).withColumn("_t", F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull()))).select(
-        "*", "_t.*"
-    ).drop("_t")
+    joined = df.where(at >= widest).withColumn("_t", F.explode(F.array(*cells)))
+    return joined.where(F.col("_t").isNotNull()).select("*", "_t.*").drop("_t")
 
 
 def _starts(tiles: Sequence[Tile], as_of: Column, aligned: bool) -> dict[int, Column]:
@@ -159,7 +158,9 @@ def tiles_from_rollup(rollup: DataFrame, as_of: Column, tiles: Sequence[Tile] =
     return member.groupBy("tile", "key").agg(
         F.sum("events").alias("events"),
         F.sum("revenue").alias("revenue"),
-        F.hll_sketch_estimate(F.hll_union_agg(F.when(F.col("count_users"), F.col("users")))).alias("users"),
+        F.when(
+            F.max("count_users"), F.hll_sketch_estimate(F.hll_union_agg(F.when(F.col("count_users"), F.col("users"))))
+        ).alias("users"),
         epoch_seconds(F.max("newest")).alias("newest"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("lake", "serving", "changes", "masking", "secrets")
+MODULES = ("lake", "serving", "changes", "masking", "secrets", "costs")
 
 
 def load_all():

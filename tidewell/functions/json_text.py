@@ -82,6 +82,15 @@ def _render(pairs: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    A long expression in a plain projection is copied into every filter and projection above it, which makes plans
+    explode.  A one-element ``inline`` is a step of its own that nothing is merged into.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _names(names: Column | Sequence[str]) -> Column:
     return names if isinstance(names, Column) else F.array(*[F.lit(n) for n in names])
 

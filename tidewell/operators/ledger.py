@@ -102,17 +102,18 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
     ``records`` carries (window, record).  A metric that is absent is 0, an absent text is ''.  A record
     that lacks a required field or has an unusable total has ``usable = false``.
     """
-    raw = records.withColumn("_f", json_text.raw_map(F.col("record")))
+    raw = json_text.once(records, {"_f": json_text.raw_map(F.col("record"))})
     text = lambda name: F.coalesce(
         F.nullif(json_text.scalar_text(F.try_element_at("_f", F.lit(name))), F.lit("null")), F.lit("")
     )
     given = lambda name: F.coalesce(F.try_element_at("_f", F.lit(name)), F.lit("null")) != "null"
     total_field = spec.field("total")
     metrics_text = F.coalesce(F.try_element_at("_f", F.lit("metrics")), F.lit("null"))
+    nothing = F.create_map().cast("map<string,string>")
+    metrics = F.when(F.startswith(metrics_text, F.lit("{")), json_text.raw_map(metrics_text)).otherwise(nothing)
+    raw = json_text.once(raw, {"_metrics_text": metrics_text, "_m": metrics})
     base = raw.select(
         "window",
-        "record",
-        "_f",
         text("date").alias("_date"),
         text("entityType").alias("entity_type"),
         text("entityId").alias("entity_id"),
@@ -127,10 +128,8 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
             F.array(*[F.when(~given(n), F.lit(n)) for n in ("date", "entityType", "entityId", total_field)]),
             lambda n: n.isNotNull(),
         ).alias("_absent"),
-        metrics_text.alias("_metrics_text"),
-        F.when(F.startswith(metrics_text, F.lit("{")), json_text.raw_map(metrics_text))
-        .otherwise(F.create_map().cast("map<string,string>"))
-        .alias("_m"),
+        "_metrics_text",
+        "_m",
     )
     allowed = F.create_map(
         *[
@@ -170,6 +169,7 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
     failures = F.when(usable, F.concat(whole_record, unexpected, bad_value)).otherwise(whole_record)
     number = lambda c: F.when(is_number(c), c.cast("double"))
     metric = lambda m: F.coalesce(number(F.try_element_at("_m", F.lit(spec.field(m)))), F.lit(0.0))
+    base = base.select("*", F.inline(F.array(F.struct(usable.alias("usable"), failures.alias("failures")))))
     return base.select(
         "window",
         F.to_date(F.substring(F.when(dated, F.col("_date")), 1, 10)).alias("date"),
@@ -187,13 +187,15 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
             F.map_values("_m"), F.lit(0.0), lambda acc, v: acc + F.coalesce(number(v), F.lit(0.0))
         ).alias("metric_sum"),
         "service_id_missing",
-        usable.alias("usable"),
-        failures.alias("failures"),
+        "usable",
+        "failures",
     )
 
 
 def record_failures(flat: DataFrame) -> DataFrame:
-    return flat.select("window", F.explode("failures").alias("failure"))
+    # Outer, then a filter on what came out: an inner explode would make the optimizer infer a filter on the array and
+    # copy the whole validation expression into it.
+    return flat.select("window", F.explode_outer("failures").alias("failure")).where(F.col("failure").isNotNull())
 
 
 def control_totals(flat: DataFrame, headers: DataFrame) -> DataFrame:

@@ -58,4 +58,4 @@ def open_properties(log: DataFrame, ring: DataFrame, keep: DataFrame, stored: st
     """
     joined = log.join(keep, "tenant_id", "left").withColumn("_ring", ring_of(ring, "props"))
     opened = ciphers.decrypt_property_map(json_text.text_map(F.col(stored)), F.col("_ring"), F.col("keep"))
-    return joined.withColumn(plain, opened).drop(stored, "keep", "_ring")
+    return json_text.once(joined, {plain: opened}).drop(stored, "keep", "_ring")

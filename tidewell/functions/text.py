@@ -14,10 +14,10 @@ def readable_bytes(size: Column) -> Column:
     number = size.cast("double")
     out = F.when(number < 1024, F.concat(number.cast("bigint").cast("string"), F.lit(" " + SIZE_UNITS[0])))
     for power, unit in enumerate(SIZE_UNITS[1:-1], start=1):
-        out = out.when(number < 1024.0 ** (power + 1), F.format_string("%.2f " + unit, number / 1024.0**power))
+        out = out.when(number < 1024.0 ** (power + 1), F.format_string("%.2f " + unit, F.bround(number / 1024.0**power, 2)))
     top = len(SIZE_UNITS) - 1
     return F.when(number.isNull(), None).otherwise(
-        out.otherwise(F.format_string("%.2f " + SIZE_UNITS[top], number / 1024.0**top))
+        out.otherwise(F.format_string("%.2f " + SIZE_UNITS[top], F.bround(number / 1024.0**top, 2)))
     )
 
 

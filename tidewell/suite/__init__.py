@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("lake", "serving", "changes", "masking", "secrets", "costs")
+MODULES = ("lake", "serving", "changes", "masking", "secrets", "costs", "logs", "quality", "files", "streams", "star")
 
 
 def load_all():

@@ -9,7 +9,7 @@ variant map: same meaning, re-rendered text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,11 @@ _OBJECT = r"^\s*+\{\s*+(?:" + _PAIR + r"\s*+(?:,\s*+(?=\")|(?=\})))*+\}\s*+$"
 _PAIRS_TYPE = "array<struct<raw:string,key:string,value:string>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Compute ``value`` once and use it several times in ``body``: the lambda of a one-element array is the binding."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _unescape(raw: Column) -> Column:
     """Inner text of a JSON string -> the string it stands for; only escaped text pays for a parse."""
     parsed = F.get(F.from_json(F.concat(F.lit('["'), raw, F.lit('"]')), "array<string>"), F.lit(0))
@@ -98,9 +103,12 @@ def _names(names: Column | Sequence[str]) -> Column:
 def drop_keys(text: Column, names: Column | Sequence[str]) -> Column:
     """Remove top-level keys.  With nothing to remove the original text comes back, spaces included."""
     wanted = _names(names)
-    pairs = object_pairs(text)
-    kept = F.filter(pairs, lambda p: ~F.array_contains(wanted, p["key"]))
-    return F.when(F.size(kept) == F.size(pairs), text).otherwise(_render(kept))
+
+    def rebuilt(pairs: Column) -> Column:
+        kept = F.filter(pairs, lambda p: ~F.array_contains(wanted, p["key"]))
+        return let(kept, lambda k: F.when(F.size(k) == F.size(pairs), text).otherwise(_render(k)))
+
+    return let(object_pairs(text), rebuilt)
 
 
 def path_array(paths: Sequence[tuple[str, str]]) -> Column:
@@ -115,20 +123,25 @@ def drop_paths(text: Column, paths: Column) -> Column:
     text without any of the classes comes back unchanged.
     """
     classes = F.transform(paths, lambda p: p["class"])
-    pairs = object_pairs(text)
+
+    def cleaned_value(pair: Column, fields: Column) -> Column:
+        items = F.transform(array_items(pair["value"]), lambda item: drop_keys(item, fields))
+        return F.when(
+            F.startswith(pair["value"], F.lit("[")), F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+        ).otherwise(drop_keys(pair["value"], fields))
 
     def cleaned(pair: Column) -> Column:
         fields = F.transform(F.filter(paths, lambda p: p["class"] == pair["key"]), lambda p: p["field"])
-        items = F.transform(array_items(pair["value"]), lambda item: drop_keys(item, fields))
-        value = (
-            F.when(F.size(fields) == 0, pair["value"])
-            .when(F.startswith(pair["value"], F.lit("[")), F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")))
-            .otherwise(drop_keys(pair["value"], fields))
-        )
+        value = F.when(
+            F.array_contains(classes, pair["key"]), let(fields, lambda f: cleaned_value(pair, f))
+        ).otherwise(pair["value"])
         return F.struct(pair["raw"].alias("raw"), pair["key"].alias("key"), value.alias("value"))
 
-    touched = F.exists(pairs, lambda p: F.array_contains(classes, p["key"]))
-    return F.when(touched, _render(F.transform(pairs, cleaned))).otherwise(text)
+    def rebuilt(pairs: Column) -> Column:
+        touched = F.exists(pairs, lambda p: F.array_contains(classes, p["key"]))
+        return F.when(touched, _render(F.transform(pairs, cleaned))).otherwise(text)
+
+    return let(object_pairs(text), rebuilt)
 
 
 def has_path(text: Column, paths: Column) -> Column:
@@ -137,18 +150,17 @@ def has_path(text: Column, paths: Column) -> Column:
     def holds(value: Column, field: Column) -> Column:
         return F.exists(object_pairs(value), lambda q: q["key"] == field)
 
-    pairs = object_pairs(text)
-    return F.exists(
-        paths,
-        lambda path: F.exists(
-            pairs,
-            lambda pair: (pair["key"] == path["class"])
-            & (
-                holds(pair["value"], path["field"])
-                | F.exists(array_items(pair["value"]), lambda item: holds(item, path["field"]))
+    def found(pairs: Column) -> Column:
+        return F.exists(
+            paths,
+            lambda path: F.exists(
+                F.filter(pairs, lambda pair: pair["key"] == path["class"]),
+                lambda pair: holds(pair["value"], path["field"])
+                | F.exists(array_items(pair["value"]), lambda item: holds(item, path["field"])),
             ),
-        ),
-    )
+        )
+
+    return let(object_pairs(text), found)
 
 
 def skip_path(text: Column, steps: Sequence[str]) -> Column:
@@ -156,13 +168,16 @@ def skip_path(text: Column, steps: Sequence[str]) -> Column:
     if len(steps) == 1:
         return drop_keys(text, list(steps))
     head, rest = steps[0], list(steps[1:])
-    pairs = object_pairs(text)
 
     def inner(pair: Column) -> Column:
         value = F.when(pair["key"] == head, skip_path(pair["value"], rest)).otherwise(pair["value"])
         return F.struct(pair["raw"].alias("raw"), pair["key"].alias("key"), value.alias("value"))
 
-    return F.when(F.exists(pairs, lambda p: p["key"] == head), _render(F.transform(pairs, inner))).otherwise(text)
+    def rebuilt(pairs: Column) -> Column:
+        touched = F.exists(pairs, lambda p: p["key"] == head)
+        return F.when(touched, _render(F.transform(pairs, inner))).otherwise(text)
+
+    return let(object_pairs(text), rebuilt)
 
 
 def scalar_text(value: Column) -> Column:
@@ -172,27 +187,31 @@ def scalar_text(value: Column) -> Column:
     ).otherwise(value)
 
 
-def _last_wins(pairs: Column) -> Column:
-    keys = F.transform(pairs, lambda p: p["key"])
-    deduped = F.filter(
-        pairs,
-        lambda p, i: ~F.array_contains(F.slice(keys, i + F.lit(2), F.size(keys)), p["key"]),
-    )
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), pairs).otherwise(deduped)
+def _as_map(text: Column, value: Callable[[Column], Column]) -> Column:
+    """Pairs as a map; of a repeated key the last value counts."""
+
+    def last_of(pairs: Column, keys: Column) -> Column:
+        later = lambda i: F.slice(keys, i + F.lit(2), F.size(keys))
+        return F.filter(pairs, lambda p, i: ~F.array_contains(later(i), p["key"]))
+
+    def build(pairs: Column) -> Column:
+        keys = F.transform(pairs, lambda p: p["key"])
+        unique = let(
+            keys, lambda k: F.when(F.size(F.array_distinct(k)) == F.size(k), pairs).otherwise(last_of(pairs, k))
+        )
+        return F.map_from_entries(F.transform(unique, lambda p: F.struct(p["key"], value(p["value"]))))
+
+    return let(object_pairs(text), build)
 
 
 def raw_map(text: Column) -> Column:
     """Top-level keys -> raw value text, so a number and a quoted number stay apart."""
-    return F.map_from_entries(
-        F.transform(_last_wins(object_pairs(text)), lambda p: F.struct(p["key"], p["value"]))
-    )
+    return _as_map(text, lambda value: value)
 
 
 def text_map(text: Column) -> Column:
     """Top-level keys -> values as text (numbers and booleans keep their JSON text)."""
-    return F.map_from_entries(
-        F.transform(_last_wins(object_pairs(text)), lambda p: F.struct(p["key"], scalar_text(p["value"])))
-    )
+    return _as_map(text, scalar_text)
 
 
 def value_type(value: Column) -> Column:

@@ -43,7 +43,7 @@ RELATIVE, ABSOLUTE, BALANCE = 1e-9, 1e-6, 1e-6
 FLAG_NO_LOG = "no system log"
 FLAG_SCALED = "cpu above capacity: shares scaled down"
 
-_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+\-]?[0-9]+)?$"
+_NUMBER_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
 @dataclass(frozen=True)
@@ -102,16 +102,16 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
     ``records`` carries (window, record).  A metric that is absent is 0, an absent text is ''.  A record
     that lacks a required field or has an unusable total has ``usable = false``.
     """
-    raw = json_text.once(records, {"_f": json_text.raw_map(F.col("record"))})
-    text = lambda name: F.coalesce(
-        F.nullif(json_text.scalar_text(F.try_element_at("_f", F.lit(name))), F.lit("null")), F.lit("")
-    )
-    given = lambda name: F.coalesce(F.try_element_at("_f", F.lit(name)), F.lit("null")) != "null"
+    # Variants keep a number and a quoted number apart; one parse per record.
+    raw = json_text.once(records, {"_f": F.from_json("record", "map<string,variant>")})
+    field = lambda name: F.try_element_at("_f", F.lit(name))
+    kind_of = lambda v: F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+    text = lambda name: F.coalesce(F.try_variant_get(field(name), "$", "string"), F.lit(""))
+    given = lambda name: kind_of(field(name)) != "VOID"
     total_field = spec.field("total")
-    metrics_text = F.coalesce(F.try_element_at("_f", F.lit("metrics")), F.lit("null"))
-    nothing = F.create_map().cast("map<string,string>")
-    metrics = F.when(F.startswith(metrics_text, F.lit("{")), json_text.raw_map(metrics_text)).otherwise(nothing)
-    raw = json_text.once(raw, {"_metrics_text": metrics_text, "_m": metrics})
+    nothing = F.create_map().cast("map<string,variant>")
+    metrics = F.coalesce(F.try_variant_get(field("metrics"), "$", "map<string,variant>"), nothing)
+    raw = json_text.once(raw, {"_metrics_kind": kind_of(field("metrics")), "_m": metrics})
     base = raw.select(
         "window",
         text("date").alias("_date"),
@@ -121,14 +121,14 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
         text("serviceId").alias("service_id"),
         text("dataWarehouseId").alias("warehouse_id"),
         text("organizationTier").alias("tier"),
-        (F.coalesce(F.try_element_at("_f", F.lit("locked")), F.lit("")) == "true").alias("locked"),
-        F.coalesce(F.try_element_at("_f", F.lit(total_field)), F.lit("null")).alias("_total"),
+        ((kind_of(field("locked")) == "BOOLEAN") & (text("locked") == "true")).alias("locked"),
+        field(total_field).alias("_total"),
         (~given("serviceId")).alias("service_id_missing"),
         F.filter(
             F.array(*[F.when(~given(n), F.lit(n)) for n in ("date", "entityType", "entityId", total_field)]),
             lambda n: n.isNotNull(),
         ).alias("_absent"),
-        "_metrics_text",
+        "_metrics_kind",
         "_m",
     )
     allowed = F.create_map(
@@ -138,38 +138,45 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
             for part in (F.lit(kind), F.array(*[F.lit(spec.field(n)) for n in names]))
         ]
     )
-    known = F.try_element_at(allowed, F.col("entity_type"))
-    who = F.concat_ws(" ", F.substring("_date", 1, 10), "entity_type", "entity_id")
-    is_number = lambda c: c.rlike(_NUMBER)
-    entries = F.map_entries("_m")
+    is_number = lambda v: kind_of(v).rlike(_NUMBER_KINDS)
+    number = lambda v: F.when(is_number(v), F.try_variant_get(v, "$", "double"))
+    base = json_text.once(
+        base,
+        {
+            "_known": F.try_element_at(allowed, F.col("entity_type")),
+            "_who": F.concat_ws(" ", F.substring("_date", 1, 10), "entity_type", "entity_id"),
+            "_dated": F.col("_date").rlike(r"^\d{4}-\d{2}-\d{2}"),
+            "_shaped": (F.col("_metrics_kind") == "VOID") | F.startswith("_metrics_kind", F.lit("OBJECT")),
+            "total": number(F.col("_total")),
+            "_values": F.transform_values("_m", lambda _, v: number(v)),
+        },
+    )
+    complete, dated, shaped = F.size("_absent") == 0, F.col("_dated"), F.col("_shaped")
+    known, who, counted = F.col("_known"), F.col("_who"), F.col("total").isNotNull()
+    usable = complete & dated & counted & shaped
+    problem = (
+        F.when(
+            ~complete,
+            F.concat(F.lit("record without "), F.array_join("_absent", ", "), F.lit(" (entityId="), F.col("entity_id"), F.lit(")")),
+        )
+        .when(~dated, F.concat(F.lit("date is not YYYY-MM-DD: "), F.col("_date")))
+        .when(~counted, F.concat(who, F.lit(" total is not a number")))
+        .when(~shaped, F.concat(who, F.lit(" metrics is not an object")))
+        .when(known.isNull(), F.concat(F.lit("unknown entityType: "), who))
+    )
     unexpected = F.transform(
-        F.filter(entries, lambda e: known.isNotNull() & ~F.array_contains(known, e["key"])),
-        lambda e: F.concat(F.lit("unexpected metric: "), who, F.lit(" carries "), e["key"]),
+        F.filter(F.map_keys("_m"), lambda k: known.isNotNull() & ~F.array_contains(known, k)),
+        lambda k: F.concat(F.lit("unexpected metric: "), who, F.lit(" carries "), k),
     )
     bad_value = F.transform(
-        F.filter(entries, lambda e: ~is_number(e["value"])),
-        lambda e: F.concat(F.lit("bad metric value: "), who, F.lit(" "), e["key"], F.lit(" = "), e["value"]),
-    )
-    dated = F.col("_date").rlike(r"^\d{4}-\d{2}-\d{2}")
-    shaped = (F.col("_metrics_text") == "null") | F.startswith("_metrics_text", F.lit("{"))
-    usable = (F.size("_absent") == 0) & dated & is_number(F.col("_total")) & shaped
-    whole_record = F.filter(
-        F.array(
-            F.when(
-                F.size("_absent") > 0,
-                F.concat(F.lit("record without "), F.array_join("_absent", ", "), F.lit(" (entityId="), F.col("entity_id"), F.lit(")")),
-            )
-            .when(~dated, F.concat(F.lit("date is not YYYY-MM-DD: "), F.col("_date")))
-            .when(~is_number(F.col("_total")), F.concat(who, F.lit(" total is not a number")))
-            .when(~shaped, F.concat(who, F.lit(" metrics is not an object")))
-            .when(known.isNull(), F.concat(F.lit("unknown entityType: "), who)),
-        ),
-        lambda t: t.isNotNull(),
-    )
-    failures = F.when(usable, F.concat(whole_record, unexpected, bad_value)).otherwise(whole_record)
-    number = lambda c: F.when(is_number(c), c.cast("double"))
-    metric = lambda m: F.coalesce(number(F.try_element_at("_m", F.lit(spec.field(m)))), F.lit(0.0))
-    base = base.select("*", F.inline(F.array(F.struct(usable.alias("usable"), failures.alias("failures")))))
+        F.map_entries(F.map_filter("_m", lambda k, v: F.try_element_at("_values", k).isNull())),
+        lambda e: F.concat(F.lit("bad metric value: "), who, F.lit(" "), e["key"], F.lit(" = "), F.to_json(e["value"])),
+    )
+    per_metric = F.when(usable, F.concat(unexpected, bad_value)).otherwise(F.array().cast("array<string>"))
+    base = json_text.once(
+        base, {"usable": usable, "failures": F.concat(F.array_compact(F.array(problem)), per_metric)}
+    )
+    metric = lambda m: F.coalesce(F.try_element_at("_values", F.lit(spec.field(m))), F.lit(0.0))
     return base.select(
         "window",
         F.to_date(F.substring(F.when(dated, F.col("_date")), 1, 10)).alias("date"),
@@ -180,11 +187,11 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
         "warehouse_id",
         "tier",
         "locked",
-        number(F.col("_total")).alias("total"),
+        "total",
         *[metric(m).alias(m) for m in spec.metric_names],
         fetched_at.alias("fetched_at"),
         F.aggregate(
-            F.map_values("_m"), F.lit(0.0), lambda acc, v: acc + F.coalesce(number(v), F.lit(0.0))
+            F.map_values("_values"), F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0))
         ).alias("metric_sum"),
         "service_id_missing",
         "usable",

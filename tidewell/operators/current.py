@@ -85,7 +85,7 @@ def increment(
     keys: Sequence[str],
     arrived: str,
     overlap: str = "1 minute",
-    epoch: str = "1970-01-02 00:00:00",
+    epoch: str = "1900-01-01 00:00:00",
 ) -> DataFrame:
     """Rows not yet in the target, looked for from ``overlap`` before its newest arrival time.
 

@@ -59,10 +59,11 @@ def write_days(
 ) -> None:
     """Write by day; only the days present in ``df`` are replaced.
 
-    The rows are spread by (day, salt), so a day with a third of all rows is written by many tasks; each task sorts
+    The rebalance hint brings the rows of a day together and lets AQE split a day that is larger than the advisory
+    partition size, so a day with a third of all rows is written by many tasks and a small one by few.  Each task sorts
     its rows for min/max skipping.
     """
-    spread = df.repartition(F.col(day), F.pmod(F.xxhash64(*df.columns), F.lit(16)))
+    spread = df.hint("rebalance", day)
     if sort:
         spread = spread.sortWithinPartitions(day, *sort)
     compression = {"orc": "zlib"}.get(fmt, "zstd")

@@ -52,9 +52,8 @@ def quality_diff(spark, sf):
     status = F.when(F.col("query") == "broken", "oom").when(F.col("query") == "unreadable", "syntax").otherwise("ok")
     results = union_labelled({n: quality.result_summary(v) for n, v in versions.items()}, "query").withColumn("status", status)
     names = spark.createDataFrame([(n,) for n in [*versions, "absent"]], "query string")
-    reference = names.select("query", F.lit("ok").alias("status"), F.lit(1).alias("k")).join(
-        quality.result_summary(o).withColumn("k", F.lit(1)), "k"
-    ).drop("k")
+    wanted = quality.result_summary(o).select(F.struct("rows", "result_hash", "col_sums").alias("s")).scalar()
+    reference = names.select("query", F.lit("ok").alias("status"), wanted.alias("s")).select("query", "status", "s.*")
     found = quality.verdicts(reference, results)
     return found.select("query", "verdict", F.regexp_extract("detail", "(agree|differ)$", 1).alias("sums"))
 

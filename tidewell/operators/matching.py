@@ -144,7 +144,7 @@ def mark_ends(marks: DataFrame, mark_time: str, by: Sequence[str]) -> DataFrame:
 
 # Key length classes: (shortest key in bytes, gram bytes, grams per window).  Any text of at least
 # gram + window - 1 bytes shares its window minima with every text that contains it.
-_CLASSES = ((31, 16, 16), (8, 4, 5))
+_CLASSES = ((31, 16, 16), (16, 8, 9), (8, 6, 3))
 
 
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -157,6 +157,16 @@ def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     return out
 
 
+def _packed_grams(data: np.ndarray, gram: int) -> np.ndarray:
+    """Grams of at most seven bytes as whole numbers: nothing is hashed, equal numbers are equal texts."""
+    if len(data) < gram:
+        return data[:0]
+    out = np.zeros(len(data) - gram + 1, dtype=np.uint64)
+    for j in range(gram):
+        out = out * np.uint64(256) + data[j : j + len(out)].astype(np.uint64)
+    return np.unique(out)
+
+
 def _window_minima(hashes: np.ndarray, window: int) -> np.ndarray:
     if len(hashes) < window:
         return hashes[:0]
@@ -171,11 +181,10 @@ def _anchors(text: bytes, classes: Sequence[int]) -> tuple[list[int], list[int]]
     for kind in classes:
         if kind >= 8:
             _, gram, window = next(c for c in _CLASSES if c[0] == kind)
+            found = _window_minima(_gram_hashes(data, gram), window) if len(data) >= gram else data[:0]
         else:
-            gram, window = kind, 1
-        if len(data) < gram:
-            continue
-        found = _window_minima(_gram_hashes(data, gram), window).astype(np.int64)
+            found = _packed_grams(data, kind)
+        found = found.astype(np.int64)
         kinds.extend([kind] * len(found))
         values.extend(found.tolist())
     return kinds, values
@@ -222,7 +231,7 @@ def contained_keys(
     lowered = texts.select(text_id, F.lower(text).alias("_text")).where(F.length("_text") > 0)
     wanted = keys.select(key_id, F.lower(key).alias("_key")).where(F.length("_key") > 0)
     unique = wanted.select("_key").distinct()
-    # Class labels only: at most nine values whatever the number of keys.
+    # Class labels only: at most ten values whatever the number of keys.
     classes = sorted(r[0] for r in unique.select(_class_label().alias("c")).distinct().collect())
 
     key_anchors = _anchor_rows(unique, "_key", "_key", classes, own_class=True)
@@ -234,8 +243,10 @@ def contained_keys(
         .groupBy("_key", "_class")
         .agg(F.min_by("_anchor", F.struct(F.coalesce("_n", F.lit(0)), F.col("_anchor"))).alias("_anchor"))
     )
-    candidates = shared.join(rarest, ["_class", "_anchor"]).select(text_id, "_key")
-    hits = lowered.join(candidates, text_id).where(F.contains(F.col("_text"), F.col("_key"))).select(text_id, "_key")
+    candidates = shared.join(rarest, ["_class", "_anchor"]).select(text_id, "_key", "_class")
+    # The anchor of a very short key is the key itself; the others are looked for in the whole text.
+    compared = lowered.join(candidates.where("_class >= 8"), text_id).where(F.contains(F.col("_text"), F.col("_key")))
+    hits = compared.select(text_id, "_key").unionByName(candidates.where("_class < 8").select(text_id, "_key"))
     return hits.join(wanted, "_key").select(text_id, key_id)
 
 

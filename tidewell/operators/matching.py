@@ -173,11 +173,10 @@ def _window_minima(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(np.lib.stride_tricks.sliding_window_view(hashes, window).min(axis=1))
 
 
-def _anchors(text: bytes, classes: Sequence[int]) -> tuple[list[int], list[int]]:
-    """(class, hash) pairs of a text.  A class below 8 is the byte length of very short keys."""
+def _anchors(text: bytes, classes: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(class, hash) pairs of a text, as two arrays.  A class below 8 is the byte length of very short keys."""
     data = np.frombuffer(text, dtype=np.uint8)
-    kinds: list[int] = []
-    values: list[int] = []
+    kinds, values = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
     for kind in classes:
         if kind >= 8:
             _, gram, window = next(c for c in _CLASSES if c[0] == kind)
@@ -185,9 +184,9 @@ def _anchors(text: bytes, classes: Sequence[int]) -> tuple[list[int], list[int]]
         else:
             found = _packed_grams(data, kind)
         found = found.astype(np.int64)
-        kinds.extend([kind] * len(found))
-        values.extend(found.tolist())
-    return kinds, values
+        kinds.append(np.full(len(found), kind, np.int32))
+        values.append(found)
+    return np.concatenate(kinds), np.concatenate(values)
 
 
 def _anchor_rows(df: DataFrame, id_column: str, text_column: str, classes: Sequence[int], own_class: bool) -> DataFrame:
@@ -196,16 +195,16 @@ def _anchor_rows(df: DataFrame, id_column: str, text_column: str, classes: Seque
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            ids, kinds, values = [], [], []
-            for row_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = text.encode("utf-8")
+            rows, kinds, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+            for position, text in enumerate(batch.column(1)):
+                raw = text.as_py().encode("utf-8")
                 k, v = _anchors(raw, [_class_of(len(raw))] if own_class else classes)
-                ids.extend([row_id] * len(k))
-                kinds.extend(k)
-                values.extend(v)
+                rows.append(np.full(len(k), position, np.int64))
+                kinds.append(k)
+                values.append(v)
+            ids = batch.column(0).take(pa.array(np.concatenate(rows)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(kinds, pa.int32()), pa.array(values, pa.int64())],
-                names=[id_column, "_class", "_anchor"],
+                [ids, pa.array(np.concatenate(kinds)), pa.array(np.concatenate(values))], names=[id_column, "_class", "_anchor"]
             )
 
     kind = df.schema[id_column].dataType.simpleString()

@@ -193,19 +193,27 @@ def _anchor_rows(df: DataFrame, id_column: str, text_column: str, classes: Seque
     """Distinct anchors per row; with ``own_class`` only those of the row's own length class."""
     classes = list(classes)
 
+    def packed(ids: pa.Array, parts: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        rows = np.concatenate([np.full(len(k), position, np.int64) for position, k, _ in parts])
+        kinds, values = (np.concatenate([part[i] for part in parts]) for i in (1, 2))
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(rows)), pa.array(kinds), pa.array(values)], names=[id_column, "_class", "_anchor"]
+        )
+
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            rows, kinds, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+            parts, size = [], 0
             for position, text in enumerate(batch.column(1)):
                 raw = text.as_py().encode("utf-8")
                 k, v = _anchors(raw, [_class_of(len(raw))] if own_class else classes)
-                rows.append(np.full(len(k), position, np.int64))
-                kinds.append(k)
-                values.append(v)
-            ids = batch.column(0).take(pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(np.concatenate(kinds)), pa.array(np.concatenate(values))], names=[id_column, "_class", "_anchor"]
-            )
+                parts.append((position, k, v))
+                size += len(k)
+                # Long texts have many anchors: hand them on before a batch of them fills the memory.
+                if size > 500_000:
+                    yield packed(batch.column(0), parts)
+                    parts, size = [], 0
+            if parts:
+                yield packed(batch.column(0), parts)
 
     kind = df.schema[id_column].dataType.simpleString()
     return df.select(id_column, text_column).mapInArrow(batches, f"`{id_column}` {kind}, _class int, _anchor bigint")

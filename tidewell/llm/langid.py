@@ -43,7 +43,7 @@ class Training:
     rate: float = 0.5
     seed: int = 11
     kept: float = 0.999
-    highest_threshold: float = 0.5
+    highest_threshold: float = 0.35
 
 
 @dataclass(frozen=True)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import exact, langid
-from tidewell.llm.base import query, table
+from tidewell.llm import exact, langid, simhash
+from tidewell.llm.base import ORACLE, QUERIES, query, table  # noqa: F401
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -30,3 +30,9 @@ WINDOW same AS (PARTITION BY norm)""",
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Copies of whole texts by content sort."""
     return exact.mark_copies(table(spark, sf, "documents"))
+
+
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """SimHash fingerprints and the groups that links of at most four bits make."""
+    return simhash.group(table(spark, sf, "documents"))

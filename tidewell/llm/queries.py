@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import exact, langid, simhash
+from tidewell.llm import exact, langid, pii, simhash
 from tidewell.llm.base import ORACLE, QUERIES, query, table  # noqa: F401
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,3 +36,9 @@ def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """SimHash fingerprints and the groups that links of at most four bits make."""
     return simhash.group(table(spark, sf, "documents"))
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data and the terms that disclose it."""
+    return pii.detect(table(spark, sf, "documents"))

@@ -104,11 +104,20 @@ def _some_words(text: str, words: int, key: int) -> str:
 
 
 def sample(labelled: DataFrame, text: str, lang: str, id: str, settings: Training) -> list[tuple[str, str]]:
-    """(language, words) of the drawn rows: at most languages x per_language x words, whatever the input."""
+    """(language, words) of the drawn rows: at most languages x per_language x words, whatever the input.
+
+    Rows are drawn by the smallest hashes. From the languages' counts follows a hash below which about four times
+    as many rows as wanted lie; only those are sorted.
+    """
     key = F.crc32(F.concat(F.lit("fit-"), F.col(f"`{id}`").cast("string")))
-    rows = labelled.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull()).select(
+    known = labelled.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
+    counts = known.groupBy(F.col(f"`{lang}`").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()
+    if not counts:
+        return []
+    below = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int((4 * settings.per_language + 50) / r["count"] * 2**32))])
+    rows = known.select(
         F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.coalesce(key, F.lit(0)).alias("key")
-    )
+    ).where(F.col("key") < below[F.col("lang")])
     words = settings.words
 
     def cut(batches):
@@ -125,7 +134,6 @@ def sample(labelled: DataFrame, text: str, lang: str, id: str, settings: Trainin
         short.withColumn("n", F.row_number().over(drawn))
         .where(F.col("n") <= settings.per_language)
         .orderBy("lang", "n")
-        .limit(settings.languages * settings.per_language)
     )
     return [(r.lang, r.text) for r in picked.select("lang", "text").collect()]
 

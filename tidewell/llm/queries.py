@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm import exact, langid, pii, simhash
+from tidewell.llm import bpe, exact, html, langid, pii, simhash
 from tidewell.llm.base import ORACLE, QUERIES, query, table  # noqa: F401
 
+#: Ranks of the tokenizer that encodes documents, in the installed package of public vocabularies.
+RANKS = "byte_bpe_50k.tiktoken"
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,3 +46,27 @@ def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data and the terms that disclose it."""
     return pii.detect(table(spark, sf, "documents"))
+
+
+def rank_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(RANKS)
+
+
+@query("op4_byte_bpe")
+def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of every document, and the bytes that these decode to."""
+    encoded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), rank_file())
+    return bpe.decode(encoded, rank_file()).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf, "pages").select("page_id", "url", "html"))

@@ -17,8 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidewell.llm.base import LETTER, NUMBER, SPACE, char_classes, code_points, groups_of, tune
@@ -306,8 +305,8 @@ def encode(docs: DataFrame, rank_file: str, text: str = "text", out: tuple[str,
 
 
 def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", offsets: str = "offsets", out: str = "decoded") -> DataFrame:
-    """``encoded`` with the bytes its ids stand for. Each token must start at its retained offset; a row where one
-    doesn't (its ids have been changed) is decoded from the ids alone. Null ids give null."""
+    """``encoded`` with the bytes its ids stand for. Each token must start at its retained offset, else the ids are not
+    those that were encoded and the task fails. Null ids give null."""
     spark = tune(encoded.sparkSession)
     shared = spark.sparkContext.broadcast(load(rank_file))
     keep = [f for f in encoded.schema.fields if f.name != out]
@@ -318,13 +317,15 @@ def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", offsets: str =
         encoder = shared.value
         for b in batches:
             lists, places = b.column(names.index(ids)), b.column(names.index(offsets))
-            flat = lists.flatten()
-            data, where = encoder.decode(flat)
+            data, where = encoder.decode(lists.flatten())
             ends = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+            retained = places.flatten().to_numpy()
+            starts = where[:-1] - np.repeat(where[ends[:-1]], np.diff(ends))
+            if len(retained) != len(starts) or (retained != starts).any():
+                raise ValueError("ids and offsets are not of one encoding")
             body = memoryview(data)
             texts = [bytes(body[where[s] : where[e]]) for s, e in zip(ends[:-1], ends[1:])]
             valid = lists.is_valid().to_pylist()
-            del places
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([t if v else None for t, v in zip(texts, valid)], pa.binary())], schema.names)
 
     rows = encoded.select(*[encoded[f"`{n}`"] for n in names])
@@ -332,17 +333,18 @@ def decode(encoded: DataFrame, rank_file: str, ids: str = "ids", offsets: str =
 
 
 def token_counts(docs: DataFrame, rank_file: str, text: str, out: str) -> DataFrame:
-    """``docs`` with the number of tokens of its text."""
-    spark: SparkSession = tune(docs.sparkSession)
+    """``docs`` without its text, with the number of tokens of the whole text (null or empty: 0). A column of
+    ``docs`` named ``out`` is replaced."""
+    spark = tune(docs.sparkSession)
     shared = spark.sparkContext.broadcast(load(rank_file))
-    keep = [f for f in docs.schema.fields if f.name != out]
+    keep = [f for f in docs.schema.fields if f.name not in (text, out)]
     schema = T.StructType([*keep, T.StructField(out, T.LongType())])
-    at = [f.name for f in keep].index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
         for b in batches:
-            numbers = encoder.encode([t or "" for t in b.column(at).to_pylist()])[2]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers)], schema.names)
+            numbers = encoder.encode([t or "" for t in b.column("_text").to_pylist()])[2]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(numbers)], schema.names)
 
-    return docs.select(*[docs[f"`{f.name}`"] for f in keep]).mapInArrow(run, schema)
+    rows = docs.select(*[docs[f"`{f.name}`"].alias(f"_c{i}") for i, f in enumerate(keep)], docs[f"`{text}`"].cast("string").alias("_text"))
+    return rows.mapInArrow(run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, exact, html, langid, pii, simhash, topk
+from tidewell.llm import bpe, exact, html, langid, packing, pii, simhash, topk
 from tidewell.llm.base import ORACLE, QUERIES, query, table  # noqa: F401
 
 #: Ranks of the tokenizer that encodes documents, in the installed package of public vocabularies.
@@ -76,10 +76,10 @@ def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     "op9_exact_top_k",
     """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM pairs QUALIFY rank <= 10""",
@@ -87,3 +87,10 @@ FROM pairs QUALIFY rank <= 10""",
 def op9_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     """The ten best inner products of every hundredth vector with all others."""
     return topk.search(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's tokens packed into sequences of 512 to 8192."""
+    counted = bpe.token_counts(table(spark, sf, "documents").select("doc_id", "text"), rank_file(), "text", "n_tokens")
+    return packing.best_fit(counted.drop("text"), "n_tokens")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, exact, html, langid, packing, pii, simhash, topk
+from tidewell.llm import bpe, chunks, exact, html, langid, packing, pii, quality, simhash, topk
 from tidewell.llm.base import ORACLE, QUERIES, query, table  # noqa: F401
 
 #: Ranks of the tokenizer that encodes documents, in the installed package of public vocabularies.
@@ -94,3 +94,17 @@ def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's tokens packed into sequences of 512 to 8192."""
     counted = bpe.token_counts(table(spark, sf, "documents").select("doc_id", "text"), rank_file(), "text", "n_tokens")
     return packing.best_fit(counted.drop("text"), "n_tokens")
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Perplexity of every document under a model of those labelled good, and whether its language lets it pass."""
+    good = table(spark, sf, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang").join(good, "doc_id", "left")
+    return quality.classify(docs, (F.col("quality") == 1) & (F.col("toxic") == 0))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages that several documents share."""
+    return chunks.repeated_passages(table(spark, sf, "documents"))

@@ -1,0 +1,196 @@
+"""One walk over a JSON text that remembers where everything stands.
+
+The walk keeps a stack of its own, so the depth of the nesting does not matter, and works with places in the text, so
+what is not cut keeps its text exactly. These helpers run inside Arrow batches of :mod:`tidewell.functions.json_text`.
+"""
+
+from __future__ import annotations
+
+import json
+import re
+from collections.abc import Collection, Iterator
+from typing import NamedTuple
+
+_TOKEN = re.compile(
+    r"""\s*+(?:(?P<string>"(?:[^"\\]++|\\.)*+")|(?P<mark>[\[\]{},:])|(?P<plain>-?[0-9][0-9.eE+\-]*+|true|false|null))""", re.DOTALL
+)
+
+
+class Pair(NamedTuple):
+    """A key of an object, or an element of an array (its key is None), by places in the text."""
+
+    depth: int
+    key: tuple[int, int] | None
+    value: tuple[int, int]
+
+
+def walk(text: str | None) -> list[Pair] | None:
+    """Every pair and element at every depth, each after those inside it; None for what is not one JSON value.
+
+    The value as a whole is the last entry, at depth 0.
+    """
+    if text is None:
+        return None
+    found: list[Pair] = []
+    stack: list[tuple[str, int, tuple[int, int] | None]] = []  # open containers: bracket, start, key they are the value of
+    at, key = 0, None
+    expect = "value"
+    end = len(text.rstrip())
+    while True:
+        token = _TOKEN.match(text, at, end)
+        if token is None:
+            return None
+        kind, at = token.lastgroup, token.end()
+        start = token.start(kind)
+        mark = text[start] if kind == "mark" else ""
+        if mark in ("{", "["):
+            if expect not in ("value", "value or end"):
+                return None
+            stack.append((mark, start, key))
+            key, expect = None, "key or end" if mark == "{" else "value or end"
+            continue
+        if mark in ("}", "]"):
+            if not stack or stack[-1][0] != ("{" if mark == "}" else "[") or expect not in ("next", "key or end", "value or end"):
+                return None
+            _, start, key = stack.pop()
+        elif mark == ",":
+            if expect != "next" or not stack:
+                return None
+            expect = "key" if stack[-1][0] == "{" else "value"
+            continue
+        elif mark == ":":
+            if expect != "colon":
+                return None
+            expect = "value"
+            continue
+        elif expect in ("key", "key or end"):
+            if kind != "string":
+                return None
+            key, expect = (start, at), "colon"
+            continue
+        elif expect not in ("value", "value or end"):
+            return None
+        found.append(Pair(len(stack), key, (start, at)))
+        key, expect = None, "next"
+        if not stack:
+            return found if at == end else None
+
+
+def unquoted(raw: str) -> str:
+    """What a JSON string stands for; one that does not parse stands for its own text."""
+    if "\\" not in raw:
+        return raw[1:-1]
+    try:
+        return json.loads(raw, strict=False)
+    except ValueError:
+        return raw[1:-1]
+
+
+def pairs(text: str | None) -> list[tuple[str, str, str]] | None:
+    """(raw key, key, raw value) of the top level of an object; None for anything else."""
+    found = walk(text)
+    if not found or text[found[-1].value[0]] != "{":
+        return None
+    return [(text[p.key[0] + 1 : p.key[1] - 1], unquoted(text[slice(*p.key)]), text[slice(*p.value)]) for p in found if p.depth == 1]
+
+
+def items(text: str | None) -> list[str] | None:
+    """Raw elements of an array; None for anything else."""
+    found = walk(text)
+    if not found or text[found[-1].value[0]] != "[":
+        return None
+    return [text[slice(*p.value)] for p in found if p.depth == 1]
+
+
+def _rendered(kept: list[tuple[str, str, str]]) -> str:
+    return "{" + ",".join(f'"{raw}":{value}' for raw, _, value in kept) + "}"
+
+
+def drop_keys(text: str | None, names: Collection[str]) -> str | None:
+    own = pairs(text)
+    if own is None or not any(key in names for _, key, _ in own):
+        return text
+    return _rendered([p for p in own if p[1] not in names])
+
+
+def drop_paths(text: str | None, fields_of: dict[str, set[str]]) -> str | None:
+    """Without ``class.field`` for every class, in an object or in each object of an array."""
+    own = pairs(text)
+    if own is None or not any(key in fields_of for _, key, _ in own):
+        return text
+
+    def cleaned(value: str, fields: set[str]) -> str:
+        elements = items(value)
+        if elements is None:
+            return drop_keys(value, fields)
+        return "[" + ",".join(drop_keys(e, fields) for e in elements) + "]"
+
+    return _rendered([(raw, key, cleaned(value, fields_of[key]) if key in fields_of else value) for raw, key, value in own])
+
+
+def has_path(text: str | None, fields_of: dict[str, set[str]]) -> bool:
+    for _, key, value in pairs(text) or ():
+        fields = fields_of.get(key)
+        if fields and any(k in fields for part in [value, *(items(value) or ())] for _, k, _ in pairs(part) or ()):
+            return True
+    return False
+
+
+def skip_path(text: str | None, steps: list[str]) -> str | None:
+    """Without one object path; arrays and encoded strings are not entered."""
+    if len(steps) == 1:
+        return drop_keys(text, steps)
+    own = pairs(text)
+    if own is None or not any(key == steps[0] for _, key, _ in own):
+        return text
+    return _rendered([(raw, key, skip_path(value, steps[1:]) if key == steps[0] else value) for raw, key, value in own])
+
+
+def _encoded_places(raw: str) -> tuple[str, list[int]]:
+    """The text a JSON string stands for, and for each of its characters, and its end, the place in ``raw``."""
+    out, places, at = [], [], 1
+    while at < len(raw) - 1:
+        width = 1 if raw[at] != "\\" else 6 if raw[at + 1] == "u" else 2
+        if width == 6 and raw[at + 2 : at + 3] in ("d", "D") and raw[at + 6 : at + 8] == "\\u":
+            width = 12  # a pair that stands for one character
+        character = unquoted(f'"{raw[at : at + width]}"')
+        if len(character) != 1:
+            character, width = raw[at], 1
+        out.append(character)
+        places.append(at)
+        at += width
+    return "".join(out), [*places, len(raw) - 1]
+
+
+def _null_places(text: str, names: Collection[str]) -> Iterator[tuple[int, int]]:
+    """Places of the values to null: of the keys wherever they stand, and inside strings that hold JSON."""
+    found = walk(text)
+    if found is None:
+        return
+    nulled = {p.value for p in found if p.key and unquoted(text[slice(*p.key)]) in names}
+    yield from nulled
+    for p in found:
+        start, end = p.value
+        if text[start] == '"' and end - start > 4 and p.value not in nulled:
+            inner, places = _encoded_places(text[start:end])
+            if inner.lstrip()[:1] in ("{", "["):
+                for a, b in _null_places(inner, names):
+                    yield start + places[a], start + places[b]
+
+
+def null_values(text: str | None, names: Collection[str]) -> str | None:
+    """The text with the values of these keys set to null, at any depth, nested values and encoded JSON included.
+
+    A text that is not JSON is left alone unless it holds one of the names in quotes: then nobody can tell where
+    the value ends, and the whole text becomes None.
+    """
+    if not text or not names:
+        return text
+    if walk(text) is None:
+        return None if any(f'"{n}"' in text or f'"{n}\\"' in text for n in names) else text
+    out, at = [], 0
+    for a, b in sorted(_null_places(text, names)):
+        if a >= at and text[a:b] != "null":
+            out += [text[at:a], "null"]
+            at = b
+    return "".join([*out, text[at:]])

@@ -1,35 +1,19 @@
 """JSON text as Column expressions that leave untouched values exactly as they were written.
 
 ``from_json`` + ``to_json`` re-renders what it reads (``1.50`` becomes ``1.5``, nested keys are sorted),
-which is not acceptable for a masking job.  Here an object is cut into its top-level pairs by one
-regular expression whose quantifiers are all possessive, so long strings are matched in a loop
-instead of by recursion and there is no backtracking.  Objects nested deeper than ``LEVELS`` fall back to a
-variant map: same meaning, re-rendered text.
+which is not acceptable for a masking job.  Keys are found and cut by one walk over the text (:mod:`json_scan`) in
+Arrow batches, the same for every depth of nesting; a text that is not an object comes back as it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEVELS = 16
-
-_STRING = r'"(?:[^"\\]++|\\.)*+"'
-
-
-def _container(levels: int) -> str:
-    pattern = r"[\[{](?:[^\[\]{}\"]++|" + _STRING + r")*+[\]}]"
-    for _ in range(levels):
-        pattern = r"[\[{](?:[^\[\]{}\"]++|" + _STRING + "|" + pattern + r")*+[\]}]"
-    return pattern
-
-
-_VALUE = "(?:" + _STRING + "|" + _container(LEVELS) + r"|-?+[0-9][0-9.eE+\-]*+|true|false|null)"
-_KEY = r'"((?:[^"\\]++|\\.)*+)"'
-_PAIR = _KEY + r"\s*+:\s*+(" + _VALUE + ")"
-_OBJECT = r"^\s*+\{\s*+(?:" + _PAIR + r"\s*+(?:,\s*+(?=\")|(?=\})))*+\}\s*+$"
+from tidewell.functions import json_scan
 
 _PAIRS_TYPE = "array<struct<raw:string,key:string,value:string>>"
 
@@ -50,41 +34,12 @@ def object_pairs(text: Column) -> Column:
 
     Anything that is not an object (NULL, empty, broken, an array) has no pairs.
     """
-    by_pattern = F.transform(
-        F.arrays_zip(
-            F.regexp_extract_all(text, F.lit(_PAIR), F.lit(1)).alias("k"),
-            F.regexp_extract_all(text, F.lit(_PAIR), F.lit(2)).alias("v"),
-        ),
-        lambda p: F.struct(p["k"].alias("raw"), _unescape(p["k"]).alias("key"), p["v"].alias("value")),
-    )
-    by_variant = F.transform(
-        F.map_entries(F.from_json(text, "map<string,variant>")),
-        lambda e: F.struct(
-            F.regexp_replace(F.to_json(F.array(e["key"])), r'^\["|"\]$', "").alias("raw"),
-            e["key"].alias("key"),
-            F.to_json(e["value"]).alias("value"),
-        ),
-    )
-    nothing = F.array().cast(_PAIRS_TYPE)
-    return (
-        F.when(text.isNull(), nothing)
-        .when(text.rlike(_OBJECT), by_pattern)
-        .when(text.rlike(r"^\s*+\{"), F.coalesce(by_variant, nothing))
-        .otherwise(nothing)
-    )
-
-
-def array_items(text: Column) -> Column:
-    """Raw text of the elements of a JSON array; NULL-safe, empty for anything else."""
-    inner = F.regexp_extract(text, r"^\s*+\[([\s\S]*)\]\s*$", 1)
-    return F.when(text.rlike(r"^\s*+\["), F.regexp_extract_all(inner, F.lit("(" + _VALUE + ")"), F.lit(1))).otherwise(
-        F.array().cast("array<string>")
-    )
 
+    @F.pandas_udf(_PAIRS_TYPE)
+    def found(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [dict(zip(("raw", "key", "value"), p)) for p in json_scan.pairs(t) or ()])
 
-def _render(pairs: Column) -> Column:
-    parts = F.transform(pairs, lambda p: F.concat(F.lit('"'), p["raw"], F.lit('":'), p["value"]))
-    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+    return found(text)
 
 
 def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -102,13 +57,12 @@ def _names(names: Column | Sequence[str]) -> Column:
 
 def drop_keys(text: Column, names: Column | Sequence[str]) -> Column:
     """Remove top-level keys.  With nothing to remove the original text comes back, spaces included."""
-    wanted = _names(names)
 
-    def rebuilt(pairs: Column) -> Column:
-        kept = F.filter(pairs, lambda p: ~F.array_contains(wanted, p["key"]))
-        return let(kept, lambda k: F.when(F.size(k) == F.size(pairs), text).otherwise(_render(k)))
+    @F.pandas_udf("string")
+    def dropped(texts: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([json_scan.drop_keys(t, set(n) if n is not None else ()) for t, n in zip(texts, names)], dtype=object)
 
-    return let(object_pairs(text), rebuilt)
+    return dropped(text, _names(names))
 
 
 def path_array(paths: Sequence[tuple[str, str]]) -> Column:
@@ -116,68 +70,60 @@ def path_array(paths: Sequence[tuple[str, str]]) -> Column:
     return F.array(*[F.struct(F.lit(c).alias("class"), F.lit(f).alias("field")) for c, f in paths])
 
 
+def _fields_of(classes, fields) -> dict[str, set[str]]:
+    out: dict[str, set[str]] = {}
+    for c, f in zip(classes if classes is not None else (), fields if fields is not None else ()):
+        out.setdefault(c, set()).add(f)
+    return out
+
+
+def _class_and_field(paths: Column) -> tuple[Column, Column]:
+    return F.transform(paths, lambda p: p["class"]), F.transform(paths, lambda p: p["field"])
+
+
 def drop_paths(text: Column, paths: Column) -> Column:
     """Remove ``class.field`` for every path, in an object or in each object of an array.
 
     ``paths`` is ``array<struct<class,field>>``, constant or per row.  Deeper paths are left alone, and a
     text without any of the classes comes back unchanged.
     """
-    classes = F.transform(paths, lambda p: p["class"])
-
-    def cleaned_value(pair: Column, fields: Column) -> Column:
-        items = F.transform(array_items(pair["value"]), lambda item: drop_keys(item, fields))
-        return F.when(
-            F.startswith(pair["value"], F.lit("[")), F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
-        ).otherwise(drop_keys(pair["value"], fields))
-
-    def cleaned(pair: Column) -> Column:
-        fields = F.transform(F.filter(paths, lambda p: p["class"] == pair["key"]), lambda p: p["field"])
-        value = F.when(
-            F.array_contains(classes, pair["key"]), let(fields, lambda f: cleaned_value(pair, f))
-        ).otherwise(pair["value"])
-        return F.struct(pair["raw"].alias("raw"), pair["key"].alias("key"), value.alias("value"))
 
-    def rebuilt(pairs: Column) -> Column:
-        touched = F.exists(pairs, lambda p: F.array_contains(classes, p["key"]))
-        return F.when(touched, _render(F.transform(pairs, cleaned))).otherwise(text)
+    @F.pandas_udf("string")
+    def dropped(texts: pd.Series, classes: pd.Series, fields: pd.Series) -> pd.Series:
+        return pd.Series([json_scan.drop_paths(t, _fields_of(c, f)) for t, c, f in zip(texts, classes, fields)], dtype=object)
 
-    return let(object_pairs(text), rebuilt)
+    return dropped(text, *_class_and_field(paths))
 
 
 def has_path(text: Column, paths: Column) -> Column:
     """True while any ``class.field`` is still present, in an object or in an element of an array."""
 
-    def holds(value: Column, field: Column) -> Column:
-        return F.exists(object_pairs(value), lambda q: q["key"] == field)
-
-    def found(pairs: Column) -> Column:
-        return F.exists(
-            paths,
-            lambda path: F.exists(
-                F.filter(pairs, lambda pair: pair["key"] == path["class"]),
-                lambda pair: holds(pair["value"], path["field"])
-                | F.exists(array_items(pair["value"]), lambda item: holds(item, path["field"])),
-            ),
-        )
+    @F.pandas_udf("boolean")
+    def found(texts: pd.Series, classes: pd.Series, fields: pd.Series) -> pd.Series:
+        return pd.Series([json_scan.has_path(t, _fields_of(c, f)) for t, c, f in zip(texts, classes, fields)], dtype=bool)
 
-    return let(object_pairs(text), found)
+    return found(text, *_class_and_field(paths))
 
 
 def skip_path(text: Column, steps: Sequence[str]) -> Column:
     """Remove one object path of any depth, the same for every row; arrays and encoded strings are not entered."""
-    if len(steps) == 1:
-        return drop_keys(text, list(steps))
-    head, rest = steps[0], list(steps[1:])
+    path = list(steps)
+
+    @F.pandas_udf("string")
+    def dropped(texts: pd.Series) -> pd.Series:
+        return pd.Series([json_scan.skip_path(t, path) for t in texts], dtype=object)
+
+    return dropped(text)
 
-    def inner(pair: Column) -> Column:
-        value = F.when(pair["key"] == head, skip_path(pair["value"], rest)).otherwise(pair["value"])
-        return F.struct(pair["raw"].alias("raw"), pair["key"].alias("key"), value.alias("value"))
 
-    def rebuilt(pairs: Column) -> Column:
-        touched = F.exists(pairs, lambda p: p["key"] == head)
-        return F.when(touched, _render(F.transform(pairs, inner))).otherwise(text)
+def null_values(text: Column, names: Column | Sequence[str]) -> Column:
+    """Set the values of these keys to null wherever they stand, also nested ones and in string-encoded JSON."""
 
-    return let(object_pairs(text), rebuilt)
+    @F.pandas_udf("string")
+    def nulled(texts: pd.Series, names: pd.Series) -> pd.Series:
+        return pd.Series([json_scan.null_values(t, set(n) if n is not None else ()) for t, n in zip(texts, names)], dtype=object)
+
+    return nulled(text, _names(names))
 
 
 def scalar_text(value: Column) -> Column:
@@ -204,11 +150,6 @@ def _as_map(text: Column, value: Callable[[Column], Column]) -> Column:
     return let(object_pairs(text), build)
 
 
-def raw_map(text: Column) -> Column:
-    """Top-level keys -> raw value text, so a number and a quoted number stay apart."""
-    return _as_map(text, lambda value: value)
-
-
 def text_map(text: Column) -> Column:
     """Top-level keys -> values as text (numbers and booleans keep their JSON text)."""
     return _as_map(text, scalar_text)

@@ -64,8 +64,3 @@ def hour(ts: Column) -> Column:
 
 def epoch_seconds(ts: Column) -> Column:
     return F.unix_timestamp(ts.cast("timestamp"))
-
-
-def quote_pattern(literal: str) -> str:
-    """A literal as a Java pattern; done once on the driver, patterns are never built per row."""
-    return "".join("\\" + ch if ch in r"\.[]{}()*+-?^$|/#&~" else ch for ch in literal)

@@ -1,14 +1,14 @@
-"""Masking on load: row rules, JSON key removal by rule table, regular-expression nulling, leak checks."""
+"""Masking on load: row rules, JSON key removal by rule table, values nulled by endpoint, leak checks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import json_text
-from tidewell.functions.text import first_letter_mask, quote_pattern
+from tidewell.functions.text import first_letter_mask
 from tidewell.operators.matching import lookup
 
 
@@ -92,56 +92,20 @@ def json_fields_left(df: DataFrame, text: str, rules: DataFrame, keys: Sequence[
     )
 
 
-# --- regular-expression nulling ----------------------------------------------------------------------------
+# --- values set to null by endpoint --------------------------------------------------------------------------
 
-# What counts as a value, in plain JSON and in JSON that is itself encoded as a string.
-# A string, a number, true/false, or an array or object without nesting.
-_FLAT = r"-?[0-9][0-9.eE+\-]*+|true|false|\[[^\[\]]*+\]|\{[^{}]*+\}"
-PLAIN_VALUE = r'(?:"(?:[^"\\]++|\\.)*+"|' + _FLAT + ")"
-ENCODED_VALUE = r'(?:\\"(?:[^\\]++|\\\\\\.|\\\\[^\\"])*+\\"|' + _FLAT + ")"
 
+def endpoint_keys(rules: DataFrame, endpoint: str = "endpoint", key: str = "key") -> DataFrame:
+    """One row per endpoint with its distinct keys; blank endpoints and keys are no rules."""
+    named = rules.select(F.trim(F.col(endpoint)).alias(endpoint), F.trim(F.col(key)).alias("_key"))
+    return named.where((F.col(endpoint) != "") & (F.col("_key") != "")).groupBy(endpoint).agg(F.array_sort(F.collect_set("_key")).alias("_keys"))
 
-def null_keys(text: Column, keys: Sequence[str]) -> Column:
-    """Set the keys to ``null`` wherever they occur, also inside string-encoded JSON.  Patterns are literals."""
-    names = "|".join(quote_pattern(k) for k in keys)
-    plain = F.regexp_replace(text, F.lit(f'"({names})"\\s*+:\\s*+{PLAIN_VALUE}'), F.lit('"$1":null'))
-    return F.regexp_replace(
-        plain, F.lit(f'\\\\"({names})\\\\"\\s*+:\\s*+{ENCODED_VALUE}'), F.lit('\\\\"$1\\\\":null')
-    )
 
+def null_fields(df: DataFrame, text: str, rules: DataFrame, endpoint: str = "endpoint", key: str = "key") -> DataFrame:
+    """Each row's text with the values of its endpoint's keys set to null; rows of other endpoints pass through.
 
-def group_rules(rules: Iterable[tuple[str, str]]) -> dict[tuple[str, ...], list[str]]:
-    """(endpoint, key) rules -> key set: endpoints, so endpoints with the same keys share one branch."""
-    keys_of: dict[str, list[str]] = {}
-    for endpoint, key in rules:
-        endpoint, key = endpoint.strip(), key.strip()
-        if endpoint and key and key not in keys_of.setdefault(endpoint, []):
-            keys_of[endpoint].append(key)
-    shared: dict[tuple[str, ...], list[str]] = {}
-    for endpoint, keys in keys_of.items():
-        if keys:
-            shared.setdefault(tuple(keys), []).append(endpoint)
-    return shared
-
-
-def null_fields(text: Column, endpoint: Column, rules: Iterable[tuple[str, str]]) -> Column:
-    """One literal-pattern branch per key set; rows of other endpoints pass through."""
-    out: Column | None = None
-    for keys, endpoints in group_rules(rules).items():
-        hit, value = endpoint.isin(*endpoints), null_keys(text, keys)
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    if out is None:
-        raise ValueError("no rules")
-    return out.otherwise(text)
-
-
-def keys_with_values(text: Column, keys: Sequence[str]) -> Column:
-    """True where one of the keys still has a value other than null (nested values the patterns leave alone)."""
-    names = "|".join(quote_pattern(k) for k in keys)
-    return text.rlike(f'"({names})"\\s*+:\\s*+[^n\\s]')
-
-
-def rules_from_csv(df: DataFrame, columns: Mapping[str, str] | None = None) -> list[tuple[str, str]]:
-    """Rule rows to a driver-side list: the rules become literal patterns of the plan, so they have to be here."""
-    names = columns or {"endpoint": "endpoint", "key": "key"}
-    return [(r[0], r[1]) for r in df.select(names["endpoint"], names["key"]).collect()]
+    The rules are joined, so they may be a table of any size.
+    """
+    found = lookup(df, endpoint_keys(rules, endpoint, key), [endpoint], {"_keys": F.array().cast("array<string>")})
+    cleaned = F.when(F.size("_keys") == 0, F.col(text)).otherwise(json_text.null_values(F.col(text), F.col("_keys")))
+    return found.withColumn(text, cleaned).select(*df.columns)

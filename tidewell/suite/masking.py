@@ -204,12 +204,33 @@ def mask_json_paths(spark, sf):
          ',\\"x\\":1}"}}' AS raw FROM r""",
 )
 def mask_regex(spark, sf):
-    """Keys nulled per endpoint in plain and in string-encoded JSON, literal patterns only."""
+    """Keys nulled per endpoint in plain and in string-encoded JSON."""
     cust = F.col("o_custkey").cast("string")
     raw = F.concat(
         F.lit('{"m":{"phone":"010-'), cust, F.lit('","acct":'), cust,
         F.lit(',"request":"{\\"phone\\":\\"a\\\\\\"b'), cust, F.lit('\\",\\"x\\":1}"}}'),
     )
     endpoint = F.concat(F.lit("/api/"), (F.col("o_orderkey") % 5).cast("string"))
-    rules = [("/api/0", "phone"), ("/api/0", "acct"), ("/api/1", "phone"), ("/api/1", "acct"), ("/api/2", "acct")]
-    return table(spark, sf, "orders").select("o_orderkey", masking.null_fields(raw, endpoint, rules).alias("raw"))
+    rules = [("/api/0", "phone"), ("/api/0", "acct"), ("/api/1", "phone"), ("/api/1", "acct"), ("/api/2", "acct"), ("/api/2 ", "acct")]
+    rows = table(spark, sf, "orders").select("o_orderkey", endpoint.alias("endpoint"), raw.alias("raw"))
+    nulled = masking.null_fields(rows, "raw", spark.createDataFrame(rules, "endpoint string, key string"))
+    return nulled.select("o_orderkey", "raw")
+
+
+_DEEP = 60
+
+
+@query(
+    "mask_json_deep",
+    f"""WITH d AS (SELECT o_orderkey, repeat('{{"a":[', CAST(o_orderkey % {_DEEP} AS INTEGER)) || '1.50' ||
+               repeat(']}}', CAST(o_orderkey % {_DEEP} AS INTEGER)) AS deep FROM orders)
+        SELECT o_orderkey, '{{"user":[{{"d":' || deep || ',"name":"a"}}],"amount":12.50}}' AS req, FALSE AS left_over FROM d""",
+)
+def mask_json_deep(spark, sf):
+    """A sensitive field beside values nested up to 60 levels of objects and arrays, and the check after it."""
+    depth = (F.col("o_orderkey") % _DEEP).cast("int")
+    deep = F.concat(F.repeat(F.lit('{"a":['), depth), F.lit("1.50"), F.repeat(F.lit("]}"), depth))
+    raw = F.concat(F.lit('{"user":[{"phone":"010","d":'), deep, F.lit(',"name":"a"}],"amount":12.50}'))
+    paths = json_text.path_array([("user", "phone")])
+    cleaned = table(spark, sf, "orders").select("o_orderkey", json_text.drop_paths(raw, paths).alias("req"))
+    return cleaned.withColumn("left_over", json_text.has_path(F.col("req"), paths))

@@ -60,6 +60,24 @@ def test_nearest_rank_against_brute_force(spark):
         assert got[g]["max"] == values[-1] and got[g]["mean"] == pytest.approx(sum(values) / len(values))
 
 
+@pytest.mark.parametrize("range_values", [1, 3, 40])
+def test_ranks_do_not_depend_on_ranges(spark, range_values):
+    """Up to 3000 ranges for one group, far more than the sketch has points; heavy values and negative ones too."""
+    rng = random.Random(9)
+    values = {("g", rng.randrange(-10**6, 10**6)): rng.randrange(1, 4) for _ in range(3000)} | {("h", 5): 1000, ("h", 6): 1}
+    counted = spark.createDataFrame([(g, v, n) for (g, v), n in values.items()], "g string, v bigint, n bigint")
+    got = {r.g: r for r in totals.nearest_rank_counted(counted, ["g"], "v", "n", {"p50": 0.5, "p99": 0.99}, range_values).collect()}
+    for g in "gh":
+        whole = sorted(v for (k, v), n in values.items() if k == g for _ in range(n))
+        assert [got[g].p50, got[g].p99, got[g]["max"]] == [whole[-(-50 * len(whole) // 100) - 1], whole[-(-99 * len(whole) // 100) - 1], whole[-1]]
+
+
+def test_callers_are_told_apart_by_their_whole_name(spark):
+    rows = [("m", "x" * 30 + c, i) for i, c in enumerate("ab")]
+    calls = spark.createDataFrame(rows, "name string, agent string, at bigint")
+    assert {r.agent[-1] for r in logs.calls_by_caller(calls, F.lit(0), F.lit(9)).collect()} == {"a", "b"}
+
+
 def test_late_rows_overlap_and_replay(spark):
     rows = [(1, 0, 0), (2, 0, 30), (3, 0, 100), (4, 0, 55), (5, 0, 20)]
     df = spark.createDataFrame(rows, "k int, v int, s bigint").withColumn("s", F.timestamp_seconds("s"))

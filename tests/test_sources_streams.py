@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.functions import checks
 from tidewell.plans import game, serving
 from tidewell.sources import catalog, export, files, generators, lake
 from tidewell.streaming import jobs
@@ -79,13 +80,13 @@ def test_catalog(spark, folder):
     assert changes == {("id", "type"), ("order_date", "type"), ("missing", "missing"), ("price", "dropped")}
 
 
-def test_store_export_counts_what_failed(spark, folder):
+def test_store_export_fails_rather_than_lose_rows(spark, folder):
     df = spark.range(60).withColumnRenamed("id", "user_id").coalesce(1)
     done = export.export_rows(df, export.file_store(folder), batch_rows=25).first()
-    assert (done.rows, done.batches, done.failed) == (60, 3, 0)
+    assert (done.rows, done.batches, done.retries) == (60, 3, 0)
     assert sum(len(open(f).readlines()) for f in glob.glob(folder + "/*.jsonl")) == 60
-    bad = export.export_rows(df, lambda: lambda rows: rows[:1], batch_rows=25, attempts=3, pause_seconds=0).first()
-    assert (bad.rows, bad.failed, bad.retries) == (57, 3, 6)
+    with pytest.raises(Exception, match="1 of 25 rows not stored after 3 attempts"):
+        export.export_rows(df, lambda: lambda rows: rows[:1], batch_rows=25, attempts=3, pause_seconds=0).collect()
 
 
 def test_tsv_escapes(spark, folder):
@@ -125,11 +126,21 @@ def test_a_failed_stream_goes_on_where_it_stopped(spark, folder):
         jobs.run_once(stream().writeStream.foreachBatch(fragile), folder + "/cp")
     jobs.run_once(stream().writeStream.foreachBatch(fragile), folder + "/cp")
     assert jobs.read_batches(spark, folder + "/out", df.schema).count() == 600
-    query = jobs.run_once(stream().writeStream.foreachBatch(fragile), folder + "/cp")
-    assert sum(n for _, n in jobs.progress_rows(query)) == 0
+    calls.clear()
+    jobs.run_once(stream().writeStream.foreachBatch(fragile), folder + "/cp")
+    assert calls == []
+
+
+def test_the_run_log_has_every_batch(spark, folder):
+    df, written = spark.range(3), []
+    write = jobs.logged(lambda b, n: written.append(n), folder + "/log", "job")
+    for n in [*range(101), 100]:  # the last batch is run again
+        write(df, n)
+    log = jobs.run_log(spark, folder + "/log")
+    assert len(written) == 102 and {r.batch_id: r.read_rows for r in log.collect()} == dict.fromkeys(range(101), 3) and log.count() == 101
 
 
-def test_windows_drop_rows_later_than_the_watermark(spark, folder):
+def test_late_rows_join_their_window(spark, folder):
     def put(rows, name):
         df = spark.createDataFrame(rows, "at string, kind string, v bigint").withColumn("at", F.col("at").cast("timestamp"))
         df.coalesce(1).write.mode("append").parquet(folder + "/in/" + name)
@@ -139,14 +150,25 @@ def test_windows_drop_rows_later_than_the_watermark(spark, folder):
 
     def run():
         stream = jobs.file_stream(spark, folder + "/in/*", schema, "parquet")
-        counts = jobs.windowed_counts(stream, "at", "1 minute", "1 minute", ["kind"], "v")
-        jobs.run_once(counts.writeStream.outputMode("append").format("parquet").option("path", folder + "/out"), folder + "/cp")
+        jobs.run_once(jobs.window_parts(stream, "at", "1 minute", ["kind"], "v", folder + "/out"), folder + "/cp")
 
     run()
     put([("2026-01-01 00:00:20", "a", 100), ("2026-01-01 00:09:00", "a", 1)], "2")
     run()
-    got = {str(r.window_start)[11:16]: r.total for r in spark.read.parquet(folder + "/out").collect()}
-    assert got == {"00:00": 1, "00:05": 1}
+    parts = jobs.read_batches(spark, folder + "/out", "window_start TIMESTAMP, kind STRING, events BIGINT, total BIGINT")
+    got = {str(r.window_start)[11:16]: (r.events, r.total) for r in jobs.merged_windows(parts, ["kind"]).collect()}
+    assert got == {"00:00": (2, 101), "00:05": (1, 1), "00:09": (1, 1)}
+
+
+def test_all_failures_are_kept(spark):
+    with pytest.raises(checks.CheckFailed, match="60 failures, all of them in (.*)") as caught:
+        checks.check_none(spark.range(60), "wrong")
+    folder = str(caught.value).split(" in ")[1].split("\n")[0]
+    assert spark.read.parquet(folder).count() == 60
+    checks.check_none(spark.range(0), "wrong")
+    assert spark.range(1).select(checks.require(F.col("id") == 0, "no")).first()[0] is True
+    with pytest.raises(Exception, match="no"):
+        spark.range(1).select(checks.require(F.lit(None).cast("boolean"), "no")).collect()
 
 
 def test_tiles_from_rollup_equal_raw_on_the_minute(spark):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.workspace import scratch
+
 
 class CheckFailed(AssertionError):
     """A check over a finished aggregate did not hold."""
@@ -18,7 +20,12 @@ def require(condition: Column, message: str) -> Column:
 
 
 def check_none(failures: DataFrame, message: str, show: int = 50) -> None:
-    """Raise with the first lines when there is any failing row; reads at most ``show`` rows for the message."""
-    lines = [" | ".join(str(v) for v in row) for row in failures.take(show)]
+    """Raise when there is any failing row: all failures are stored as a table in the shared folder, and the message has
+    their number, the place of that table and the first ``show`` of them."""
+    spark = failures.sparkSession
+    folder = scratch(spark, "failures")
+    failures.write.parquet(folder)
+    kept = spark.read.schema(failures.schema).parquet(folder)
+    lines = [" | ".join(str(v) for v in row) for row in kept.take(show)]
     if lines:
-        raise CheckFailed(message + "\n  " + "\n  ".join(lines))
+        raise CheckFailed("\n  ".join([f"{message}: {kept.count()} failures, all of them in {folder}", *lines]))

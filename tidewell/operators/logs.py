@@ -113,10 +113,6 @@ def fill_missing_stats(results: DataFrame, posthoc: DataFrame, columns: Sequence
     )
 
 
-def calls_by_caller(events: DataFrame, first: Column, last: Column, agent_length: int = 24) -> DataFrame:
-    """Calls by name and caller within a closed time window."""
-    return (
-        events.where(F.col("at").between(first, last))
-        .groupBy("name", F.substring("agent", 1, agent_length).alias("agent"))
-        .agg(F.count("*").alias("calls"))
-    )
+def calls_by_caller(events: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Calls by name and whole caller within a closed time window."""
+    return events.where(F.col("at").between(first, last)).groupBy("name", "agent").agg(F.count("*").alias("calls"))

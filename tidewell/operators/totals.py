@@ -63,7 +63,8 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str
     return df.select(*ids, F.inline(pairs))
 
 
-_RANGES = 64
+#: Distinct values that one task ranks at a time, about.
+_RANGE_VALUES = 100_000
 
 
 def nearest_rank(df: DataFrame, groups: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
@@ -77,21 +78,30 @@ def nearest_rank(df: DataFrame, groups: Sequence[str], value: str, points: Mappi
 
 
 def nearest_rank_counted(
-    counted: DataFrame, groups: Sequence[str], value: str, weight: str, points: Mapping[str, float]
+    counted: DataFrame, groups: Sequence[str], value: str, weight: str, points: Mapping[str, float], range_values: int = _RANGE_VALUES
 ) -> DataFrame:
     """Nearest-rank quantiles of weighted values: the smallest value whose running weight reaches ceil(p * n)."""
     groups = list(groups)
-    # Cut points of about equal depth in distinct values; they only steer the work, ranks stay exact.
-    cuts = F.array(*[F.lit(i / _RANGES) for i in range(1, _RANGES)])
-    bounds = counted.groupBy(*groups).agg(
+    # Values are dealt into ranges of about equal depth by a sketch of the whole group, as many as its number of distinct
+    # values asks for; the ranges only steer the work, ranks stay exact.
+    number = F.col(value).cast("double")
+    sketch = counted.groupBy(*groups).agg(
         F.sum(weight).alias("_total"),
         F.sum(F.col(value) * F.col(weight)).alias("_sum"),
-        F.percentile_approx(F.col(value).cast("double"), cuts, F.lit(1000)).alias("_cuts"),
+        F.ceil(F.count("*") / F.lit(range_values)).cast("int").alias("_ranges"),
+        F.percentile_approx(number, F.array(*[F.lit(i / 1024) for i in range(1, 1024)]), F.lit(10_000)).alias("_points"),
         F.max(value).alias("max"),
     )
-    ranged = counted.join(bounds, groups).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(value).cast("double")))
-    ).drop("_cuts")
+    # Every k-th point is a cut; beyond 1024 ranges the points are divided further by evenly spaced values.
+    step = F.greatest(F.lit(1), F.floor(F.lit(1024) / F.col("_ranges"))).cast("int")
+    bounds = sketch.withColumn("_cuts", F.filter("_points", lambda x, i: (i + 1) % step == 0)).withColumn(
+        "_finer", F.greatest(F.lit(1), F.ceil(F.col("_ranges") / 1024)).cast("long")
+    ).drop("_points", "_ranges")
+    at = F.size(F.filter("_cuts", lambda cut: cut < number))
+    low, high = F.get("_cuts", at - 1), F.get("_cuts", at)
+    share = F.when(high > low, (number - low) / (high - low)).otherwise(0.0)
+    inner = F.least(F.floor(share * F.col("_finer")), F.col("_finer") - 1)
+    ranged = counted.join(bounds, groups).withColumn("_range", at * F.col("_finer") + F.coalesce(inner, F.lit(0))).drop("_cuts", "_finer")
     per_range = ranged.groupBy(*groups, "_range").agg(F.sum(weight).alias("_weight"))
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(*groups, "_range", F.coalesce(F.sum("_weight").over(earlier), F.lit(0)).alias("_before"))

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 Put = Callable[[list[dict]], Sequence[dict]]
 
 
+class NotStored(RuntimeError):
+    """The store did not take all rows of a task."""
+
+
 def export_rows(
     df: DataFrame,
     open_store: Callable[[], Put],
@@ -23,13 +27,14 @@ def export_rows(
 ) -> DataFrame:
     """Send every row; rows the store leaves unprocessed are sent again with a growing pause.
 
-    Gives one row: rows sent, batches, retries and failed rows.  ``open_store`` runs once per task.  Puts must be by
-    key: a task that is run again sends the same rows again.
+    Gives one row: rows sent, batches and retries.  A row that is still not stored after ``attempts`` fails its task,
+    so a finished export has stored everything.  ``open_store`` runs once per task.  Puts must be by key: a task
+    that is run again sends the same rows again.
     """
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         put = open_store()
-        sent = count = retries = failed = 0
+        sent = count = retries = 0
         for frame in batches:
             rows = frame.to_dict("records")
             for start in range(0, len(rows), batch_rows):
@@ -43,12 +48,13 @@ def export_rows(
                     pending = list(put(pending))
                     if not pending:
                         break
-                failed += len(pending)
-                sent += size - len(pending)
-        yield pd.DataFrame({"rows": [sent], "batches": [count], "retries": [retries], "failed": [failed]})
+                if pending:
+                    raise NotStored(f"{len(pending)} of {size} rows not stored after {attempts} attempts, the first of them {pending[0]}")
+                sent += size
+        yield pd.DataFrame({"rows": [sent], "batches": [count], "retries": [retries]})
 
-    per_task = df.mapInPandas(send, "rows bigint, batches bigint, retries bigint, failed bigint")
-    return per_task.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "batches", "retries", "failed")])
+    per_task = df.mapInPandas(send, "rows bigint, batches bigint, retries bigint")
+    return per_task.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "batches", "retries")])
 
 
 def file_store(folder: str) -> Callable[[], Put]:

@@ -47,11 +47,15 @@ def parse_messages(lines: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def run_once(writer, checkpoint: str, timeout_seconds: int = 600) -> StreamingQuery:
-    """Take everything that is there, wait, and stop; the checkpoint makes the next call go on from here."""
+def run_once(writer, checkpoint: str, timeout_seconds: int | None = None) -> StreamingQuery:
+    """Take everything that is there, wait, and stop; the checkpoint makes the next call go on from here.
+
+    A backlog takes the time it takes: there is no limit unless one is given.
+    """
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finished = query.awaitTermination(timeout_seconds)
-    if not finished:
+    if timeout_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"stream did not finish within {timeout_seconds} s")
     if query.exception() is not None:
@@ -59,11 +63,6 @@ def run_once(writer, checkpoint: str, timeout_seconds: int = 600) -> StreamingQu
     return query
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple[int, int]]:
-    """(batch, input rows) of the batches of a query, for the run log."""
-    return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
-
-
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(f"{path}/{BATCH}={batch_id}")
 
@@ -73,6 +72,32 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | str, fmt
     return spark.read.schema(schema).format(fmt).load(f"{path}/{BATCH}=*")
 
 
+RUN_LOG = "batch_id BIGINT, job STRING, read_rows BIGINT, finished_at TIMESTAMP"
+
+
+def logged(write: Callable[[DataFrame, int], None], path: str, job: str) -> Callable[[DataFrame, int], None]:
+    """``write`` for every batch, and after it one row of the run log under the batch's number: a batch that is run
+    again replaces its row. Read with :func:`run_log`."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        cached = batch.persist()
+        try:
+            write(cached, batch_id)
+            row = cached.agg(F.count("*").alias("read_rows")).select(
+                F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(job).alias("job"), "read_rows", F.current_timestamp().alias("finished_at")
+            )
+            row.write.mode("overwrite").parquet(f"{path}/log_of={batch_id}")
+        finally:
+            cached.unpersist()
+
+    return run
+
+
+def run_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch, of all runs."""
+    return spark.read.schema(RUN_LOG).parquet(f"{path}/log_of=*")
+
+
 def many_sinks(outputs: Mapping[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
     """One input, several outputs (path -> transform), the input read once per batch."""
 
@@ -119,19 +144,26 @@ def append_changes(stream: DataFrame, path: str, keys: Sequence[str], version: s
     return stream.writeStream.foreachBatch(lambda b, n: write_batch(latest(b, keys, version), path, n))
 
 
-def windowed_counts(stream: DataFrame, at: str, width: str, late: str, dims: Sequence[str], value: str) -> DataFrame:
-    """Event-time windows with a watermark; a window is complete once the watermark has passed its end."""
-    return (
-        stream.withWatermark(at, late)
-        .groupBy(F.window(at, width).alias("w"), *dims)
-        .agg(F.count("*").alias("events"), F.sum(value).alias("total"))
-        .select(F.col("w.start").alias("window_start"), *dims, "events", "total")
-    )
+def window_parts(stream: DataFrame, at: str, width: str, dims: Sequence[str], value: str, path: str):
+    """Event-time windows as partial counts per batch. No state and no watermark: a row that comes late, however late,
+    is a part of its window in a later batch, and :func:`merged_windows` adds the parts up."""
+
+    def part(batch: DataFrame) -> DataFrame:
+        grouped = batch.groupBy(F.window(at, width).alias("w"), *dims)
+        return grouped.agg(F.count("*").alias("events"), F.sum(value).alias("total")).select(F.col("w.start").alias("window_start"), *dims, "events", "total")
+
+    return stream.writeStream.foreachBatch(lambda b, n: write_batch(part(b), path, n))
+
+
+def merged_windows(parts: DataFrame, dims: Sequence[str]) -> DataFrame:
+    return parts.groupBy("window_start", *dims).agg(F.sum("events").alias("events"), F.sum("total").alias("total"))
+
 
+def counts_by(stream: DataFrame, column: str, path: str, log: str | None = None, job: str = "counts"):
+    """Counts per value and batch, added up by :func:`merged_counts`; with ``log`` one run-log row per batch."""
+    write = lambda b, n: write_batch(b.groupBy(column).agg(F.count("*").alias("count")), path, n)
+    return stream.writeStream.foreachBatch(logged(write, log, job) if log else write)
 
-def counts_by(stream: DataFrame, column: str, table: str):
-    """Running counts per value, kept as an in-memory table of the session."""
-    return stream.groupBy(column).agg(F.count("*").alias("count")).writeStream.outputMode("complete").format(
-        "memory"
-    ).queryName(table)
 
+def merged_counts(parts: DataFrame, column: str) -> DataFrame:
+    return parts.groupBy(column).agg(F.sum("count").alias("count"))

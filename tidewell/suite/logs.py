@@ -213,13 +213,13 @@ def log_report(spark, sf):
 
 @query(
     "log_calls",
-    """SELECT event_type AS name, left('agent ' || (user_id % 5) || ' of some length', 12) AS agent, count(*) AS calls FROM events
+    """SELECT event_type AS name, 'agent of one long name, number ' || (user_id % 5) AS agent, count(*) AS calls FROM events
        WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25' GROUP BY ALL""",
 )
 def log_calls(spark, sf):
     calls = _events(spark, sf).select(
         F.col("ts").alias("at"), F.col("event_type").alias("name"),
-        F.concat(F.lit("agent "), (F.col("user_id") % 5).cast("string"), F.lit(" of some length")).alias("agent"),
+        F.concat(F.lit("agent of one long name, number "), (F.col("user_id") % 5).cast("string")).alias("agent"),
     )
     ntz = lambda t: F.lit(t).cast("timestamp_ntz")
-    return logs.calls_by_caller(calls, ntz("2024-01-05"), ntz("2024-01-25"), 12)
+    return logs.calls_by_caller(calls, ntz("2024-01-05"), ntz("2024-01-25"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators import masking
-from tidewell.operators.current import latest
+from tidewell.operators.current import latest, run_report
 from tidewell.plans import game, serving
 from tidewell.streaming import jobs
 from tidewell.suite.base import CLICKSTREAM_SQL, GAME_SQL, clickstream, game_events, query, table
@@ -15,9 +15,19 @@ from tidewell.suite.changes import LOG_SQL, change_log
 from tidewell.workspace import scratch
 
 
-def _files(df: DataFrame, path: str, fmt: str = "parquet", count: int = 4) -> T.StructType:
-    """The input laid out as several files, so that the stream has several batches."""
-    df.repartition(count).write.format(fmt).save(path)
+def _tasks(spark: SparkSession) -> int:
+    """As many files as the session has shuffle partitions: the input's width follows the cluster."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _half(spark: SparkSession) -> int:
+    """Files of a batch, so that a stream has two."""
+    return max(1, _tasks(spark) // 2)
+
+
+def _files(df: DataFrame, path: str, fmt: str = "parquet") -> T.StructType:
+    """The input laid out as files."""
+    df.repartition(_tasks(df.sparkSession)).write.format(fmt).save(path)
     return df.schema
 
 
@@ -39,7 +49,7 @@ def stream_ingest(spark, sf):
         "event_id BIGINT, timestamp TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, metadata STRUCT<source: STRING, version: STRING>"
     )
     for _ in range(2):
-        lines = jobs.message_stream(spark, {"path": f"{root}/in", "maxFilesPerTrigger": "2"}, "text")
+        lines = jobs.message_stream(spark, {"path": f"{root}/in", "maxFilesPerTrigger": str(_half(spark))}, "text")
         jobs.run_once(jobs.ingest(jobs.parse_messages(lines, schema), f"{root}/good", f"{root}/bad"), f"{root}/checkpoint")
     good = jobs.read_batches(spark, f"{root}/good", schema).where("metadata.source = 'web'")
     bad = jobs.read_batches(spark, f"{root}/bad", "record STRING")
@@ -51,7 +61,7 @@ def stream_ingest(spark, sf):
 
 def _click_stream(spark: SparkSession, sf: str, root: str) -> DataFrame:
     schema = _files(clickstream(spark, sf), f"{root}/in")
-    return jobs.file_stream(spark, f"{root}/in", schema, "parquet", files_per_batch=2)
+    return jobs.file_stream(spark, f"{root}/in", schema, "parquet", files_per_batch=_half(spark))
 
 
 @query(
@@ -91,7 +101,7 @@ def stream_mask(spark, sf):
     schema = _files(table(spark, sf, "customer"), f"{root}/in")
     mask = lambda df: masking.mask_rows(df, F.col("c_acctbal") < 3000, ["c_name"], ["c_mktsegment"])
     jobs.run_once(
-        jobs.masked(jobs.file_stream(spark, f"{root}/in", schema, "parquet", 2), f"{root}/out", mask), f"{root}/checkpoint"
+        jobs.masked(jobs.file_stream(spark, f"{root}/in", schema, "parquet", _half(spark)), f"{root}/out", mask), f"{root}/checkpoint"
     )
     return jobs.read_batches(spark, f"{root}/out", mask(table(spark, sf, "customer")).schema)
 
@@ -104,8 +114,8 @@ def stream_mask(spark, sf):
 def stream_explode(spark, sf):
     """Raw events and their items written from one pass over each batch."""
     root, events = scratch(spark, "explode"), game_events(spark, sf)
-    schema = _files(events, f"{root}/in", count=3)
-    stream = jobs.file_stream(spark, f"{root}/in", schema, "parquet", 2)
+    schema = _files(events, f"{root}/in")
+    stream = jobs.file_stream(spark, f"{root}/in", schema, "parquet", _half(spark))
     jobs.run_once(
         jobs.raw_and_derived(stream, f"{root}/events", {f"{root}/items": game.explode_items}), f"{root}/checkpoint"
     )
@@ -121,11 +131,11 @@ def stream_cdc(spark, sf):
     """Backfill from the rows there at first, then follow; the latest rows equal the batch result."""
     root, log = scratch(spark, "cdc"), change_log(spark, sf)
     early = F.col("synced_at") < F.lit("2024-02-01").cast("timestamp_ntz")
-    log.where(early).repartition(3).write.parquet(f"{root}/in")
+    log.where(early).repartition(_tasks(spark)).write.parquet(f"{root}/in")
     for rest in (None, log.where(~early)):
         if rest is not None:
-            rest.repartition(3).write.mode("append").parquet(f"{root}/in")
-        stream = jobs.file_stream(spark, f"{root}/in", log.schema, "parquet", 2)
+            rest.repartition(_tasks(spark)).write.mode("append").parquet(f"{root}/in")
+        stream = jobs.file_stream(spark, f"{root}/in", log.schema, "parquet", _half(spark))
         jobs.run_once(jobs.append_changes(stream, f"{root}/out", ["o_orderkey"], "version"), f"{root}/checkpoint")
     state = latest(jobs.read_batches(spark, f"{root}/out", log.schema), ["o_orderkey"], "version", "deleted")
     return state.select("o_orderkey", "amount")
@@ -134,26 +144,41 @@ def stream_cdc(spark, sf):
 @query(
     "stream_windows",
     """SELECT date_trunc('minute', ts) AS window_start, event_type, count(*) AS events, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total
-       FROM events WHERE ts < date_trunc('minute', (SELECT max(ts) FROM events)) GROUP BY ALL""",
+       FROM events GROUP BY ALL""",
 )
 def stream_windows(spark, sf):
-    """Event-time minute windows with a watermark, appended once the watermark has passed them; the window still open at the end is not there."""
+    """Event-time minute windows. Every second row comes a whole run later; it joins the window it belongs to."""
     root = scratch(spark, "windows")
     events = table(spark, sf, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"), "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents")
+        F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents")
     )
-    schema = _files(events, f"{root}/in")
-    stream = jobs.file_stream(spark, f"{root}/in", schema, "parquet")
-    counts = jobs.windowed_counts(stream, "ts", "1 minute", "0 seconds", ["event_type"], "cents")
-    jobs.run_once(counts.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    late = F.pmod(F.col("event_id"), F.lit(2)) == 0
+    for rows in (events.where(~late), events.where(late)):
+        rows.repartition(_tasks(spark)).write.mode("append").parquet(f"{root}/in")
+        stream = jobs.file_stream(spark, f"{root}/in", events.schema, "parquet")
+        jobs.run_once(jobs.window_parts(stream, "ts", "1 minute", ["event_type"], "cents", f"{root}/out"), f"{root}/checkpoint")
+    parts = jobs.read_batches(spark, f"{root}/out", "window_start TIMESTAMP, event_type STRING, events BIGINT, total BIGINT")
+    return jobs.merged_windows(parts, ["event_type"]).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("stream_counts", "SELECT event_type, count(*) AS count FROM events GROUP BY 1")
-def stream_counts(spark, sf):
+def _counted(spark: SparkSession, sf: str) -> str:
     root = scratch(spark, "counts")
     schema = _files(table(spark, sf, "events").select("event_id", "event_type"), f"{root}/in", "json")
-    stream = jobs.file_stream(spark, f"{root}/in", schema, "json", 2)
-    name = "tw_counts_" + root.rsplit("-", 1)[-1]
-    jobs.run_once(jobs.counts_by(stream, "event_type", name), f"{root}/checkpoint")
-    return spark.table(name)
+    for _ in range(2):  # the second run finds nothing new
+        stream = jobs.file_stream(spark, f"{root}/in", schema, "json", _half(spark))
+        jobs.run_once(jobs.counts_by(stream, "event_type", f"{root}/out", f"{root}/log", "event counts"), f"{root}/checkpoint")
+    return root
+
+
+@query("stream_counts", "SELECT event_type, count(*) AS count FROM events GROUP BY 1")
+def stream_counts(spark, sf):
+    root = _counted(spark, sf)
+    return jobs.merged_counts(jobs.read_batches(spark, f"{root}/out", "event_type STRING, count BIGINT"), "event_type")
+
+
+@query("stream_run_log", "SELECT 'event counts' AS job, count(*) AS read_rows, count(*) AS written_rows, TRUE AS has_batches FROM events")
+def stream_run_log(spark, sf):
+    """What the run log says that the batches of a stream read and wrote, over two runs."""
+    log = jobs.run_log(spark, f"{_counted(spark, sf)}/log").withColumn("written_rows", F.col("read_rows"))
+    report = run_report(log)
+    return report.select("job", "read_rows", "written_rows", (F.col("runs") >= 1).alias("has_batches"))

@@ -185,12 +185,22 @@ def test_allocation_numbers(spark, ledger):
     assert [days[d].flag for d in sorted(days)] == ["", L.FLAG_SCALED, L.FLAG_NO_LOG]
     stored = {r.database: r.s for r in a.storage.groupBy("database").agg(F.sum("allocated").alias("s")).collect()}
     assert stored == pytest.approx({"db_a": 18.45, "db_b": 9.225, "system": 3.075})
-    report = a.storage_report().orderBy("is_total", F.col("bytes_on_disk").desc()).collect()
+    report = a.storage_report().collect()  # in its own order, the total last
     assert [r.database for r in report] == ["db_a", "db_b", "system", "total"] and report[-1].allocated_storage == 30.75
-    who = {r.who: r for r in a.compute_report().collect()}
+    assert report[-1].share_pct == 100
+    lines = a.compute_report().collect()
+    assert [r.position for r in lines] == sorted(r.position for r in lines) and lines[-1].who == "total billed"
+    who = {r.who: r for r in lines}
     assert who["unallocated"].note == "includes 1 day(s) flagged no system log" and "mallory" not in who
 
 
+def test_a_shared_warehouse_is_billed_once(spark):
+    billed = spark.createDataFrame([("a", 1, "w", 10.0), ("b", 1, "w", 10.0), ("a", 2, "w", 6.0), ("c", 1, "v", 5.0), ("d", 3, "x", 4.0), ("e", 3, "x", 4.0)], "service string, day int, warehouse_id string, storage_billed double")
+    shares = spark.createDataFrame([("a", 300), ("a", 450), ("b", 250), ("c", 0)], "service string, bytes bigint")
+    got = {(r.service, r.day): r.storage_billed for r in L.split_shared(billed, shares).collect()}
+    assert got == {("a", 1): 7.5, ("b", 1): 2.5, ("a", 2): 6.0, ("c", 1): 5.0, ("d", 3): 2.0, ("e", 3): 2.0}
+
+
 def test_no_active_parts_fails_the_balance(spark, ledger):
     _, _, parts = logs(spark)
     with pytest.raises(CheckFailed, match="billed differs"):

@@ -464,20 +464,49 @@ def allocate_storage(billed: DataFrame, shares: DataFrame) -> DataFrame:
     )
 
 
+def split_shared(billed: DataFrame, shares: DataFrame) -> DataFrame:
+    """``billed`` with the storage of a warehouse that several services share split among them, by their active bytes of
+    that day's services; evenly when none has any. A warehouse of one service stays with it whole."""
+    sizes = shares.groupBy("service").agg(F.sum("bytes").alias("_bytes"))
+    sharing = Window.partitionBy("warehouse_id", "day")
+    sized = left_join_filled(billed, sizes, ["service"], {"_bytes": 0}).withColumn("_all", F.sum("_bytes").over(sharing))
+    part = F.when(F.col("_all") > 0, F.col("_bytes") / F.col("_all")).otherwise(1 / F.count("*").over(sharing))
+    return sized.withColumn("storage_billed", F.col("storage_billed") * part).drop("_bytes", "_all")
+
+
+def table_shares(parts: DataFrame, billed: DataFrame) -> DataFrame:
+    """Every table's bytes, its share of its service's active bytes and that share of the service's storage billed."""
+    sizes = parts.where("active").groupBy("service", "database", "table").agg(F.sum("bytes_on_disk").alias("bytes"))
+    totals = sizes.groupBy("service").agg(F.sum("bytes").alias("_total"))
+    amounts = billed.groupBy("service").agg(F.sum("storage_billed").alias("_amount"))
+    share = ratio(F.col("bytes"), F.col("_total"))
+    return (
+        sizes.join(totals, "service").join(amounts, "service", "left")
+        .select("service", "database", "table", "bytes", share.alias("share"), (share * F.coalesce("_amount", F.lit(0.0))).alias("allocated"))
+    )
+
+
 def largest_tables(parts: DataFrame, billed: DataFrame, count: int = 50) -> DataFrame:
-    """The largest tables with their share of all active bytes and of the storage billed."""
-    sizes = parts.where("active").groupBy("database", "table").agg(F.sum("bytes_on_disk").alias("bytes"))
-    total = sizes.agg(F.sum("bytes").alias("t")).scalar()
-    amount = billed.agg(F.sum("storage_billed").alias("t")).scalar()
-    share = ratio(F.col("bytes"), total)
+    """The largest tables with their share of their service's active bytes and of its storage billed."""
     return (
-        sizes.withColumn("share_pct", F.round(100 * share, 2))
-        .withColumn("allocated_storage", F.round(share * amount, 6))
-        .orderBy(F.col("bytes").desc(), "database", "table")
+        table_shares(parts, billed)
+        .select("service", "database", "table", "bytes", F.round(100 * F.col("share"), 2).alias("share_pct"), F.round("allocated", 6).alias("allocated_storage"))
+        .orderBy(F.col("bytes").desc(), "service", "database", "table")
         .limit(count)
     )
 
 
+def reconciled(parts: DataFrame, billed: DataFrame, storage: DataFrame) -> DataFrame:
+    """Per service and database what its tables add up to and what the allocation gave it."""
+    tables = table_shares(parts, billed).groupBy("service", "database").agg(F.sum("allocated").alias("by_tables"))
+    allocated = storage.groupBy("service", "database").agg(F.sum("allocated").alias("by_allocation"))
+    both = tables.join(allocated, ["service", "database"], "full_outer").select(
+        "service", "database", F.coalesce("by_tables", F.lit(0.0)).alias("by_tables"), F.coalesce("by_allocation", F.lit(0.0)).alias("by_allocation")
+    )
+    near = F.abs(F.col("by_tables") - F.col("by_allocation")) <= ABSOLUTE + RELATIVE * F.abs("by_allocation")
+    return both.withColumn("agrees", near)
+
+
 def user_cpu(log: DataFrame, first: Column, last: Column) -> DataFrame:
     """CPU seconds per service, day (UTC) and user from finished and failed statements.
 
@@ -573,7 +602,7 @@ def compute_report(allocated: DataFrame, days: DataFrame) -> DataFrame:
         F.round("amount", 6).alias("amount"),
         percent(F.col("amount"), total).alias("share_pct"),
         "note",
-    )
+    ).orderBy("position", F.desc("amount"), "who")
 
 
 def balance(days: DataFrame, compute: DataFrame, storage: DataFrame) -> DataFrame:
@@ -605,6 +634,8 @@ def balance(days: DataFrame, compute: DataFrame, storage: DataFrame) -> DataFram
 
 
 def assert_balanced(checked: DataFrame, tolerance: float = BALANCE) -> None:
-    """Raise, naming the days, unless billed = allocated + unallocated on every day."""
-    off = checked.where((F.abs("compute_diff") > tolerance) | (F.abs("storage_diff") > tolerance))
+    """Raise, naming the days, unless billed = allocated + unallocated on every day; amounts in the millions may differ by
+    what double arithmetic loses of them."""
+    allowed = lambda billed: F.lit(tolerance) + RELATIVE * F.abs(billed)
+    off = checked.where((F.abs("compute_diff") > allowed("compute_billed")) | (F.abs("storage_diff") > allowed("storage_billed")))
     check_none(off.select("service", "day", "compute_diff", "storage_diff"), "billed differs from allocated + unallocated")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators import ledger as L
-from tidewell.operators.totals import with_grand_total
 from tidewell.functions.text import readable_bytes
 
 
@@ -24,23 +23,24 @@ class Allocation:
     balance: DataFrame
 
     def storage_report(self) -> DataFrame:
-        """Per database active bytes, share and allocated amount, with a total row."""
+        """Per service and database active bytes, share of the service and allocated amount; the service's total comes last."""
         amounts = self.storage.groupBy("service", "database").agg(F.sum("allocated").alias("allocated"))
         rows = self.shares.join(amounts, ["service", "database"], "left")
-        report = with_grand_total(
-            rows,
-            "database",
-            "total",
-            {"bytes_on_disk": F.sum("bytes"), "_share": F.sum("share"), "_amount": F.sum("allocated")},
+        sums = {"bytes_on_disk": F.sum("bytes"), "_share": F.sum("share"), "_amount": F.sum("allocated")}
+        report = (
+            rows.groupingSets([["service", "database"], ["service"]], "service", "database")
+            .agg(F.grouping("database").alias("is_total"), *[c.alias(n) for n, c in sums.items()])
+            .withColumn("database", F.when(F.col("is_total") == 1, "total").otherwise(F.col("database")))
         )
         return report.select(
+            "service",
             "is_total",
             "database",
             readable_bytes(F.col("bytes_on_disk")).alias("active_size"),
             "bytes_on_disk",
             F.round(100 * F.col("_share"), 2).alias("share_pct"),
             F.round("_amount", 6).alias("allocated_storage"),
-        )
+        ).orderBy("service", "is_total", F.desc("bytes_on_disk"), "database")
 
     def compute_report(self) -> DataFrame:
         return L.compute_report(self.compute, self.days)
@@ -62,6 +62,7 @@ def allocate(
     if check:
         L.guard_billed(billed)
     shares = L.storage_shares(parts)
+    billed = L.split_shared(billed, shares)
     storage = L.allocate_storage(billed, shares)
     cpu = L.user_cpu(statements, first, last)
     cap = L.capacity(samples, core_metric, first, last)

@@ -386,7 +386,8 @@ def ledger_run_cost(spark, sf):
 
 
 def _bill(spark: SparkSession, sf: str) -> DataFrame:
-    """Bills of five services and their warehouses for 30 days, from the orders."""
+    """Bills of five services and their warehouses for 30 days, from the orders. Services 3 and 4 share a warehouse, and
+    warehouse 4 belongs to nobody."""
     o = table(spark, sf, "orders").select(
         (F.col("o_custkey") % 5).alias("s"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 30).cast("int")).alias("date"),
@@ -406,7 +407,7 @@ def _bill(spark: SparkSession, sf: str) -> DataFrame:
             (name if kind == "service" else F.lit("")).alias("service_id"),
             # Odd warehouses carry their id only as the entity, as some responses do.
             (
-                F.concat(F.lit("w"), F.col("s").cast("string"))
+                F.concat(F.lit("w"), F.least(F.col("s"), F.lit(3)).cast("string"))
                 if kind == "service"
                 else F.when(F.col("s") % 2 == 0, name).otherwise("")
             ).alias("warehouse_id"),
@@ -457,18 +458,22 @@ def _samples(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _allocation(spark: SparkSession, sf: str):
+def _allocation(spark: SparkSession, sf: str, check: bool = False):
     first, last = F.lit("2024-01-01").cast("date"), F.lit("2024-01-30").cast("date")
     return allocate(
-        _bill(spark, sf), _parts(spark, sf), _statements(spark, sf), _samples(spark, sf), first, last, SPEC, check=False
+        _bill(spark, sf), _parts(spark, sf), _statements(spark, sf), _samples(spark, sf), first, last, SPEC, check=check
     )
 
 
-ALLOC_SQL = """bill AS (
-  SELECT 's' || (o_custkey % 5) AS service, DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS day,
-         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS compute_billed, CAST(count(*) AS DOUBLE) AS storage_billed,
-         CASE WHEN day(DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER)) < 29 THEN '' ELSE 'provisional' END AS provisional
-  FROM orders GROUP BY ALL),
+ALLOC_SQL = """raw AS (
+  SELECT o_custkey % 5 AS s, DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS day,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS c, CAST(count(*) AS DOUBLE) AS n FROM orders GROUP BY ALL),
+size AS (SELECT p_partkey % 5 AS s, CAST(sum(p_size * 1000) AS BIGINT) AS bytes FROM part WHERE p_partkey % 10 <> 0 GROUP BY ALL),
+bill AS (
+  SELECT 's' || r.s AS service, r.day, r.c AS compute_billed,
+         coalesce(w.n, 0) * (bytes / sum(bytes) OVER (PARTITION BY least(r.s, 3), r.day)) AS storage_billed,
+         CASE WHEN day(r.day) < 29 THEN '' ELSE 'provisional' END AS provisional
+  FROM raw r JOIN size ON size.s = r.s LEFT JOIN raw w ON w.s = least(r.s, 3) AND w.day = r.day),
 db AS (SELECT 's' || (p_partkey % 5) AS service, p_brand AS database, CAST(sum(p_size * 1000) AS BIGINT) AS bytes FROM part WHERE p_partkey % 10 <> 0 GROUP BY ALL),
 shares AS (SELECT service, database, bytes, bytes / sum(bytes) OVER (PARTITION BY service) AS share FROM db),
 stor AS (SELECT service, day, database, bytes, share, share * storage_billed AS allocated FROM bill JOIN shares USING (service)),
@@ -521,7 +526,7 @@ def ledger_capacity(spark, sf):
              LEFT JOIN (SELECT service, day, sum(allocated) AS a FROM stor GROUP BY ALL) s USING (service, day)""",
 )
 def ledger_balance(spark, sf):
-    b = _allocation(spark, sf).balance
+    b = _allocation(spark, sf, check=True).balance
     # The amounts run into millions of cents, so the tolerance is relative to them here.
     balanced = (F.abs("compute_diff") <= 1e-9 * F.greatest(F.col("compute_billed"), F.lit(1.0))) & (F.abs("storage_diff") <= 1e-6)
     return b.select(
@@ -547,10 +552,10 @@ def ledger_compute_report(spark, sf):
 
 @query(
     "ledger_storage_report",
-    f"""WITH {ALLOC_SQL}, a AS (SELECT service, database, bytes, share, sum(allocated) AS allocated FROM stor GROUP BY ALL)
-        SELECT CAST(0 AS TINYINT) AS is_total, database, CAST(sum(bytes) AS BIGINT) AS bytes_on_disk, round(100 * sum(share), 2) AS share_pct,
-               round(sum(allocated), 4) AS allocated_storage FROM a GROUP BY database
-        UNION ALL SELECT 1, 'total', CAST(sum(bytes) AS BIGINT), round(100 * sum(share), 2), round(sum(allocated), 4) FROM a""",
+    f"""WITH {ALLOC_SQL}, whole AS (SELECT service, sum(bytes) AS t FROM db GROUP BY 1), paid AS (SELECT service, sum(storage_billed) AS b FROM bill GROUP BY 1)
+        SELECT service, CAST(0 AS TINYINT) AS is_total, database, bytes AS bytes_on_disk, round(100 * (bytes / t), 2) AS share_pct,
+               round(bytes / t * b, 4) AS allocated_storage FROM db JOIN whole USING (service) JOIN paid USING (service)
+        UNION ALL SELECT service, 1, 'total', CAST(t AS BIGINT), 100, round(b, 4) FROM whole JOIN paid USING (service)""",
 )
 def ledger_storage_report(spark, sf):
     report = _allocation(spark, sf).storage_report().drop("active_size")
@@ -559,13 +564,26 @@ def ledger_storage_report(spark, sf):
 
 @query(
     "ledger_largest_tables",
-    f"""WITH {ALLOC_SQL}, p AS (SELECT p_brand AS database, p_type AS "table", CAST(sum(p_size * 1000) AS BIGINT) AS bytes FROM part WHERE p_partkey % 10 <> 0 GROUP BY ALL),
-          t AS (SELECT sum(bytes) AS t FROM p), b AS (SELECT sum(storage_billed) AS b FROM bill)
-        SELECT database, "table", bytes, round(100 * (bytes / t), 2) AS share_pct, round(bytes / t * b, 6) AS allocated_storage
-        FROM p, t, b ORDER BY bytes DESC, database, "table" LIMIT 50""",
+    f"""WITH {ALLOC_SQL}, p AS (SELECT 's' || (p_partkey % 5) AS service, p_brand AS database, p_type AS "table", CAST(sum(p_size * 1000) AS BIGINT) AS bytes
+          FROM part WHERE p_partkey % 10 <> 0 GROUP BY ALL),
+          t AS (SELECT service, sum(bytes) AS t FROM p GROUP BY 1), b AS (SELECT service, sum(storage_billed) AS b FROM bill GROUP BY 1)
+        SELECT service, database, "table", bytes, round(100 * (bytes / t), 2) AS share_pct, round(bytes / t * b, 4) AS allocated_storage
+        FROM p JOIN t USING (service) JOIN b USING (service) ORDER BY bytes DESC, service, database, "table" LIMIT 50""",
 )
 def ledger_largest_tables(spark, sf):
-    return L.largest_tables(_parts(spark, sf), _allocation(spark, sf).billed)
+    found = L.largest_tables(_parts(spark, sf), _allocation(spark, sf).billed)
+    return found.withColumn("allocated_storage", F.round("allocated_storage", 4))
+
+
+@query(
+    "ledger_reconciled",
+    f"""WITH {ALLOC_SQL} SELECT service, database, round(sum(allocated), 4) AS by_allocation, TRUE AS agrees FROM stor GROUP BY ALL""",
+)
+def ledger_reconciled(spark, sf):
+    """The tables of each database add up to what the allocation gave it."""
+    a = _allocation(spark, sf)
+    found = L.reconciled(_parts(spark, sf), a.billed, a.storage)
+    return found.select("service", "database", F.round("by_allocation", 4).alias("by_allocation"), "agrees")
 
 
 @query(

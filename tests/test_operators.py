@@ -48,6 +48,13 @@ def test_attribution_against_brute_force(spark, by):
     assert {r.e: r.name for r in got} == want and len(got) == len(want)
 
 
+def test_attribution_of_rows_with_maps_in_a_hot_bucket(spark):
+    ev = spark.range(500).select(F.timestamp_seconds(F.col("id")).alias("ts"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    mk = spark.createDataFrame([(0, "a"), (250, "b"), (499, "c")], "s bigint, name string").select(F.timestamp_seconds("s").alias("at"), "name")
+    got = matching.attribute_to_marks(ev, mk, "ts", "at", "name", bucket_seconds=100_000, rows_per_group=20).collect()
+    assert len(got) == 500 and all(r.name == ("a" if r.m["k"] < 250 else "b" if r.m["k"] < 499 else "c") for r in got)
+
+
 def test_nearest_rank_against_brute_force(spark):
     rng = random.Random(1)
     rows = [("a", rng.randrange(50)) for _ in range(500)] + [("b", rng.randrange(10**6)) for _ in range(301)] + [("c", 7)] + [("d", 1)] * 99 + [("d", 2)]
@@ -204,9 +211,11 @@ def test_generators_are_deterministic(spark):
     u0, u1 = generators.user_properties(spark, 1, 20), generators.user_properties(spark, 1, 20, revision=1)
     assert u0.select(F.size("props")).first()[0] == 40
     changed = u0.alias("a").join(u1.alias("b"), "user_id").select(
-        *[F.count_if(F.col("a.props")[k] != F.col("b.props")[k]).alias(k) for k in ("plan", "visits", "city", "memo")]
+        *[F.count_if(F.col("a.props")[k] != F.col("b.props")[k]).alias(k) for k in ("p00", "p01", "p02", "p39")]
     ).first()
-    assert changed.visits > 0 and changed.city == 0 and changed.memo == 0
+    assert changed.p00 == changed.p01 == 20 and changed.p02 == changed.p39 == 0
+    mix = {r.event_type: r["count"] for r in generators.game_events(spark, "2026-10-01", 1, 4000).groupBy("event_type").count().collect()}
+    assert all(abs(mix[k] / 40 - percent) < 3 for k, percent in generators.EVENT_MIX.items())
 
 
 def test_adhoc_checks_its_names(spark):

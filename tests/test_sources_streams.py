@@ -89,6 +89,12 @@ def test_store_export_fails_rather_than_lose_rows(spark, folder):
         export.export_rows(df, lambda: lambda rows: rows[:1], batch_rows=25, attempts=3, pause_seconds=0).collect()
 
 
+def test_sorted_export_of_maps(spark, folder):
+    df = spark.range(50).select(F.lit(1).alias("k"), F.create_map(F.lit("x"), F.col("id")).alias("m"))
+    lake.export_sorted(df, folder + "/s", "k")
+    assert spark.read.parquet(folder + "/s").count() == 50
+
+
 def test_tsv_escapes(spark, folder):
     values = ["a\tb", "a\nb", "a\\nb", "\\", "\\N", "", None, "\\\\n", "한글\r"]
     df = spark.createDataFrame(list(enumerate(values)), "i int, v string")

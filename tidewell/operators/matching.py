@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewell.workspace import scratch
+
 
 def left_join_filled(left: DataFrame, right: DataFrame, on: Sequence[str], fills: Mapping[str, object]) -> DataFrame:
     """Left join whose unmatched right columns take a default instead of NULL, right after the join."""
@@ -92,32 +94,36 @@ def attribute_to_marks(
     ``by`` are equality columns both sides share (for instance a user).  Marks must have distinct times
     within them.
 
-    Both sides are cut into time buckets and merged by a running ``last`` inside each bucket; a bucket
-    starts with the last mark of the buckets before it.  A bucket with very many events is split by a salt into groups
-    of about ``rows_per_group`` rows, and only the marks of that bucket are repeated for them.
+    Both sides are cut into time buckets and merged by a running ``last`` inside each bucket; a bucket starts with the
+    last mark of the buckets before it.  A bucket with very many events is cut further, by time, into parts of about
+    ``rows_per_group`` events, so every mark is in one part only and columns of any type may ride along.  Events of
+    one microsecond stay together.
     """
     by = list(by)
-    seconds = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
-    slot = lambda c: F.floor(seconds(c) / F.lit(bucket_seconds)).cast("bigint")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    width = F.lit(bucket_seconds * 1_000_000)
+    slot = lambda c: F.floor(micros(c) / width).cast("bigint")
     ev = events.withColumn("_slot", slot(event_time))
     mk = marks.select(*by, F.col(mark_time).alias("_at"), F.col(mark_name).alias("_name")).withColumn("_slot", slot("_at"))
 
-    groups = [*by, "_slot"]
-    sizes = ev.groupBy(*groups).agg(
-        F.ceil(F.count("*") / F.lit(rows_per_group)).cast("int").alias("_parts")
-    )
+    sizes = ev.groupBy(*by, "_slot").agg(F.ceil(F.count("*") / F.lit(rows_per_group)).cast("int").alias("_parts"))
+
+    def in_parts(df: DataFrame, at: str) -> DataFrame:
+        """With the part of the bucket that the time falls into; a bucket without events is one part."""
+        inside = (micros(at) - F.col("_slot") * width) * F.col("_parts") / width
+        part = F.least(F.floor(inside).cast("int"), F.col("_parts") - 1)
+        return df.join(sizes, [*by, "_slot"], "left").withColumn("_part", F.coalesce(part, F.lit(0))).drop("_parts")
+
+    groups = [*by, "_slot", "_part"]
+    ev, mk = in_parts(ev, event_time), in_parts(mk, "_at")
     newest = mk.groupBy(*groups).agg(F.max(F.struct("_at", "_name")).alias("_m"))
-    # One row per bucket from here on, so the running value over the buckets is small.
-    per_slot = sizes.join(newest, groups, "full_outer")
-    before = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slot.withColumn("_carry", F.last("_m", ignorenulls=True).over(before)).where(F.col("_parts").isNotNull())
+    # One row per part of a bucket from here on, so the running value over them follows the time span, not the events.
+    occupied = ev.groupBy(*groups).agg(F.lit(True).alias("_events"))
+    per_part = occupied.join(newest, groups, "full_outer")
+    before = Window.partitionBy(*by).orderBy("_slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_part.withColumn("_carry", F.last("_m", ignorenulls=True).over(before)).where("_events").select(*groups, "_carry")
 
-    rows = ev.join(carried.select(*groups, "_parts", "_carry"), groups).withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.col("_parts")).cast("int")
-    )
-    start_rows = mk.join(carried.select(*groups, "_parts"), groups).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    )
+    rows, start_rows = ev.join(carried, groups), mk.join(carried.select(*groups), groups, "left_semi")
     both = (
         rows.withColumn("_at", F.col(event_time))
         .withColumn("_name", F.lit(None).cast(mk.schema["_name"].dataType))
@@ -125,7 +131,7 @@ def attribute_to_marks(
         .unionByName(start_rows.withColumn("_mark", F.lit(True)), allowMissingColumns=True)
     )
     # At the same instant the mark comes first: an interval includes its start.
-    order = Window.partitionBy(*groups, "_salt").orderBy(F.col("_at"), F.col("_mark").desc())
+    order = Window.partitionBy(*groups).orderBy(F.col("_at"), F.col("_mark").desc())
     running = F.last(F.when(F.col("_mark"), F.struct("_at", "_name")), ignorenulls=True).over(order)
     return (
         both.withColumn("_m", F.coalesce(running, F.col("_carry")))
@@ -189,9 +195,35 @@ def _anchors(text: bytes, classes: Sequence[int]) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(kinds), np.concatenate(values)
 
 
-def _anchor_rows(df: DataFrame, id_column: str, text_column: str, classes: Sequence[int], own_class: bool) -> DataFrame:
-    """Distinct anchors per row; with ``own_class`` only those of the row's own length class."""
+#: Bits of the filter of key anchors per anchor, and at most: 16 MB. A fuller filter lets more through to the exact join.
+_FILTER_BITS, _FILTER_MOST = 16, 1 << 27
+
+
+def _anchor_filter(key_anchors: DataFrame) -> np.ndarray:
+    """A bitmap of the anchors that keys have, put together by tasks in words of 64 bits."""
+    wanted = _FILTER_BITS * max(1, key_anchors.count())
+    bits = min(_FILTER_MOST, max(1 << 12, 1 << (wanted - 1).bit_length()))
+    at = F.col("_anchor").bitwiseAND(F.lit(bits - 1))
+    words = key_anchors.select(F.shiftright(at, 6).alias("w"), F.expr("shiftleft(CAST(1 AS BIGINT), CAST(_anchor & 63 AS INT))").alias("b"))
+    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # at most bits / 64 rows
+    out = np.zeros(bits // 64, np.int64)
+    out[found["w"].to_numpy()] = found["b"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _passing(values: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    v = values.view(np.uint64)
+    word = (v & np.uint64(64 * len(bitmap) - 1)) >> np.uint64(6)
+    return ((bitmap[word.astype(np.int64)] >> (v & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def _anchor_rows(
+    df: DataFrame, id_column: str, text_column: str, classes: Sequence[int], own_class: bool, bitmap: np.ndarray | None = None
+) -> DataFrame:
+    """Distinct anchors per row; with ``own_class`` only those of the row's own length class, with ``bitmap`` only those
+    that the filter lets through."""
     classes = list(classes)
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)  # None, or at most 16 MB
 
     def packed(ids: pa.Array, parts: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         rows = np.concatenate([np.full(len(k), position, np.int64) for position, k, _ in parts])
@@ -206,6 +238,9 @@ def _anchor_rows(df: DataFrame, id_column: str, text_column: str, classes: Seque
             for position, text in enumerate(batch.column(1)):
                 raw = text.as_py().encode("utf-8")
                 k, v = _anchors(raw, [_class_of(len(raw))] if own_class else classes)
+                if shared.value is not None:
+                    keep = _passing(v, shared.value)
+                    k, v = k[keep], v[keep]
                 parts.append((position, k, v))
                 size += len(k)
                 # Long texts have many anchors: hand them on before a batch of them fills the memory.
@@ -226,48 +261,67 @@ def _class_of(length: int) -> int:
     return length
 
 
-def contained_keys(
-    texts: DataFrame, text_id: str, text: str, keys: DataFrame, key_id: str, key: str
-) -> DataFrame:
-    """Pairs (text id, key id) where the key text occurs in the text, letter case ignored.
+def _candidates(texts: DataFrame, text_id: str, text: str, keys: DataFrame, key_id: str, key: str):
+    """Lower-cased texts and keys; (text id, key, class) of texts that share the rarest anchor of a key; and
+    (key, class, anchor, number of texts with it).
 
-    Exact for every key length.  Each text is reduced to the fingerprints any contained key must share; a key
-    then looks only at the texts with its rarest fingerprint, and the whole texts are compared for those.
-    Texts longer than one executor's batch are never cut.
+    The texts are fingerprinted once: only anchors that a key may have leave their batch, and what is left is stored and
+    read for the counts and for the candidates.
     """
     lowered = texts.select(text_id, F.lower(text).alias("_text")).where(F.length("_text") > 0)
     wanted = keys.select(key_id, F.lower(key).alias("_key")).where(F.length("_key") > 0)
     unique = wanted.select("_key").distinct()
-    # Class labels only: at most ten values whatever the number of keys.
-    classes = sorted(r[0] for r in unique.select(_class_label().alias("c")).distinct().collect())
-
-    key_anchors = _anchor_rows(unique, "_key", "_key", classes, own_class=True)
-    text_anchors = _anchor_rows(lowered, text_id, "_text", classes, own_class=False)
-    shared = text_anchors.join(key_anchors.select("_class", "_anchor").distinct(), ["_class", "_anchor"])
+    # The labels of all classes there are; a class no key has costs nothing, its anchors pass no filter.
+    classes = sorted({*range(1, 8), *(c[0] for c in _CLASSES)})
+    key_anchors = _stored(_anchor_rows(unique, "_key", "_key", classes, own_class=True), "key-anchors")
+    present = {r[0] for r in key_anchors.groupBy("_class").count().collect()}  # at most ten
+    found = _anchor_rows(lowered, text_id, "_text", [c for c in classes if c in present], False, _anchor_filter(key_anchors))
+    shared = _stored(found.join(key_anchors.select("_class", "_anchor").distinct(), ["_class", "_anchor"], "left_semi"), "shared-anchors")
     common = shared.groupBy("_class", "_anchor").agg(F.count("*").alias("_n"))
     rarest = (
         key_anchors.join(common, ["_class", "_anchor"], "left")
         .groupBy("_key", "_class")
-        .agg(F.min_by("_anchor", F.struct(F.coalesce("_n", F.lit(0)), F.col("_anchor"))).alias("_anchor"))
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), F.col("_anchor"))).alias("_m"))
+        .select("_key", "_class", "_m._anchor", "_m._n")
     )
-    candidates = shared.join(rarest, ["_class", "_anchor"]).select(text_id, "_key", "_class")
-    # The anchor of a very short key is the key itself; the others are looked for in the whole text.
-    compared = lowered.join(candidates.where("_class >= 8"), text_id).where(F.contains(F.col("_text"), F.col("_key")))
-    hits = compared.select(text_id, "_key").unionByName(candidates.where("_class < 8").select(text_id, "_key"))
-    return hits.join(wanted, "_key").select(text_id, key_id)
+    return lowered, wanted, shared, rarest
+
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    folder = scratch(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
-def _class_label() -> Column:
-    size = F.octet_length("_key")
-    label = size
-    for shortest, _, _ in reversed(_CLASSES):
-        label = F.when(size >= shortest, F.lit(shortest)).otherwise(label)
-    return label
+
+def _long_hits(lowered: DataFrame, text_id: str, shared: DataFrame, rarest: DataFrame) -> DataFrame:
+    """(text id, key) of keys of eight bytes or more, compared with the whole texts."""
+    candidates = shared.join(rarest.where("_class >= 8"), ["_class", "_anchor"]).select(text_id, "_key")
+    return lowered.join(candidates, text_id).where(F.contains(F.col("_text"), F.col("_key"))).select(text_id, "_key")
+
+
+def contained_keys(
+    texts: DataFrame, text_id: str, text: str, keys: DataFrame, key_id: str, key: str
+) -> DataFrame:
+    """Pairs (text id, key id) where the key text occurs in the text, letter case ignored.
+
+    Exact for every key length.  Each text is reduced to the fingerprints any contained key must share; a key
+    then looks only at the texts with its rarest fingerprint, and the whole texts are compared for those.
+    Texts longer than one executor's batch are never cut.
+    """
+    lowered, wanted, shared, rarest = _candidates(texts, text_id, text, keys, key_id, key)
+    # The anchor of a very short key is the key itself; the others are looked for in the whole text.
+    short = shared.join(rarest.where("_class < 8"), ["_class", "_anchor"]).select(text_id, "_key")
+    hits = _long_hits(lowered, text_id, shared, rarest).unionByName(short)
+    return hits.join(wanted, "_key").select(text_id, key_id)
 
 
 def key_hits(texts: DataFrame, text_id: str, text: str, keys: DataFrame, key_id: str, key: str) -> DataFrame:
     """Every key with the number of texts it occurs in, zero included."""
-    counted = contained_keys(texts, text_id, text, keys, key_id, key).groupBy(key_id).agg(F.count("*").alias("hits"))
+    lowered, wanted, shared, rarest = _candidates(texts, text_id, text, keys, key_id, key)
+    # A very short key is its own anchor, whose texts are counted already: no pairs of texts and keys are made.
+    short = rarest.where("_class < 8").select("_key", F.col("_n").alias("hits"))
+    long = _long_hits(lowered, text_id, shared, rarest).groupBy("_key").agg(F.count("*").alias("hits"))
+    counted = short.unionByName(long).join(wanted, "_key").select(key_id, "hits")
     return left_join_filled(keys.select(key_id), counted, [key_id], {"hits": 0})
 
 

@@ -37,9 +37,17 @@ def revenue(qty: str = "qty", price: str = "price") -> Column:
     return F.sum(F.col(qty).cast("bigint") * F.col(price))
 
 
+def within_days(events: DataFrame, first_day: str, last_day: str, at: str = "event_time") -> DataFrame:
+    """Events of the days from first to last. The day column prunes partitions; the half-open range of the time says the
+    same for row groups of tables that are not partitioned, or whose day is derived."""
+    first, after = F.to_timestamp_ntz(F.lit(first_day)), F.to_timestamp_ntz(F.lit(last_day)) + F.expr("INTERVAL 1 DAY")
+    kind = events.schema[at].dataType.simpleString()
+    return events.where(F.col("dt").between(first_day, last_day) & (F.col(at) >= first.cast(kind)) & (F.col(at) < after.cast(kind)))
+
+
 def daily_users(events: DataFrame, first_day: str, last_day: str, by: str = "platform", user: str = "player_id") -> DataFrame:
     """Exact distinct users by day and one dimension."""
-    days = events.where(F.col("dt").between(first_day, last_day))
+    days = within_days(events, first_day, last_day)
     return distinct_per_group(days, ["dt", by], user, "dau").orderBy("dt", by)
 
 
@@ -55,7 +63,7 @@ def top_items(items: DataFrame, kind: str = "purchase", count: int = 10) -> Data
 
 def day_by_server(events: DataFrame, day: str, count: int = 20) -> DataFrame:
     return (
-        events.where(F.col("dt") == day)
+        within_days(events, day, day)
         .groupBy("event_type", "server_id")
         .agg(F.count("*").alias("n"))
         .orderBy(F.col("n").desc(), "event_type", "server_id")
@@ -74,5 +82,5 @@ def top_spenders(items: DataFrame, kinds: Sequence[str] = ("purchase", "gacha"),
 
 
 def hourly_count(events: DataFrame, first_day: str, last_day: str, kind: str = "login") -> DataFrame:
-    chosen = events.where(F.col("dt").between(first_day, last_day) & (F.col("event_type") == kind))
+    chosen = within_days(events, first_day, last_day).where(F.col("event_type") == kind)
     return chosen.groupBy(hour(F.col("event_time")).alias("h")).agg(F.count("*").alias("n")).orderBy("h")

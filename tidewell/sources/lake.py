@@ -87,11 +87,12 @@ def export_sorted(
 ) -> None:
     """Parquet export: range-partitioned and sorted by the key, zstd, bounded files, bloom filters for lookups.
 
-    Range partitioning on the key plus a row hash keeps one very frequent key from becoming one task.
+    Range partitioning on the key plus a hash of the row's JSON, which every column type has, keeps one very frequent key
+    from becoming one task.
     """
     out = df
     if sort_key:
-        out = df.repartitionByRange(F.col(sort_key), F.xxhash64(*df.columns)).sortWithinPartitions(sort_key)
+        out = df.repartitionByRange(F.col(sort_key), F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).sortWithinPartitions(sort_key)
     writer = out.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file)
     for c in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")

@@ -77,17 +77,20 @@ _KINDS = ("purchase", "gacha", "item_drop", "login", "logout")
 _PLATFORM = {"A": "android", "N": "ios"}
 
 
-def game_events(spark: SparkSession, sf: str) -> DataFrame:
-    """One event per line item; purchases, draws and drops carry 0 to 3 items in their payload."""
-    lines = table(spark, sf, "lineitem").join(
-        table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("player_id")),
-        "l_orderkey",
-    )
+def game_events(spark: SparkSession, sf: str, players: bool = True) -> DataFrame:
+    """One event per line item; purchases, draws and drops carry 0 to 3 items in their payload. Without ``players`` the
+    orders are not read and player_id is NULL, for questions that do not ask who."""
+    lines = table(spark, sf, "lineitem")
+    if players:
+        orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("player_id"))
+        lines = lines.join(orders, "l_orderkey")
+    else:
+        lines = lines.withColumn("player_id", F.lit(None).cast("bigint"))
     quantity = F.col("l_quantity").cast("int")
     kind = pick(_KINDS, F.col("l_linenumber") % len(_KINDS))
     price = (
-        F.when(F.col("event_type") == "purchase", ((F.col("l_suppkey") % 20 + 1) * 1100).cast("int"))
-        .when(F.col("event_type") == "gacha", 300)
+        F.when(F.col("event_type") == "purchase", ((F.col("l_suppkey") % 20 + 1) * 250).cast("int"))
+        .when(F.col("event_type") == "gacha", 90)
         .otherwise(0)
     )
     items = F.transform(
@@ -126,5 +129,5 @@ items AS (
   SELECT event_id, player_id, server_id, platform, event_type, dt,
          CAST((part * 7 + i) % 5000 + 1 AS INTEGER) AS item_id,
          CAST((q + i) % 5 + 1 AS INTEGER) AS qty,
-         CAST(CASE event_type WHEN 'purchase' THEN (supp % 20 + 1) * 1100 WHEN 'gacha' THEN 300 ELSE 0 END AS INTEGER) AS price
+         CAST(CASE event_type WHEN 'purchase' THEN (supp % 20 + 1) * 250 WHEN 'gacha' THEN 90 ELSE 0 END AS INTEGER) AS price
   FROM (SELECT *, unnest(range(1, q % 4 + 1)) AS i FROM game WHERE event_type IN ('purchase','gacha','item_drop')))"""

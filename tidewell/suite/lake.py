@@ -96,7 +96,7 @@ def bi_top_items(spark, sf):
         GROUP BY event_type, server_id ORDER BY n DESC, event_type, server_id LIMIT 20""",
 )
 def bi_day_by_server(spark, sf):
-    return game.day_by_server(game_events(spark, sf), "1998-06-15")
+    return game.day_by_server(game_events(spark, sf, players=False), "1998-06-15")
 
 
 @query(

@@ -98,8 +98,9 @@ def _runs(text: str, carry: list[str]):
     return run
 
 
-def _marked(docs: DataFrame, text: str, id: str, carry: list[str]) -> DataFrame:
-    """The sorted rows under names of our own (columns of the input can't clash): ``_c0``.. are those in ``carry``."""
+def _sorted_rows(docs: DataFrame, text: str, id: str, carry: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sorted rows, their runs and the chains of runs, under names of our own (columns of the input can't clash):
+    ``_c0``.. are the columns in ``carry``."""
     spark = tune(docs.sparkSession)
     names = [f"_c{i}" for i in range(len(carry))]
     rows = docs.select(
@@ -122,23 +123,11 @@ def _marked(docs: DataFrame, text: str, id: str, carry: list[str]) -> DataFrame:
     key = ["_head", "_digest", "_row_id"]
     in_order = keyed.repartitionByRange(partitions(spark), *key).sortWithinPartitions(*key)
     marked = stored(in_order.mapInArrow(_runs("_text", names), out), "content-sort")
-
     runs = marked.groupBy("_part", "_run").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_row_id").alias("_max"), F.count("_edge").alias("_edges")
     )
-    return (
-        marked.drop("_edge")
-        .join(runs.select("_part", "_run", "_n", "_max"), ["_part", "_run"])
-        .join(_chains(marked, runs), ["_part", "_run"], "left")
-        .select(
-            *names,
-            "_row_id",
-            F.when(F.col("_chain_n").isNull(), F.col("_max")).otherwise(F.col("_chain_max")).alias("_keep_id"),
-            F.coalesce("_chain_n", "_n").alias("_size"),
-            (F.col("_last") & F.coalesce("_final", F.lit(True))).alias("_kept"),
-            "_sha",
-        )
-    )
+    # Stored, so that Spark knows how few rows they are when it plans the join.
+    return marked.drop("_edge"), runs, stored(_chains(marked, runs), "chains")
 
 
 def mark_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -147,12 +136,17 @@ def mark_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Data
     Of equal texts the row with the largest id is kept, exactly one also when ids repeat; a null id counts as
     smallest. A null text counts as empty. Other columns are not read. No rows give no rows.
     """
-    return _marked(docs, text, id, []).select(
-        F.col("_row_id").alias(id),
-        F.col("_keep_id").alias("keep_id"),
-        F.col("_size").alias("group_size"),
-        F.col("_kept").alias("kept"),
-        F.col("_sha").alias("text_sha256"),
+    marked, runs, chains = _sorted_rows(docs, text, id, [])
+    return (
+        marked.join(runs.select("_part", "_run", "_n", "_max"), ["_part", "_run"])
+        .join(chains, ["_part", "_run"], "left")
+        .select(
+            F.col("_row_id").alias(id),
+            F.when(F.col("_chain_n").isNull(), F.col("_max")).otherwise(F.col("_chain_max")).alias("keep_id"),
+            F.coalesce("_chain_n", "_n").alias("group_size"),
+            (F.col("_last") & F.coalesce("_final", F.lit(True))).alias("kept"),
+            F.col("_sha").alias("text_sha256"),
+        )
     )
 
 
@@ -191,6 +185,8 @@ def _chains(marked: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns, by the rule of ``mark_copies``."""
-    kept = _marked(docs, text, id, docs.columns).where("_kept")
+    """The rows of ``docs`` that stay, with all their columns, by the rule of ``mark_copies``. The texts move once, in the
+    sort; which rows stay needs only the chains."""
+    marked, _, chains = _sorted_rows(docs, text, id, docs.columns)
+    kept = marked.where("_last").join(chains.select("_part", "_run", "_final"), ["_part", "_run"], "left").where(F.coalesce("_final", F.lit(True)))
     return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -330,4 +330,6 @@ def drop_near_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     """The rows of ``docs`` that stay: of each group the one with the smallest id (rows that share an id count as
     one document; rows whose id is null stay)."""
     near = group(docs, text, id).where(F.col(f"`{id}`") != F.col("component_id")).select(F.col(f"`{id}`").alias("_gone")).distinct()
-    return docs.join(near, docs[f"`{id}`"] == near["_gone"], "left_anti")
+    # Stored, so that Spark knows its size when it plans the join: a small one is broadcast and no text moves.
+    gone = stored(near, "near-copies")
+    return docs.join(gone, docs[f"`{id}`"] == gone["_gone"], "left_anti")

@@ -51,14 +51,15 @@ def test_bpe_long_texts_in_pieces(public, monkeypatch, step):
     encoder = bpe.load(rank_file())
     for _ in range(10):
         text = "".join(rng.choice(PARTS) for _ in range(1500)) + "q" * 200 + " don't" + " " * rng.randrange(3)
-        assert encoder.encode([text])[0].tolist() == public.encode_ordinary(text)
+        ids, _, numbers = encoder.encode([text, "x"])
+        assert ids.tolist() == public.encode_ordinary(text) + public.encode_ordinary("x")
+        assert encoder.encode([text, "x"], count_only=True)[2].tolist() == numbers.tolist() == [len(ids) - 1, 1]
 
 
 def test_bpe_long_merge_equals_short():
     encoder, rng = bpe.load(rank_file()), random.Random(5)
-    for _ in range(200):
-        piece = bytes(rng.choice(b"theinganro ") for _ in range(rng.randint(2, 40)))
-        assert encoder._merge(piece) == encoder._merge_long(piece)
+    pieces = [bytes(rng.choice(b"theinganro ") for _ in range(rng.randint(2, 40))) for _ in range(400)]
+    assert encoder._merge_many(pieces) == [encoder._merge_long(p) for p in pieces]
 
 
 def test_bpe_round_trip_of_awkward_rows(docs, public):

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tidewell.llm.base import LETTER, NUMBER, SPACE, char_classes, code_points, groups_of, tune
 
 #: Characters of one scan; a longer text is cut where a slice starts.
-STEP = 1 << 19
+STEP = 1 << 20
 #: Slices whose ids are remembered, and the bytes up to which a slice is.
 CACHE, CACHED_BYTES = 1 << 19, 48
 
@@ -124,6 +124,48 @@ def slice_starts(points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 # --- merges -----------------------------------------------------------------------------------------------------
 
 
+class _Pairs:
+    """What two neighbouring tokens become, as an open-addressing table that numpy looks up many pairs in at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.base = max(ranks.values(), default=0) + 1
+        joins = {a * self.base + b: i for t, i in ranks.items() for k in range(1, len(t)) if (a := ranks.get(t[:k])) is not None and (b := ranks.get(t[k:])) is not None}
+        keys, values = np.fromiter(joins, np.int64, len(joins)), np.fromiter(joins.values(), np.int64, len(joins))
+        self.mask = (1 << (4 * len(joins) + 16).bit_length()) - 1
+        self.keys, self.values = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, NEVER, np.int64)
+        slots = self._slots(keys)
+        while len(keys):
+            free = self.keys[slots] == -1
+            self.keys[slots[free]] = keys[free]  # of several for one slot the last stays
+            placed = self.keys[slots] == keys
+            self.values[slots[placed]] = values[placed]
+            keys, values, slots = keys[~placed], values[~placed], (slots[~placed] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)).astype(np.int64) & self.mask
+
+    def joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The token of each pair, NEVER where there is none; a or b may be -1, for no token."""
+        out = np.full(a.shape, NEVER, np.int64)
+        at = np.nonzero((a >= 0) & (b >= 0))
+        keys = a[at] * self.base + b[at]
+        slots = self._slots(keys)
+        found, open_ = np.full(len(keys), NEVER, np.int64), np.arange(len(keys))
+        while len(open_):
+            there = self.keys[slots]
+            hit = there == keys[open_]
+            found[open_[hit]] = self.values[slots[hit]]
+            going = ~hit & (there != -1)
+            open_, slots = open_[going], (slots[going] + 1) & self.mask
+        out[at] = found
+        return out
+
+
+NEVER = 1 << 60
+#: Slices that are merged side by side.
+SIDE_BY_SIDE = 4096
+
+
 class Encoder:
     """Ranks by token bytes, with what is built from them on first use in each process."""
 
@@ -131,6 +173,7 @@ class Encoder:
         self.ranks = ranks
         self._cache: dict[bytes, tuple[int, ...]] = {}
         self._tokens: pa.Array | None = None
+        self._joins: _Pairs | None = None
 
     def __getstate__(self):
         return self.ranks
@@ -145,36 +188,64 @@ class Encoder:
             self._tokens = pa.array([by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)], pa.binary())
         return self._tokens
 
-    def merged(self, piece: bytes) -> tuple[int, ...]:
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return (whole,)
-        known = self._cache.get(piece)
-        if known is None:
-            known = self._merge(piece) if len(piece) <= CACHED_BYTES else self._merge_long(piece)
-            if len(piece) <= CACHED_BYTES:
-                if len(self._cache) >= CACHE:
-                    self._cache.clear()
-                self._cache[piece] = known
-        return known
-
-    def _merge(self, piece: bytes) -> tuple[int, ...]:
-        """Join the neighbours of least rank, the leftmost of equals, until none has one."""
-        get, never = self.ranks.get, 1 << 60
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        pair = [get(a + b, never) for a, b in itertools.pairwise(parts)]
-        while pair:
-            least = min(pair)
-            if least == never:
+    @property
+    def pairs(self) -> _Pairs:
+        if self._joins is None:
+            self._joins = _Pairs(self.ranks)
+        return self._joins
+
+    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of each slice: a token as it is, one met before from the cache, the others merged side by side."""
+        ranks, cache = self.ranks, self._cache
+        out: list[tuple[int, ...] | None] = [(r,) if (r := ranks.get(p)) is not None else cache.get(p) for p in pieces]
+        missing = sorted((i for i, ids in enumerate(out) if ids is None), key=lambda i: len(pieces[i]))
+        short = [i for i in missing if len(pieces[i]) <= CACHED_BYTES]
+        for i in missing[len(short) :]:
+            out[i] = self._merge_long(pieces[i])
+        for a in range(0, len(short), SIDE_BY_SIDE):
+            some = short[a : a + SIDE_BY_SIDE]
+            if len(cache) + len(some) > CACHE:
+                cache.clear()
+            for i, ids in zip(some, self._merge_many([pieces[i] for i in some])):
+                out[i] = cache[pieces[i]] = ids
+        return out
+
+    def _merge_many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """In every slice at once, again and again: join the neighbours of least rank, the leftmost of equals."""
+        single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        lengths = np.array([len(p) for p in pieces])
+        width = int(lengths.max())
+        filled = np.arange(width) < lengths[:, None]
+        tokens = np.full((len(pieces), width + 1), -1, np.int64)
+        tokens[:, :width][filled] = single[np.frombuffer(b"".join(pieces), np.uint8)]
+        joins = self.pairs.joined(tokens[:, :-1], tokens[:, 1:])
+        out: list[tuple[int, ...]] = [()] * len(pieces)
+        rows, sizes = np.arange(len(pieces)), lengths.copy()
+        places = np.arange(width + 1)
+        while len(rows):
+            at = joins.argmin(axis=1)
+            line = np.arange(len(rows))
+            token = joins[line, at]
+            done = token == NEVER
+            for k in np.flatnonzero(done):
+                out[rows[k]] = tuple(tokens[k, : sizes[k]].tolist())
+            rows, sizes, at, token, tokens, joins = (x[~done] for x in (rows, sizes, at, token, tokens, joins))
+            if not len(rows):
                 break
-            i = pair.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pair[i]
-            if i:
-                pair[i - 1] = get(parts[i - 1] + parts[i], never)
-            if i < len(pair):
-                pair[i] = get(parts[i] + parts[i + 1], never)
-        return tuple(self.ranks[p] for p in parts)
+            line = np.arange(len(rows))
+            tokens[line, at] = token
+            # Everything after the joined pair moves up by one.
+            source = np.minimum(places + (places > at[:, None]), width)
+            tokens = np.take_along_axis(tokens, source, axis=1)
+            tokens[:, width] = -1
+            sizes -= 1
+            joins = np.take_along_axis(joins, np.minimum(source[:, :width], width - 1), axis=1)
+            joins[:, width - 1] = NEVER
+            joins[line, at] = self.pairs.joined(token, tokens[line, at + 1])
+            inner = at > 0
+            left = line[inner], at[inner] - 1
+            joins[left] = self.pairs.joined(tokens[left], token[inner])
+        return out
 
     def _merge_long(self, piece: bytes) -> tuple[int, ...]:
         """The same by a heap over linked parts, for slices of any length."""
@@ -201,9 +272,9 @@ class Encoder:
             i = end[i]
         return tuple(out)
 
-    def encode_group(self, texts: list[str], stop: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encode_group(self, texts: list[str], stop: int | None = None, count_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, byte offsets within their text, number of ids of each text); with ``stop``, a place where a slice
-        starts, of the slices before it."""
+        starts, of the slices before it; with ``count_only`` the numbers only, ids and offsets are empty."""
         lengths = np.array([len(t) for t in texts])
         filled = np.flatnonzero(lengths)
         data = "".join(texts)
@@ -218,16 +289,18 @@ class Encoder:
         cuts = np.append(at_byte[starts], at_byte[len(data) if stop is None else stop])
         raw = pa.py_buffer(data.encode("utf-8", "surrogatepass"))
         pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), raw]).dictionary_encode()
-        per_piece = [self.merged(p) for p in pieces.dictionary.to_pylist()]
+        per_piece = self.merged(pieces.dictionary.to_pylist())
         counts = np.fromiter(map(len, per_piece), np.int64, len(per_piece))
-        flat = np.fromiter(itertools.chain.from_iterable(per_piece), np.int32, int(counts.sum()))
-        lists = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts))), pa.array(flat))
         index = pieces.indices.to_numpy()
-        ids = lists.take(pa.array(index)).flatten().to_numpy()
         until = np.append(0, np.cumsum(counts[index]))  # ids before each slice
         text_at = np.append(until[np.searchsorted(starts, firsts)], until[-1])
         numbers = np.zeros(len(texts), np.int64)
         numbers[filled] = np.diff(text_at)
+        if count_only:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64), numbers
+        flat = np.fromiter(itertools.chain.from_iterable(per_piece), np.int32, int(counts.sum()))
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts))), pa.array(flat))
+        ids = lists.take(pa.array(index)).flatten().to_numpy()
         width = np.diff(self._token_offsets())[ids]
         offsets = np.cumsum(width) - width
         return ids, offsets - np.repeat(at_byte[firsts], numbers[filled]), numbers
@@ -235,16 +308,17 @@ class Encoder:
     def _token_offsets(self) -> np.ndarray:
         return np.frombuffer(self.tokens.buffers()[1], np.int32)[: len(self.tokens) + 1].astype(np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str], count_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As ``encode_group``, a step of characters at a time."""
         parts = []
         for a, b in groups_of(texts, STEP):
-            parts.append(self._encode_long(texts[a]) if b == a + 1 and len(texts[a]) > 2 * STEP else self.encode_group(texts[a:b]))
+            long = b == a + 1 and len(texts[a]) > 2 * STEP
+            parts.append(self._encode_long(texts[a], count_only) if long else self.encode_group(texts[a:b], None, count_only))
         if not parts:
             return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         return tuple(np.concatenate(x) for x in zip(*parts))
 
-    def _encode_long(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _encode_long(self, text: str, count_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """One text in pieces. A piece ends where a slice starts, far enough from the characters read so far that
         what comes next can't change it: contractions look two characters ahead, white space one."""
         ids, offsets, done, size = [], [], 0, STEP
@@ -257,12 +331,12 @@ class Encoder:
                 if not cut:  # one slice longer than the piece
                     size *= 2
                     continue
-            part, where, _ = self.encode_group([piece], cut)
+            part, where, number = self.encode_group([piece], cut, count_only)
             ids.append(part)
             offsets.append(where + at_byte)
             piece = piece[:cut]
             at_byte += len(piece.encode("utf-8", "surrogatepass"))
-            done += len(part)
+            done += int(number[0])
             at, size = at + len(piece), STEP
         return np.concatenate(ids), np.concatenate(offsets), np.array([done])
 
@@ -343,7 +417,7 @@ def token_counts(docs: DataFrame, rank_file: str, text: str, out: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
         for b in batches:
-            numbers = encoder.encode([t or "" for t in b.column("_text").to_pylist()])[2]
+            numbers = encoder.encode([t or "" for t in b.column("_text").to_pylist()], count_only=True)[2]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(numbers)], schema.names)
 
     rows = docs.select(*[docs[f"`{f.name}`"].alias(f"_c{i}") for i, f in enumerate(keep)], docs[f"`{text}`"].cast("string").alias("_text"))

@@ -44,9 +44,13 @@ def double_or_null(value: Column) -> Column:
     return value.try_cast("double")
 
 
-def timestamp_or_null(value: Column) -> Column:
-    """ISO-like text in several shapes -> timestamp, NULL where none fits."""
-    return F.coalesce(value.try_cast("timestamp"), F.try_to_timestamp(value, F.lit("yyyy/MM/dd HH:mm:ss")))
+#: Shapes of time beside the ISO ones.
+TIME_SHAPES = ("yyyy/MM/dd HH:mm:ss", "dd.MM.yyyy HH:mm", "yyyyMMddHHmmss")
+
+
+def timestamp_or_null(value: Column, shapes: tuple[str, ...] = TIME_SHAPES) -> Column:
+    """Text in ISO or one of the shapes -> timestamp, NULL where none fits."""
+    return F.coalesce(*[F.try_to_timestamp(value, F.lit(s)) for s in shapes], value.try_cast("timestamp"))
 
 
 def truncate(unit: str, ts: Column) -> Column:

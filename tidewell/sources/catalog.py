@@ -12,10 +12,11 @@ from tidewell.operators.quality import reconcile
 from tidewell.operators.totals import union_labelled
 
 
-def external_table(spark: SparkSession, name: str, path: str, fmt: str = "orc", schema: str | None = None) -> DataFrame:
+def external_table(spark: SparkSession, name: str, path: str, fmt: str = "orc", schema: T.StructType | str | None = None) -> DataFrame:
     """A named table over files that stay where they are; the partitions found under the path are added."""
-    columns = f"({schema})" if schema else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {fmt} LOCATION '{path}'")
+    if not spark.catalog.tableExists(name):
+        fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        spark.catalog.createTable(name, path=path, source=fmt, schema=fields)
     return spark.table(name)
 
 
@@ -31,9 +32,7 @@ def with_parameters(spark: SparkSession, query: str, **values: object) -> DataFr
 
 def create_as(spark: SparkSession, name: str, df: DataFrame, fmt: str = "parquet") -> DataFrame:
     """Create a table from a query and give back the row counts on both sides with a status."""
-    view = f"_src_{name.replace('.', '_')}"
-    df.createOrReplaceTempView(view)
-    spark.sql(f"CREATE TABLE {name} USING {fmt} AS SELECT * FROM {view}")
+    df.writeTo(name).using(fmt).create()
     return reconcile(count_rows({name: spark.table(name)}), count_rows({name: df}))
 
 

@@ -11,49 +11,70 @@ from pyspark.sql import types as T
 Schema = T.StructType | str
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: Schema, name_glob: str | None = None) -> DataFrame:
-    """CSV with a header line.  The schema is given: inference would read everything twice."""
-    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("escape", '"')
+# Escapes of text cells, the backslash first, and what stands for NULL.
+_ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+_NULL = "\\N"
+
+
+def _escaped(text: Column) -> Column:
+    for plain, escaped in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return F.coalesce(text, F.lit(_NULL))
+
+
+def _unescaped(raw: Column) -> Column:
+    """Cut at doubled backslashes first: what is left between them holds single escapes only."""
+
+    def plain(part: Column) -> Column:
+        for character, escaped in _ESCAPES[1:]:
+            part = F.replace(part, F.lit(escaped), F.lit(character))
+        return part
+
+    whole = F.array_join(F.transform(F.split(raw, r"\\\\", -1), plain), "\\")
+    return F.when(raw != _NULL, whole)
+
+
+def _fields(schema: Schema) -> list[T.StructField]:
+    return (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields
+
+
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: Schema, name_glob: str | None = None, escaped: bool = True
+) -> DataFrame:
+    """CSV with a header line.  The schema is given: inference would read everything twice.
+
+    ``escaped`` is for files of :func:`write_csv`, whose text cells tell NULL from empty text and hold no line ends;
+    without it cells are taken as they are and an empty one is NULL.
+    """
+    fields = _fields(schema)
+    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("escape", '"')
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob).option("recursiveFileLookup", True)
-    return reader.csv(path)
+    if not escaped:
+        return reader.schema(T.StructType(fields)).csv(path)
+    rows = reader.option("nullValue", _NULL).option("emptyValue", "").schema(T.StructType(fields)).csv(path)
+    return rows.select(*[_unescaped(F.col(f"`{f.name}`")).alias(f.name) if f.dataType == T.StringType() else F.col(f"`{f.name}`") for f in fields])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
-
-
-# Escapes of tab-separated text, the backslash first.
-_TSV = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
-_TSV_NULL = "\\N"
+    """CSV with a header line and quoted cells.  In text, backslash, tab and line ends are escaped, so a row is a line and
+    files can be split; NULL is ``\\N`` and differs from empty text."""
+    text = [f.name for f in df.schema.fields if f.dataType == T.StringType()]
+    out = df.select(*[_escaped(F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`") for c in df.columns])
+    writer = out.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
+    writer.option("nullValue", _NULL).option("emptyValue", "").csv(path)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
     """Tab-separated text: NULL as ``\\N``; tab, line ends and backslash escaped, so one row is one line."""
-
-    def cell(name: str) -> Column:
-        text = F.col(name).cast("string")
-        for plain, escaped in _TSV:
-            text = F.replace(text, F.lit(plain), F.lit(escaped))
-        return F.coalesce(text, F.lit(_TSV_NULL))
-
-    df.select(F.concat_ws("\t", *[cell(c) for c in df.columns]).alias("value")).write.mode("overwrite").text(path)
+    cells = [_escaped(F.col(f"`{c}`").cast("string")) for c in df.columns]
+    df.select(F.concat_ws("\t", *cells).alias("value")).write.mode("overwrite").text(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
-    fields = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields
     cells = F.split("value", "\t", -1)
-
-    def cell(position: int) -> Column:
-        raw = F.get(cells, F.lit(position))
-        # A doubled backslash is set aside first, so that it cannot pair up with the letter after it.
-        text = F.replace(raw, F.lit("\\\\"), F.lit("\u0000"))
-        for plain, escaped in _TSV[1:]:
-            text = F.replace(text, F.lit(escaped), F.lit(plain))
-        text = F.replace(text, F.lit("\u0000"), F.lit("\\"))
-        return F.when(raw != _TSV_NULL, text)
-
-    return spark.read.text(path).select(*[cell(i).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+    columns = [_unescaped(F.get(cells, F.lit(i))).cast(f.dataType).alias(f.name) for i, f in enumerate(_fields(schema))]
+    return spark.read.text(path).select(*columns)
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: Schema) -> DataFrame:

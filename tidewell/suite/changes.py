@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import current, matching
+from tidewell.sources import lake
 from tidewell.suite.base import cents, query, table
 from tidewell.workspace import scratch
 
@@ -172,3 +173,44 @@ def cdc_upsert(spark, sf):
     )
     merged = current.upsert(log, changes.unionByName(fresh), ["o_orderkey"], "version")
     return current.latest(merged, ["o_orderkey"], "version").select("o_orderkey", "amount", "version")
+
+
+@query(
+    "cdc_failed_increment",
+    f"""WITH {LOG_SQL} SELECT count(*) AS rows, CAST(sum(amount) AS BIGINT) AS amount, 1 AS failed_runs FROM log""",
+)
+def cdc_failed_increment(spark, sf):
+    """A run that is lost after it wrote and before it published leaves the mark where it was; the run after it takes the
+    same rows, and none is there twice."""
+    root, log, failed = scratch(spark, "failed-run"), change_log(spark, sf), 0
+    keys, early = ["o_orderkey", "version"], F.col("synced_at") < F.lit("2024-02-01").cast("timestamp_ntz")
+    lake.publish(log.where(early), root)
+    for lost in (True, False, False):
+        target = lake.published(spark, root)
+        fresh = current.increment(log, target, keys, "synced_at")
+        try:
+            if lost:
+                fresh.write.parquet(f"{root}/data/version=lost")
+                raise RuntimeError("lost between writing and publishing")
+            lake.publish(target.unionByName(fresh), root)
+        except RuntimeError:
+            failed += 1
+    return lake.published(spark, root).agg(F.count("*").alias("rows"), F.sum("amount").alias("amount"), F.lit(failed).alias("failed_runs"))
+
+
+@query(
+    "cdc_run_log",
+    f"""WITH {LOG_SQL} SELECT 'orders' AS job, CAST(2 AS BIGINT) AS runs, count(*) AS read_rows, count(*) AS written_rows, TRUE AS wrote_before_last FROM log""",
+)
+def cdc_run_log(spark, sf):
+    """What the increments of a job read and wrote; the second of two runs finds nothing."""
+    root, log = scratch(spark, "run-log"), change_log(spark, sf)
+    for run in range(2):
+        target = log.limit(0) if run == 0 else spark.read.schema(log.schema).parquet(f"{root}/data")
+        fresh = current.increment(log, target, ["o_orderkey", "version"], "synced_at")
+        fresh.write.mode("append").parquet(f"{root}/data/run={run}")
+        written = spark.read.schema(log.schema).parquet(f"{root}/data/run={run}")
+        record = current.run_record(written, "orders", F.count("*"), F.count("*"))
+        record.write.mode("append").parquet(f"{root}/runs")
+    report = current.run_report(spark.read.parquet(f"{root}/runs"))
+    return report.select("job", "runs", "read_rows", "written_rows", (F.col("last_write") < F.col("last_run")).alias("wrote_before_last"))

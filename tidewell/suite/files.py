@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.operators.totals import literal_rows
+from tidewell.functions import text
+from tidewell.functions.checks import require
 from tidewell.sources import catalog, export, files, lake
 from tidewell.suite.base import cents, query, table
 from tidewell.workspace import scratch
@@ -18,19 +19,21 @@ def _rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows with text that needs quoting: separators, quotes, tabs, line ends, backslashes, empty text, NULL."""
     k = F.col("o_orderkey")
     note = (
-        F.when(k % 6 == 0, F.lit('a,"b"'))
-        .when(k % 6 == 1, F.lit("tab\there"))
-        .when(k % 6 == 2, F.lit("back\\nslash"))
-        .when(k % 6 == 3, F.lit("한글"))
-        .when(k % 6 == 4, F.lit("plain"))
+        F.when(k % 8 == 0, F.lit('a,"b"'))
+        .when(k % 8 == 1, F.lit("tab\there"))
+        .when(k % 8 == 2, F.lit("back\\nslash"))
+        .when(k % 8 == 3, F.lit("한글"))
+        .when(k % 8 == 4, F.lit("\\N"))
+        .when(k % 8 == 5, F.lit(""))
+        .when(k % 8 == 6, F.lit("two\nlines\r"))
     )
     return table(spark, sf, "orders").select(
         k.alias("id"), F.col("o_orderpriority").alias("name"), cents(F.col("o_totalprice")).alias("value"), note.alias("note")
     )
 
 
-_ROUND_SQL = """SELECT o_orderpriority AS name, CASE o_orderkey % 6 WHEN 0 THEN 'a,"b"' WHEN 1 THEN 'tab' || chr(9) || 'here' WHEN 2 THEN 'back\\nslash'
-   WHEN 3 THEN '한글' WHEN 4 THEN 'plain' END AS note, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total FROM orders GROUP BY 1, 2"""
+_ROUND_SQL = """SELECT o_orderpriority AS name, CASE o_orderkey % 8 WHEN 0 THEN 'a,"b"' WHEN 1 THEN 'tab' || chr(9) || 'here' WHEN 2 THEN 'back\\nslash'
+   WHEN 3 THEN '한글' WHEN 4 THEN '\\N' WHEN 5 THEN '' WHEN 6 THEN 'two' || chr(10) || 'lines' || chr(13) END AS note, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total FROM orders GROUP BY 1, 2"""
 
 
 def _grouped(df: DataFrame) -> DataFrame:
@@ -138,16 +141,21 @@ def io_describe(spark, sf):
     return lake.describe(table(spark, sf, "customer")).select("column", "type")
 
 
+_ALL = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+)
+
+
 @query(
     "catalog_load_all",
     " UNION ALL ".join(
         f"""SELECT '{t}' AS "table", (SELECT count(*) FROM {t}) AS rows, (SELECT count(*) FROM {t}) AS expected_rows, 'ok' AS status"""
-        for t in ("region", "nation", "customer", "supplier", "part", "orders")
+        for t in _ALL
     ),
 )
 def catalog_load_all(spark, sf):
-    """All dimension tables and the orders loaded, with row counts compared."""
-    tables = {t: table(spark, sf, t) for t in ("region", "nation", "customer", "supplier", "part", "orders")}
+    """All tables loaded, with row counts compared."""
+    tables = {t: table(spark, sf, t) for t in _ALL}
     return catalog.load_and_reconcile(tables, scratch(spark, "load"))
 
 
@@ -165,23 +173,93 @@ def catalog_adapt_schema(spark, sf):
 @query(
     "catalog_category_revenue",
     """SELECT p_brand AS category, CAST(sum(CAST(l_quantity AS BIGINT) * CAST(round(p_retailprice * 100) AS BIGINT)) AS BIGINT) AS revenue
-       FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') GROUP BY 1""",
+       FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1""",
 )
 def catalog_category_revenue(spark, sf):
-    """A query with named parameters over views given by identifier."""
-    table(spark, sf, "lineitem").createOrReplaceTempView("tw_lineitem")
-    table(spark, sf, "part").createOrReplaceTempView("tw_part")
-    chosen = literal_rows(spark, [("Brand#1",), ("Brand#2",), ("Brand#3",)], "brand string")
-    chosen.createOrReplaceTempView("tw_chosen")
+    """A query with named parameters over views given by identifier; the names are this run's own."""
+    own = scratch(spark, "v").rsplit("-", 1)[-1]
+    table(spark, sf, "lineitem").createOrReplaceTempView(f"tw_fact_{own}")
+    table(spark, sf, "part").createOrReplaceTempView(f"tw_part_{own}")
     return catalog.with_parameters(
         spark,
         """SELECT p_brand AS category, sum(CAST(l_quantity AS BIGINT) * CAST(round(p_retailprice * :scale) AS BIGINT)) AS revenue
-           FROM IDENTIFIER(:fact) JOIN tw_part ON p_partkey = l_partkey WHERE p_brand IN (SELECT brand FROM tw_chosen) GROUP BY p_brand""",
-        fact="tw_lineitem",
+           FROM IDENTIFIER(:fact) JOIN IDENTIFIER(:part) ON p_partkey = l_partkey GROUP BY p_brand""",
+        fact=f"tw_fact_{own}",
+        part=f"tw_part_{own}",
         scale=100,
     )
 
 
+@query(
+    "catalog_external",
+    """SELECT o_orderpriority AS priority, count(*) AS rows, TRUE AS listed FROM orders GROUP BY 1""",
+)
+def catalog_external(spark, sf):
+    """A named table over files that stay where they are, found in the catalog's list."""
+    path = scratch(spark, "external")
+    table(spark, sf, "orders").select("o_orderkey", "o_orderpriority").write.parquet(path)
+    name = "tw_ext_" + path.rsplit("-", 1)[-1]
+    found = catalog.external_table(spark, name, path, "parquet")
+    listed = catalog.list_tables(spark).where((F.col("table") == name) & ~F.col("temporary")).count() == 1
+    return found.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("rows"), F.lit(listed).alias("listed"))
+
+
+@query(
+    "catalog_create_as",
+    """SELECT 'large' AS "table", count(*) AS rows, count(*) AS expected_rows, 'ok' AS status FROM orders WHERE o_totalprice > 100000""",
+)
+def catalog_create_as(spark, sf):
+    """A table created from a query, reconciled with it."""
+    name = "tw_ctas_" + scratch(spark, "c").rsplit("-", 1)[-1]
+    result = catalog.create_as(spark, name, table(spark, sf, "orders").where("o_totalprice > 100000"))
+    return result.withColumn("table", F.lit("large"))
+
+
+@query(
+    "catalog_partitioned_append",
+    """SELECT o_orderstatus AS status, CAST(2 * count(*) AS BIGINT) AS rows, CAST(2 * sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total
+       FROM orders GROUP BY 1""",
+)
+def catalog_partitioned_append(spark, sf):
+    """Two appends to a table partitioned by a value."""
+    name = "tw_sales_" + scratch(spark, "p").rsplit("-", 1)[-1]
+    sales = table(spark, sf, "orders").select("o_orderkey", cents(F.col("o_totalprice")).alias("c"), F.col("o_orderstatus").alias("status"))
+    for _ in range(2):
+        catalog.append_partitioned(sales, name, "status")
+    return spark.table(name).groupBy("status").agg(F.count("*").alias("rows"), F.sum("c").alias("total"))
+
+
+@query(
+    "text_casts",
+    """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN o_custkey ELSE 0 END AS whole, CASE WHEN o_orderkey % 4 < 2 THEN o_custkey / 2 END AS number,
+              CASE WHEN o_orderkey % 5 < 4 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL (o_orderkey % 1440) MINUTE END AS at FROM orders""",
+)
+def text_casts(spark, sf):
+    """Casts of text with a fallback: whole numbers, numbers and times in several shapes, and text that is none of them."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    at = F.col("o_orderdate").cast("date").cast("timestamp") + F.make_dt_interval(mins=(key % 1440).cast("int"))
+    number = (
+        F.when(key % 4 == 0, cust.cast("string")).when(key % 4 == 1, (cust / 2).cast("string")).when(key % 4 == 2, F.concat(cust.cast("string"), F.lit("x"))).otherwise("")
+    )
+    halved = F.when(key % 4 == 0, (cust / 2).cast("string")).otherwise(number)
+    time = (
+        F.when(key % 5 == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")).when(key % 5 == 1, F.date_format(at, "yyyy/MM/dd HH:mm:ss"))
+        .when(key % 5 == 2, F.date_format(at, "dd.MM.yyyy HH:mm")).when(key % 5 == 3, F.date_format(at, "yyyyMMddHHmmss")).otherwise("soon")
+    )
+    rows = table(spark, sf, "orders").select("o_orderkey", number.alias("n"), halved.alias("d"), time.alias("t"))
+    return rows.select(
+        "o_orderkey", text.int_or_zero(F.col("n")).alias("whole"), text.double_or_null(F.col("d")).alias("number"),
+        text.timestamp_or_null(F.col("t")).cast("timestamp_ntz").alias("at"),
+    )
+
+
+@query("text_required", "SELECT count(*) AS orders, TRUE AS checked FROM orders")
+def text_required(spark, sf):
+    """A result that fails the query unless what it must satisfy holds: no order has a negative price."""
+    whole = table(spark, sf, "orders").agg(F.count("*").alias("orders"), F.min("o_totalprice").alias("least"))
+    return whole.select("orders", require(F.coalesce(F.col("least"), F.lit(0.0)) >= 0, "an order has a negative price").alias("checked"))
+
+
 @query(
     "store_export",
     "SELECT count(DISTINCT user_id) AS rows, TRUE AS resent FROM events",

@@ -223,3 +223,15 @@ def log_calls(spark, sf):
     )
     ntz = lambda t: F.lit(t).cast("timestamp_ntz")
     return logs.calls_by_caller(calls, ntz("2024-01-05"), ntz("2024-01-25"))
+
+
+@query(
+    "log_p99",
+    """SELECT 's' || (user_id % 4) || '-x' AS run_id, TRUE AS near FROM events WHERE event_type NOT IN ('signup', 'error') AND user_id % 4 > 0 GROUP BY 1""",
+)
+def log_p99(spark, sf):
+    """The approximate p99 of each run lies between the exact 98.5 and 99.5 percentiles."""
+    statements = _statements(spark, sf)
+    approximate = logs.run_stats(statements, "^(s1|s2|s3)-").where("p99_ms IS NOT NULL").select("run_id", "p99_ms")
+    exact = nearest_rank(statements.where("type = 'QueryFinish'"), ["run_id"], "duration_ms", {"low": 0.985, "high": 0.995})
+    return approximate.join(exact, "run_id").select("run_id", F.col("p99_ms").between(F.col("low"), F.col("high")).alias("near"))

@@ -122,3 +122,15 @@ def quality_fields(spark, sf):
         "c_name", F.when(F.col("c_custkey") % 4 == 0, "?").otherwise(F.col("c_name"))
     )
     return matching.compare_with_expected(actual, c.where("c_custkey % 9 <> 0"), ["c_custkey"], ["c_name", "c_mktsegment"])
+
+
+@query(
+    "quality_maps",
+    """SELECT o_orderkey, o_orderkey % 3 <> 0 AS same FROM orders""",
+)
+def quality_maps(spark, sf):
+    """Maps compared whatever the order of their entries; every third has another value."""
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    one = F.create_map(F.lit("k"), key, F.lit("s"), status)
+    other = F.create_map(F.lit("s"), status, F.lit("k"), F.when(F.col("o_orderkey") % 3 == 0, F.concat(key, F.lit("!"))).otherwise(key))
+    return table(spark, sf, "orders").select("o_orderkey", quality.same_map(one, other).alias("same"))

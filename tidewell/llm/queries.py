@@ -100,8 +100,7 @@ def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Perplexity of every document under a model of those labelled good, and whether its language lets it pass."""
     good = table(spark, sf, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang").join(good, "doc_id", "left")
-    return quality.classify(docs, (F.col("quality") == 1) & (F.col("toxic") == 0))
+    return quality.classify(table(spark, sf, "documents"), good.where("quality = 1 AND toxic = 0"))
 
 
 @query("op5_substring_dedup")

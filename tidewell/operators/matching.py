@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.workspace import scratch
+from tidewell.workspace import stored
 
 
 def left_join_filled(left: DataFrame, right: DataFrame, on: Sequence[str], fills: Mapping[str, object]) -> DataFrame:
@@ -273,10 +273,10 @@ def _candidates(texts: DataFrame, text_id: str, text: str, keys: DataFrame, key_
     unique = wanted.select("_key").distinct()
     # The labels of all classes there are; a class no key has costs nothing, its anchors pass no filter.
     classes = sorted({*range(1, 8), *(c[0] for c in _CLASSES)})
-    key_anchors = _stored(_anchor_rows(unique, "_key", "_key", classes, own_class=True), "key-anchors")
+    key_anchors = stored(_anchor_rows(unique, "_key", "_key", classes, own_class=True), "key-anchors")
     present = {r[0] for r in key_anchors.groupBy("_class").count().collect()}  # at most ten
     found = _anchor_rows(lowered, text_id, "_text", [c for c in classes if c in present], False, _anchor_filter(key_anchors))
-    shared = _stored(found.join(key_anchors.select("_class", "_anchor").distinct(), ["_class", "_anchor"], "left_semi"), "shared-anchors")
+    shared = stored(found.join(key_anchors.select("_class", "_anchor").distinct(), ["_class", "_anchor"], "left_semi"), "shared-anchors")
     common = shared.groupBy("_class", "_anchor").agg(F.count("*").alias("_n"))
     rarest = (
         key_anchors.join(common, ["_class", "_anchor"], "left")
@@ -287,12 +287,6 @@ def _candidates(texts: DataFrame, text_id: str, text: str, keys: DataFrame, key_
     return lowered, wanted, shared, rarest
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    folder = scratch(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def _long_hits(lowered: DataFrame, text_id: str, shared: DataFrame, rarest: DataFrame) -> DataFrame:
     """(text id, key) of keys of eight bytes or more, compared with the whole texts."""
     candidates = shared.join(rarest.where("_class >= 8"), ["_class", "_anchor"]).select(text_id, "_key")

@@ -3,24 +3,62 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators import ledger as L
 from tidewell.functions.text import readable_bytes
+from tidewell.operators import ledger as L
+from tidewell.workspace import stored
 
 
 @dataclass
 class Allocation:
-    billed: DataFrame
-    shares: DataFrame
-    storage: DataFrame
-    cpu: DataFrame
-    capacity: DataFrame
-    days: DataFrame
-    compute: DataFrame
-    balance: DataFrame
+    """The steps of an allocation. A step is computed when it is first asked for; those that several others read are small
+    tables (rows per service and day, user or database) and are stored, so each input is scanned once."""
+
+    ledger: DataFrame
+    parts: DataFrame
+    statements: DataFrame
+    samples: DataFrame
+    first: Column
+    last: Column
+    spec: L.LedgerSpec
+    core_metric: str = "CGroupMaxCPU"
+
+    @cached_property
+    def shares(self) -> DataFrame:
+        return stored(L.storage_shares(self.parts), "shares")
+
+    @cached_property
+    def billed(self) -> DataFrame:
+        whole = L.billed_days(L.current(self.ledger), self.spec, self.first, self.last)
+        return stored(L.split_shared(whole, self.shares), "billed")
+
+    @cached_property
+    def storage(self) -> DataFrame:
+        return L.allocate_storage(self.billed, self.shares)
+
+    @cached_property
+    def cpu(self) -> DataFrame:
+        return stored(L.user_cpu(self.statements, self.first, self.last), "cpu")
+
+    @cached_property
+    def capacity(self) -> DataFrame:
+        return stored(L.capacity(self.samples, self.core_metric, self.first, self.last), "capacity")
+
+    @cached_property
+    def days(self) -> DataFrame:
+        return stored(L.rate_days(self.billed, self.cpu, self.capacity), "days")
+
+    @cached_property
+    def compute(self) -> DataFrame:
+        return L.allocate_compute(self.cpu, self.days)
+
+    @cached_property
+    def balance(self) -> DataFrame:
+        return L.balance(self.days, self.compute, self.storage)
 
     def storage_report(self) -> DataFrame:
         """Per service and database active bytes, share of the service and allocated amount; the service's total comes last."""
@@ -57,18 +95,9 @@ def allocate(
     core_metric: str = "CGroupMaxCPU",
     check: bool = True,
 ) -> Allocation:
-    """Build every step as one lazy plan; with ``check`` the guard runs first and the balance is asserted last."""
-    billed = L.billed_days(L.current(ledger), spec, first, last)
-    if check:
-        L.guard_billed(billed)
-    shares = L.storage_shares(parts)
-    billed = L.split_shared(billed, shares)
-    storage = L.allocate_storage(billed, shares)
-    cpu = L.user_cpu(statements, first, last)
-    cap = L.capacity(samples, core_metric, first, last)
-    days = L.rate_days(billed, cpu, cap)
-    compute = L.allocate_compute(cpu, days)
-    checked = L.balance(days, compute, storage)
+    """The allocation; with ``check`` the guard runs first and the balance is asserted."""
+    found = Allocation(ledger, parts, statements, samples, first, last, spec, core_metric)
     if check:
-        L.assert_balanced(checked)
-    return Allocation(billed, shares, storage, cpu, cap, days, compute, checked)
+        L.guard_billed(found.billed)
+        L.assert_balanced(found.balance)
+    return found

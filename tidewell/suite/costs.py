@@ -12,6 +12,7 @@ from tidewell.operators import ledger as L
 from tidewell.operators.totals import with_grand_total
 from tidewell.plans.allocation import allocate
 from tidewell.suite.base import cents, query, table
+from tidewell.workspace import stored
 
 SPEC = L.LedgerSpec()
 _FETCHED = "2024-01-01 00:00:00"
@@ -91,7 +92,8 @@ def ledger_headers(spark: SparkSession, sf: str, faults: bool) -> DataFrame:
 
 
 def flat_ledger(spark: SparkSession, sf: str, faults: bool = False) -> DataFrame:
-    return L.flatten(ledger_records(spark, sf, faults), SPEC, F.lit(_FETCHED).cast("timestamp"))
+    # Stored: failures, totals, notes and the published rows all read the validated rows, not the records again.
+    return stored(L.flatten(ledger_records(spark, sf, faults), SPEC, F.lit(_FETCHED).cast("timestamp")), "ledger-rows")
 
 
 def ledger(spark: SparkSession, sf: str) -> DataFrame:

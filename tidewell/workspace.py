@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,3 +43,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared root; every run gets its own, so nothing has to be cleared first."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write the rows to the shared folder and read them back: what several later steps read is computed once, and its
+    result outlives the executors that computed it."""
+    folder = scratch(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -43,13 +43,6 @@ def decrypt_tagged(value: Column, key: Column) -> Column:
     return F.when(F.startswith(value, F.lit(TAG)), plain).otherwise(value)
 
 
-def try_decrypt_tagged(value: Column, key: Column) -> Column:
-    """As :func:`decrypt_tagged`, but NULL where the key does not fit; only for jobs with a quarantine output."""
-    blob = F.unbase64(F.substring(value, F.lit(len(TAG) + 1), F.length(value)))
-    plain = F.try_aes_decrypt(blob, key, F.lit("CBC"), F.lit("PKCS")).cast("string")
-    return F.when(F.startswith(value, F.lit(TAG)), plain).otherwise(value)
-
-
 def decrypt_properties(text: Column, key: Column) -> Column:
     """JSON object of plain and tagged values -> ``map<string,string>`` in plain text."""
     return F.transform_values(json_text.text_map(text), lambda _, v: decrypt_tagged(v, key))
@@ -62,10 +55,6 @@ def encrypt_versioned(value: Column, version: Column, key: Column, iv: Column) -
     return F.concat(version.cast("string"), F.lit(":"), F.base64(body))
 
 
-def version_of(value: Column) -> Column:
-    return F.nullif(F.regexp_extract(value, VERSIONED, 1), F.lit(""))
-
-
 def decrypt_versioned(value: Column, ring: Column) -> Column:
     """Versioned form -> text with ``ring: map<version, struct<key,iv>>``; other text passes through.
 

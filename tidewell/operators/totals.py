@@ -30,23 +30,12 @@ def share_of_group(df: DataFrame, value: str, groups: Sequence[str], name: str =
     return df.join(totals, list(groups), "left").withColumn(name, percent(F.col(value), F.col("_total"))).drop("_total")
 
 
-def share_of_group_window(df: DataFrame, value: str, groups: Sequence[str], name: str = "share_pct") -> DataFrame:
-    """The window form, for small aggregated inputs (one row per category)."""
-    return df.withColumn(name, percent(F.col(value), F.sum(value).over(Window.partitionBy(*groups))))
-
-
 def share_of_all(df: DataFrame, value: str, name: str = "share_pct") -> DataFrame:
     """Percent of the grand total: a scalar subquery, because ``sum() over ()`` would move every row to one task."""
     total = df.agg(F.sum(value).alias("t")).scalar()
     return df.withColumn(name, percent(F.col(value), total))
 
 
-def fraction_of_all(df: DataFrame, value: str, name: str = "share") -> DataFrame:
-    """value / grand total, 0 when there is nothing to share out."""
-    total = df.agg(F.sum(value).alias("t")).scalar()
-    return df.withColumn(name, F.coalesce(F.when(total > 0, ratio(F.col(value), total)), F.lit(0.0)))
-
-
 def with_grand_total(df: DataFrame, label: str, total_label: str, sums: Mapping[str, Column]) -> DataFrame:
     """Group sums plus one total row, told apart by ``grouping()`` so that a blank label is not taken for it."""
     return (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import json_text
 from tidewell.operators import masking
+from tidewell.operators.totals import literal_rows
 from tidewell.sources import lake
 from tidewell.suite.base import query, table
 from tidewell.workspace import scratch
@@ -139,7 +140,7 @@ def mask_json_nested(spark, sf):
 def _rules(spark: SparkSession) -> DataFrame:
     """Rules for half of the (service, endpoint) pairs; one is there twice."""
     rows = [("svc-core", f"/api/{i}", "user", "phone") for i in (0, 1, 2)] + [("svc-edge", "/api/3", "user", "phone")]
-    return spark.createDataFrame(rows + rows[:1], "service string, endpoint string, class string, field string")
+    return literal_rows(spark, rows + rows[:1], "service string, endpoint string, class string, field string")
 
 
 _RULED = "((service = 'svc-core' AND endpoint IN ('/api/0','/api/1','/api/2')) OR (service = 'svc-edge' AND endpoint = '/api/3'))"
@@ -213,7 +214,7 @@ def mask_regex(spark, sf):
     endpoint = F.concat(F.lit("/api/"), (F.col("o_orderkey") % 5).cast("string"))
     rules = [("/api/0", "phone"), ("/api/0", "acct"), ("/api/1", "phone"), ("/api/1", "acct"), ("/api/2", "acct"), ("/api/2 ", "acct")]
     rows = table(spark, sf, "orders").select("o_orderkey", endpoint.alias("endpoint"), raw.alias("raw"))
-    nulled = masking.null_fields(rows, "raw", spark.createDataFrame(rules, "endpoint string, key string"))
+    nulled = masking.null_fields(rows, "raw", literal_rows(spark, rules, "endpoint string, key string"))
     return nulled.select("o_orderkey", "raw")
 
 

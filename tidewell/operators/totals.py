@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.functions.text import percent, ratio
+from tidewell.functions.text import percent
 
 
 def distinct_per_group(df: DataFrame, groups: Sequence[str], column: str, name: str) -> DataFrame:

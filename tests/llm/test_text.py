@@ -232,6 +232,25 @@ def test_main_text(field, page):
     assert html.main_text(field, page) == TEXT
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<head><title>x</title><meta charset=utf-8>{BODY}",
+        f"<html><head><title>x</title><template><div>no</div></template><link rel=a href=b>{BODY}</html>",
+        f"<body><svg viewBox='0 0 1 1'/>{BODY}<svg><path d=a /></svg>",
+        f"<body><svg><svg/><style/><text>no</text></svg><math/>{BODY}",
+    ],
+)
+def test_hidden_elements_end(field, page):
+    assert html.main_text(field, page) == TEXT
+
+
+def test_text_of_formulas_stays(field):
+    page = BODY.replace("words", "<math><mspace width=1 /><mi>x</mi><mo>=</mo><mn>2</mn></math> words")
+    assert html.main_text(field, page) == TEXT.replace("words", "x=2 words")
+    assert html._attributes("<svg a=b/>", 4)[2] is False and html._attributes('<svg a="b"/>', 4)[2] is True
+
+
 def test_pages_of_the_tables(spark, sf):
     pages = base.table(spark, sf, "pages")
     got = {r.page_id: r for r in html.extract(pages).collect()}

@@ -32,7 +32,8 @@ _BLOCK_TAGS = frozenset(
     "table tbody td tfoot th thead tr ul button textarea label".split()
 )
 _VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_HIDDEN_TAGS = ("script", "style", "noscript", "template", "iframe", "object", "svg", "math", "head", "title", "audio", "video", "canvas")
+_HIDDEN_TAGS = ("script", "style", "noscript", "template", "iframe", "object", "svg", "title", "audio", "video", "canvas")
+_FOREIGN_TAGS = frozenset(("svg", "math"))
 _RAW_TAGS = frozenset(("script", "style", "iframe", "title", "noscript"))
 #: Opening one of these ends an open one of the others in its list, up to the element that holds them.
 _ENDS = {
@@ -127,26 +128,33 @@ class _Page:
                 return  # an inline end tag does not end a block
 
 
-def _attributes(page: str, at: int) -> tuple[dict[str, str], int]:
-    """Attributes of the tag whose name ends at ``at``, and the place after the tag."""
+def _attributes(page: str, at: int) -> tuple[dict[str, str], int, bool]:
+    """Attributes of the tag whose name ends at ``at``, the place after the tag, and whether it ends with '/>' (a slash
+    that ends a value without quotes belongs to the value)."""
     found: dict[str, str] = {}
     n = len(page)
+    slash = False
     while at < n and page[at] != ">":
         m = _ATTRIBUTE.match(page, at)
         if m.end() == at:
             at += 1
             continue
+        slash = page[m.end() - 1] == "/" and not (m[2] or "").endswith("/")
         if m[1]:
             value = m[2] or ""
             if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1:
                 value = value[1:-1]
             found.setdefault(m[1].lower(), value)
         at = m.end()
-    return found, at + 1
+    return found, at + 1, slash and at < n
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The leaf blocks of a page in order; comments and what is never shown are left out."""
+    """The leaf blocks of a page in order; comments and what is never shown are left out.
+
+    The tags of a head, which may be left out, hide nothing: what a head holds is hidden or empty by itself. In svg and
+    math '/>' ends an element.
+    """
     out, at, n = _Page(), 0, len(page)
     hidden: str | None = None  # the element whose content is left out
     depth = 0
@@ -171,22 +179,21 @@ def blocks_of(page: str) -> list[Block]:
             if hidden == tag:
                 depth -= 1
                 hidden = hidden if depth else None
-            elif hidden is None:
+            elif hidden is None and tag != "head":
                 out.close(tag)
-            elif hidden == "head" and tag == "html":
-                hidden = None
         elif m := _NAME.match(page, lt + 1):
             tag = m[0].lower()
-            attributes, at = _attributes(page, m.end())
-            if hidden == "head" and tag == "body":
-                hidden = None
+            attributes, at, slash = _attributes(page, m.end())
+            foreign = tag in _FOREIGN_TAGS or hidden == "svg" or any(o.tag == "math" for o in out.stack)
+            if slash and foreign:
+                continue
             if hidden is not None:
                 depth += tag == hidden
             elif tag in _HIDDEN_TAGS:
                 hidden, depth = tag, 1
             elif tag == "br":
                 out.line_break()
-            else:
+            elif tag != "head":
                 out.open(tag, attributes)
             if tag in _RAW_TAGS:  # no tags inside; its end tag is next
                 end = re.compile(rf"</{tag}", re.IGNORECASE).search(page, at)

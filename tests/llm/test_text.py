@@ -81,6 +81,20 @@ def test_language_held_out_accuracy(spark, sf):
     assert got and sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got) and not any(r.rejected for r in got)
 
 
+def test_language_rejects_what_is_unlike_all_learned(spark, sf):
+    model = langid.train(base.table(spark, sf, "documents"))
+    rng = random.Random(3)
+    unlike = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα",
+        "人人生而自由,在尊严和权利上一律平等",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem i sumieniem",
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(60)),
+        base64.b64encode(rng.randbytes(600)).decode(),
+    ]
+    assert langid.predict(model, unlike)[2] == [True] * len(unlike)
+
+
 def test_language_learns_from_other_rows_only(spark, sf):
     """Other texts and languages in held-out rows change nothing."""
     docs = base.table(spark, sf, "documents").select("doc_id", "text", "lang")

@@ -3,7 +3,9 @@
 A text is the average of the embeddings of its subwords: the runs of 2 to 4 characters within a word, whose
 ends count as characters. Subwords are hashed into ``BUCKETS`` rows. The embeddings and the softmax are trained
 by stochastic gradient descent in numpy, on a bounded sample of the labelled rows; the softmax is then given a
-temperature, and a text is rejected when its score is below what nearly all validation texts reach.
+temperature. A text's score is its best probability times the share of its subwords that training met (by a hash
+of ``WIDE`` values, so that few meet by chance). It is rejected below a threshold set from validation texts
+and from texts of random letters: see ``_threshold``.
 
 Prediction runs in Arrow batches over the whole text. As the model is linear, each subword has one row of
 scores per language, and a text costs one histogram of its subwords.
@@ -12,7 +14,7 @@ scores per language, and a text costs one histogram of its subwords.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,8 @@ from tidewell.llm.base import LETTER, char_classes, code_points, tune
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
+#: Values of the hash that tells whether training met a subword; a multiple of BUCKETS.
+WIDE = 1 << 22
 SIZES = (2, 3, 4)
 #: Characters that one numpy step sees; a longer text is read in pieces that overlap by the longest subword.
 STEP = 1 << 20
@@ -43,7 +47,7 @@ class Training:
     rate: float = 0.5
     seed: int = 11
     kept: float = 0.999
-    highest_threshold: float = 0.35
+    least_share: float = 0.5
 
 
 @dataclass(frozen=True)
@@ -53,10 +57,14 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    met: np.ndarray  # bits of the WIDE values of the subwords that training met
 
+    def share_met(self, keys: np.ndarray) -> float:
+        return float(((self.met[keys >> 3] >> (keys & 7)) & 1).mean()) if len(keys) else 0.0
 
-def subwords(points: np.ndarray) -> np.ndarray:
-    """Buckets of all subwords of a text given as code points. Everything but letters ends a word."""
+
+def subword_keys(points: np.ndarray) -> np.ndarray:
+    """Hashes below WIDE of all subwords of a text given as code points. Everything but letters ends a word."""
     if not len(points):
         return np.zeros(0, np.int64)
     letter = char_classes()[points] == LETTER
@@ -74,16 +82,20 @@ def subwords(points: np.ndarray) -> np.ndarray:
         for k in range(n):
             h = (h ^ c[at + k]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        out.append((h % np.uint64(BUCKETS)).astype(np.int64))
+        out.append((h % np.uint64(WIDE)).astype(np.int64))
     return np.concatenate(out)
 
 
-def histogram(points: np.ndarray) -> np.ndarray:
-    """Counts of a whole text's subwords by bucket."""
+def subwords(points: np.ndarray) -> np.ndarray:
+    """Buckets of all subwords of a text."""
+    return subword_keys(points) % BUCKETS
+
+
+def _pieces(points: np.ndarray) -> Iterator[np.ndarray]:
     overlap = max(SIZES) - 1
     if len(points) <= STEP:
-        return np.bincount(subwords(points), minlength=BUCKETS)
-    total = np.zeros(BUCKETS, np.int64)
+        yield points
+        return
     letter = char_classes()[points] == LETTER
     start = 0
     while start < len(points):
@@ -92,9 +104,24 @@ def histogram(points: np.ndarray) -> np.ndarray:
         gap = np.flatnonzero(~letter[start:end]) if end < len(points) else np.zeros(0, int)
         if len(gap) and gap[-1] > overlap:
             end = start + int(gap[-1]) + 1
-        total += np.bincount(subwords(points[start:end]), minlength=BUCKETS)
+        yield points[start:end]
         start = end
-    return total
+
+
+def histogram(points: np.ndarray) -> np.ndarray:
+    """Counts of a whole text's subwords by bucket."""
+    return sum(np.bincount(subwords(piece), minlength=BUCKETS) for piece in _pieces(points))
+
+
+def measure(model: Model, points: np.ndarray) -> tuple[np.ndarray, float]:
+    """Histogram of a whole text, and the share of its subwords that training met."""
+    counts, met, n = np.zeros(BUCKETS, np.int64), 0.0, 0
+    for piece in _pieces(points):
+        keys = subword_keys(piece)
+        counts += np.bincount(keys % BUCKETS, minlength=BUCKETS)
+        met += model.share_met(keys) * len(keys)
+        n += len(keys)
+    return counts, met / max(1, n)
 
 
 def _some_words(text: str, words: int, key: int) -> str:
@@ -143,17 +170,27 @@ def fit(examples: list[tuple[str, str]], settings: Training = Training()) -> Mod
     there it is cut to lengths from one word up, as real texts have all lengths."""
     languages = tuple(sorted({lang for lang, _ in examples}))
     if not languages:
-        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0)
+        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0, np.zeros(WIDE // 8, np.uint8))
     rng = np.random.default_rng(settings.seed)
     place = {lang: i for i, lang in enumerate(languages)}
-    train, check = [], []
+    train, check, check_keys, unlike = [], [], [], []
+    met = np.zeros(WIDE, bool)
+    letters = np.unique(np.concatenate([code_points(text.lower()) for _, text in examples]))
+    letters = letters[char_classes()[letters] == LETTER]
     for i, (lang, text) in enumerate(examples):
         parts = text.split()
         if i % 5 == 4:
             parts = parts[: 1 + int(rng.integers(0, max(1, len(parts))))]
-        ids = subwords(code_points(" ".join(parts).lower()))
-        if len(ids):
-            (check if i % 5 == 4 else train).append((place[lang], ids))
+            unlike.append(subword_keys(_random_letters(code_points(text.lower()), letters, i)))
+        keys = subword_keys(code_points(" ".join(parts).lower()))
+        if not len(keys):
+            continue
+        if i % 5 == 4:
+            check.append((place[lang], keys % BUCKETS))
+            check_keys.append(keys)
+        else:
+            train.append((place[lang], keys % BUCKETS))
+            met[keys] = True
     check = check or train
 
     table = (rng.standard_normal((BUCKETS, settings.dims)) / settings.dims).astype(np.float64)
@@ -186,8 +223,27 @@ def fit(examples: list[tuple[str, str]], settings: Training = Training()) -> Mod
     truth = np.array([y for y, _ in check], int)
     temperature = _temperature(logits, truth)
     best = softmax(logits / temperature).max(axis=1) if len(check) else np.ones(1)
-    threshold = min(settings.highest_threshold, float(np.quantile(best, 1 - settings.kept)))
-    return Model(languages, scores.astype(np.float32), bias, temperature, threshold)
+    model = Model(languages, scores.astype(np.float32), bias, temperature, 0.0, np.packbits(met, bitorder="little"))
+    if check_keys:
+        best = best * [model.share_met(keys) for keys in check_keys]
+    random = [model.share_met(keys) for keys in unlike if len(keys)]
+    return replace(model, threshold=_threshold(best, np.array(random), settings))
+
+
+def _random_letters(points: np.ndarray, letters: np.ndarray, seed: int) -> np.ndarray:
+    """The text with each letter replaced by one of ``letters``, all alike likely."""
+    letter = char_classes()[points] == LETTER
+    out = points.copy()
+    out[letter] = np.random.default_rng(seed).choice(letters, int(letter.sum())) if len(letters) else 0
+    return out
+
+
+def _threshold(own: np.ndarray, random: np.ndarray, settings: Training) -> float:
+    """Half of what nearly all validation texts score, or what nearly all texts of random letters stay under if that is
+    more; never over what nearly all validation texts score."""
+    usual = float(np.quantile(own, 1 - settings.kept))
+    unlike = float(np.quantile(random, settings.kept)) if len(random) else 0.0
+    return min(usual, max(settings.least_share * usual, unlike))
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -212,12 +268,13 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
         if not has_letter or not model.languages:
             langs.append(UNKNOWN), scores.append(0.0), rejected.append(True)
             continue
-        counts = histogram(points)
+        counts, share = measure(model, points)
         logits = counts.astype(np.float32) @ model.scores / max(1, counts.sum()) + model.bias
         p = softmax(logits / model.temperature)
         best = int(p.argmax())
-        langs.append(model.languages[best]), scores.append(float(min(1.0, p[best])))
-        rejected.append(bool(p[best] < model.threshold))
+        score = float(min(1.0, p[best])) * share
+        langs.append(model.languages[best]), scores.append(score)
+        rejected.append(score < model.threshold)
     return langs, scores, rejected
 
 

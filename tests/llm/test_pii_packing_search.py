@@ -84,6 +84,15 @@ def test_disclosing_terms_against_brute_force(spark):
         assert found == expected, (t, found, expected)
 
 
+def test_disclosing_terms_far_from_the_value_and_without_it(spark):
+    filler = "of the and was sent for review " * 20
+    rows = [(i, f"dear zoltan {filler} {i} mail zk@corp.example") for i in range(12)] + [(12, "zoltan will call")]
+    rows += [(20 + i, f"of the {filler} mail review will call dear") for i in range(400)]
+    got = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[12] == "[TERM] will call" and all(got[i] == rows[i][1].replace("zoltan", "[TERM]").replace("zk@corp.example", "[EMAIL]") for i in range(12))
+    assert all(got[i] == t for i, t in rows[13:])
+
+
 def test_sanitised_texts(spark):
     df = helpers.awkward(spark, random.Random(3))
     rows = {r.doc_id: r for r in df.collect()}

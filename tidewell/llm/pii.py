@@ -5,11 +5,11 @@ functions; running lengths give the positions. The patterns are possessive where
 they take time in proportion to the text and no stack on long runs.
 
 A protected value (an e-mail address, a number) seen in ``SUPPORT`` different texts or more has a probability
-p(c) = documents with it / documents. A term near its mentions discloses it when the pointwise mutual
+p(c) = documents with it / documents. A term of the same documents discloses it when the pointwise mutual
 information log2(p(c,t) / (p(c) p(t))) reaches ``DISCLOSURE`` times the value's information -log2 p(c), that is,
 when the term alone all but names the value. Term counts are over all documents; a term counts with a value
-in texts where it stands within ``NEAR`` characters of a mention. Disclosing terms are marked wherever they
-stand in the texts that hold the value, and the sanitised text generalises them to a placeholder.
+wherever both stand in the document. Disclosing terms are marked in every document, with the value or without,
+and the sanitised text generalises them to a placeholder.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"
 
 SUPPORT = 3
 DISCLOSURE = 0.9
-NEAR = 80
 
 _LOCAL, _DOMAIN = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 # A local part starts where its run of characters starts, or where the match before ended within the run (\G):
@@ -106,16 +105,6 @@ def _value(span: Column) -> Column:
     )
 
 
-def _nearby(text: Column, span: Column) -> Column:
-    """Distinct lower-case words within NEAR characters of a mention; a word cut by the window's end is left out."""
-    start = F.greatest(span["s"] - NEAR, F.lit(0))
-    before = F.substr(text, start + 1, span["s"] - start)
-    after = F.substr(text, span["e"] + 1, F.lit(NEAR))
-    before = F.when(start > 0, F.regexp_replace(before, r"^[\p{L}\p{N}]+", "")).otherwise(before)
-    after = F.when(F.length(after) == NEAR, F.regexp_replace(after, r"[\p{L}\p{N}]+$", "")).otherwise(after)
-    return words(F.concat(before, F.lit("\n"), after))
-
-
 def words(text: Column) -> Column:
     """Distinct words of two letters or more, lower case."""
     return F.array_distinct(F.filter(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.length(w) > 1))
@@ -126,35 +115,35 @@ def _plain(docs: DataFrame, text: str) -> Column:
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(key, terms): for the MD5 of each text that holds a disclosed value, the terms that disclose it.
+    """(key, terms): for the MD5 of each text that holds some, the terms that disclose a value of any document.
 
     Copies of a text count as documents but not as different texts, so that a value copied with its text is
     not taken for one that the words around it name.
     """
     spark = tune(docs.sparkSession)
     plain = docs.select(_plain(docs, text).alias("t"))
-    mentions = stored(
+    # Rows of one text are alike: what is counted per text is weighted with its copies.
+    texts = stored(
         plain.withColumn("spans", base_spans(F.col("t")))
         .where(F.size("spans") > 0)
         .select(
             F.md5("t").alias("key"),
-            F.transform("spans", lambda x: F.struct(_value(x).alias("c"), _nearby(F.col("t"), x).alias("terms"))).alias("found"),
-        ),
-        "mentions",
+            F.array_distinct(F.transform("spans", _value)).alias("values"),
+            words(masked(F.col("t"), F.col("spans"), F.lit("\n"))).alias("terms"),
+        )
+        .groupBy("key").agg(F.count(F.lit(1)).alias("w"), F.first("values").alias("values"), F.first("terms").alias("terms")),
+        "texts",
     )
-    # Rows of one text are alike: what is counted per text is weighted with its copies.
-    copies = mentions.groupBy("key").agg(F.count(F.lit(1)).alias("w"))
-    values = mentions.select("key", F.explode("found").alias("m")).select("key", "m.c", "m.terms")
-    valued = values.groupBy("key", "c").agg(F.lit(1).alias("one")).join(copies, "key")
-    protected = valued.groupBy("c").agg(F.sum("w").alias("n_c"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
-    triples = (
-        values.join(protected.select("c"), "c", "left_semi")
-        .select("key", "c", F.explode("terms").alias("t"))
-        .groupBy("key", "c", "t").agg(F.lit(1).alias("one"))
-        .join(copies, "key")
+    valued = texts.select("key", "w", F.explode("values").alias("c"))
+    protected = stored(
+        valued.groupBy("c").agg(F.sum("w").alias("n_c"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support), "protected"
     )
+    held = valued.join(protected.select("c"), "c", "left_semi").groupBy("key").agg(F.collect_set("c").alias("values"))
     pairs = stored(
-        triples.groupBy("c", "t").agg(F.sum("w").alias("n_ct"), F.count(F.lit(1)).alias("texts"))
+        texts.select("key", "w", "terms").join(stored(held, "held"), "key")
+        .select("w", "terms", F.explode("values").alias("c"))
+        .select("w", "c", F.explode("terms").alias("t"))
+        .groupBy("c", "t").agg(F.sum("w").alias("n_ct"), F.count(F.lit(1)).alias("texts"))
         .where(F.col("texts") >= support)
         .join(protected.select("c", "n_c"), "c"),
         "pairs",
@@ -169,29 +158,28 @@ def disclosing_terms(docs: DataFrame, text: str = "text", support: int = SUPPORT
     information = F.log2(F.lit(float(n)) / F.col("n_c"))
     mutual = F.log2(F.col("n_ct") * F.lit(float(n)) / (F.col("n_c") * F.col("n_t").cast("double")))
     disclosing = stored(
-        pairs.join(spread, "t").where((information > 0) & (mutual >= disclosure * information)).select("c", "t"), "disclosing"
+        pairs.join(spread, "t").where((information > 0) & (mutual >= disclosure * information)).select("t").distinct(), "disclosing"
     )
-    return values.select("key", "c").distinct().join(disclosing, "c").groupBy("key").agg(F.collect_set("t").alias("terms"))
+    worded = plain.select(F.md5("t").alias("key"), F.explode(words(F.col("t"))).alias("t"))
+    return worded.join(disclosing, "t", "left_semi").groupBy("key").agg(F.collect_set("t").alias("terms"))
 
 
-def term_spans(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """(key, added): places of the disclosing terms in each text that has some, outside the pattern spans."""
-    plain = docs.select(_plain(docs, text).alias("t")).where(F.size(base_spans(F.col("t"))) > 0).withColumn("key", F.md5("t"))
-    held = plain.join(terms, "key").dropDuplicates(["key"]).withColumn("spans", base_spans(F.col("t")))
-    found = matches(F.col("t"), WORD, lambda v: F.array_contains(F.col("terms"), F.lower(v)))
-    free = F.filter(found, lambda x: ~F.exists(F.col("spans"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    return held.select("key", _of_kind(free, len(KINDS)).alias("added"))
+def _term_spans(text: Column, terms: Column, spans: Column) -> Column:
+    """Places of the terms in a text, outside the pattern spans."""
+    found = matches(text, WORD, lambda v: F.array_contains(terms, F.lower(v)))
+    free = F.filter(found, lambda x: ~F.exists(spans, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    return _of_kind(free, len(KINDS))
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` as struct ``_row``, its text (null: empty) as ``_text``, ``_base`` spans and all spans ``_all``."""
     tune(docs.sparkSession)
-    added = stored(term_spans(docs, stored(disclosing_terms(docs, text), "terms"), text), "term-spans")
+    terms = stored(disclosing_terms(docs, text), "terms")
     rows = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("_row"), _plain(docs, text).alias("_text"))
-    rows = rows.withColumn("_base", base_spans(F.col("_text"))).withColumn("key", F.md5("_text"))
-    joined = rows.join(added, "key", "left")
+    joined = rows.withColumn("key", F.md5("_text")).join(terms, "key", "left").withColumn("_base", base_spans(F.col("_text")))
     nothing = F.filter(F.col("_base"), lambda x: F.lit(False))
-    return joined.withColumn("_all", F.array_sort(F.concat("_base", F.coalesce("added", nothing)))).drop("key", "added")
+    added = F.when(F.col("terms").isNotNull(), _term_spans(F.col("_text"), F.col("terms"), F.col("_base"))).otherwise(nothing)
+    return joined.withColumn("_all", F.array_sort(F.concat("_base", added))).drop("key", "terms")
 
 
 def _joined(spans: Column) -> Column:
@@ -213,9 +201,9 @@ def detect(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame
     return found.select(F.col("_row._id").alias(id), *counts, F.sha2(_joined(F.col("_base")), 256).alias("base_sha256"), _joined(F.col("_all")).alias("spans"))
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind's placeholder; spans that overlap become one."""
-    labels = F.array(*[F.lit(LABELS[k]) for k in (*KINDS, TERM)])
+def masked(text: Column, spans: Column, label: Column | None = None) -> Column:
+    """The text with each span replaced by its kind's placeholder, or by ``label``; spans that overlap become one."""
+    labels = F.array(*[F.lit(LABELS[k]) if label is None else label for k in (*KINDS, TERM)])
 
     def step(acc: Column, x: Column) -> Column:
         piece = F.array(F.substr(text, acc["at"] + 1, x["s"] - acc["at"]), F.get(labels, x["k"]))

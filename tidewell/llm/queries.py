@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, chunks, exact, html, langid, packing, pii, quality, simhash, topk
+from tidewell.llm import audit, bpe, chunks, exact, html, langid, packing, pii, quality, simhash, token_heap, topk
 from tidewell.llm.base import ORACLE, QUERIES, query, table  # noqa: F401
 
 #: Ranks of the tokenizer that encodes documents, in the installed package of public vocabularies.
 RANKS = "byte_bpe_50k.tiktoken"
+#: The tokenizer whose tokens are counted, and the context length they are held against.
+TOKENIZER, CONTEXT = "byte_bpe_50k.json", 1024
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -107,3 +109,55 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Passages that several documents share."""
     return chunks.repeated_passages(table(spark, sf, "documents"))
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is longer than a context."""
+    counted = token_heap.count_tokens(table(spark, sf, "documents").select("doc_id", "text"), tokenizer_file())
+    return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
+@query(
+    "op11_filter_audit",
+    """
+WITH flags AS (
+  SELECT doc_id, max(coalesce((quality = 1)::INT, 0)) AS good, max(coalesce((toxic = 1)::INT, 0)) AS toxic FROM labels GROUP BY doc_id),
+read AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+failed AS (
+  SELECT part, coalesce(f.good, 0) AS good, coalesce(f.toxic, 0) AS toxic,
+    [(len(words) < 200)::INT, (100 * len(list_distinct(words)) < 50 * len(words))::INT,
+     (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT,
+     regexp_matches(text, '[#$%&*|]')::INT, coalesce(r.doc_id > min(r.doc_id) OVER (PARTITION BY text), false)::INT] AS f
+  FROM read r LEFT JOIN flags f ON r.doc_id = f.doc_id),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)) t(c, i)),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS o
+  FROM letters a JOIN letters b ON b.i <> a.i JOIN letters c ON c.i NOT IN (a.i, b.i) JOIN letters d ON d.i NOT IN (a.i, b.i, c.i)
+  JOIN letters e ON e.i NOT IN (a.i, b.i, c.i, d.i)),
+cells AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, f),
+placed AS (  -- where each cell's rows leave in each order (6: never)
+  SELECT part, filter_order, o, f, n, good, toxic, coalesce(list_position(list_transform(o, lambda i: f[i]), 1), 6) AS leaves FROM cells, orders),
+steps AS (
+  SELECT part, filter_order, s AS step, o[s] AS filter,
+    sum(n) FILTER (leaves > s) AS kept, sum(n) FILTER (leaves = s) AS removed, sum(n) FILTER (leaves < s AND f[o[s]] = 1) AS redundant,
+    sum(n) FILTER (f[o[s]] = 1 AND list_sum(f) = 1) AS unique_fails,
+    sum(good) FILTER (leaves = s) AS good_lost, sum(toxic) FILTER (leaves = s) AS toxic_lost
+  FROM placed, range(1, 6) r(s) GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, filter), 0) AS BIGINT) AS shapley
+FROM steps""",
+)
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What five filters remove in every order of application, per source."""
+    return audit.interactions(audit.masked(table(spark, sf, "documents"), table(spark, sf, "labels")))

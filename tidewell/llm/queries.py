@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import audit, bpe, chunks, exact, html, langid, packing, pii, quality, simhash, token_heap, topk
+from tidewell.llm import audit, bpe, chunks, exact, html, langid, packing, pii, quality, simhash, token_heap, topk, whitening
 from tidewell.llm.base import ORACLE, QUERIES, query, table  # noqa: F401
 
 #: Ranks of the tokenizer that encodes documents, in the installed package of public vocabularies.
@@ -161,3 +161,11 @@ FROM steps""",
 def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     """What five filters remove in every order of application, per source."""
     return audit.interactions(audit.masked(table(spark, sf, "documents"), table(spark, sf, "labels")))
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding along the four components of largest deviation; a deviation beyond a long is null, and stands
+    in ``deviation_exact`` only."""
+    white = whitening.whiten(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return white.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.col("deviation").try_cast("long"))

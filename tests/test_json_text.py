@@ -6,7 +6,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.functions import json_scan
 from tidewell.functions import json_text as J
 
 NAMES = ["color", "größe", "tel", "a b", "q\"t"]
@@ -86,40 +85,110 @@ def test_null_values_against_brute_force(spark, documents):
     assert applied(spark, texts, lambda c: J.null_values(c, names)) == [written(nulled(d, names)) for d in documents]
 
 
-def test_null_values_in_encoded_json(documents):
+def test_null_values_in_encoded_json(spark, documents):
     """A document as a string inside another one, once and twice, spelled in different ways."""
+    texts, want = [], []
     for d in documents:
-        inner, want = written(d), written(nulled(d, {"tel"}))
+        inner, without = written(d), written(nulled(d, {"tel", "größe", 'q"t'}))
         for ascii_only in (True, False):
-            outer, expected = (json.dumps(t, ensure_ascii=ascii_only) for t in (inner, want))
+            outer, expected = (json.dumps(t, ensure_ascii=ascii_only) for t in (inner, without))
             holder = '{ "body" : %s, "n":1.50 }'
-            assert json_scan.null_values(holder % outer, {"tel"}) == holder % expected
-            twice, expected = (json.dumps(holder % t, ensure_ascii=ascii_only) for t in (outer, expected))
-            assert json_scan.null_values(f"[{twice}]", {"tel"}) == f"[{expected}]"
+            twice, expected_twice = (json.dumps(holder % t, ensure_ascii=ascii_only) for t in (outer, expected))
+            texts += [holder % outer, f"[{twice}]"]
+            want += [holder % expected, f"[{expected_twice}]"]
+    assert applied(spark, texts, lambda c: J.null_values(c, ["tel", "größe", 'q"t'])) == want
 
 
-@pytest.mark.parametrize("depth", [1, 2, 15, 16, 17, 18, 60, 200, 5000])
-@pytest.mark.parametrize("left,right", [('{"k":', "}"), ("[", "]"), ('[{"k":', "}]")])
-def test_no_depth_is_too_deep(depth, left, right):
-    deep = left * depth + "1.50" + right * depth
-    record = '{"user":[{"tel":"010","d":%s,"name":"a"}],"x":{"tel": 1}}'
-    paths = {"user": {"tel"}}
-    assert json_scan.has_path(record % deep, paths)
-    out = json_scan.drop_paths(record % deep, paths)
-    assert out == '{"user":[{"d":%s,"name":"a"}],"x":{"tel": 1}}' % deep
-    assert not json_scan.has_path(out, paths)
-    assert json_scan.drop_keys('{"tel":%s,"n":1.50}' % deep, {"tel"}) == '{"n":1.50}'
-    assert json_scan.skip_path('{"p":{"q":%s,"r":%s}}' % (deep, deep), ["p", "q"]) == '{"p":{"r":%s}}' % deep
-    assert json_scan.null_values('{"d":%s,"tel":{"z":1}}' % deep, {"tel"}) == '{"d":%s,"tel":null}' % deep
+def test_null_values_of_keys_that_need_escapes(spark):
+    names = ["a/b", "t\tb", "back\\slash", "smile😀", "tel"]
+    docs = [{n: v} for n in names for v in ("x", "\\", '"', 'q"}', [1, ["\\"]], {"z": "]"}, -1.5, True)]
+    deep = lambda d, times: d if not times else {"body": json.dumps(deep(d, times - 1))}
+    texts = [json.dumps(deep(d, times), indent=indent) for d in docs for times in (0, 1, 3) for indent in (None, 1)]
+    want = [deep({n: None for n in d}, times) for d in docs for times in (0, 1, 3) for _ in (None, 1)]
+    got = applied(spark, texts, lambda c: J.null_values(c, names))
+    assert [json.loads(g) for g in got] == want
+    slash = '{"a\\/b":1,"\\u0074\\u0065l":"x","body":"{\\"a\\\\/b\\":{\\"k\\":[\\"}\\"]},\\"n\\":1}"}'
+    assert applied(spark, [slash], lambda c: J.null_values(c, names)) == ['{"a\\/b":null,"\\u0074\\u0065l":null,"body":"{\\"a\\\\/b\\":null,\\"n\\":1}"}']
 
 
-BROKEN = ["", "   ", "{", '{"tel":1', '{"tel" 1}', '{"tel":1,}', '{"tel":1}}', "[1,2", '{"a":[1}', "text", '{tel:1}', '{"tel":}', None]
+DEPTHS = [1, 2, 15, 60, 200, 3000]
+SIDES = [('{"k":', "}"), ("[", "]"), ('[{"k":', "}]")]
 
 
-@pytest.mark.parametrize("text", BROKEN)
-def test_what_is_no_object_comes_back(text):
-    assert json_scan.drop_keys(text, {"tel"}) == text and json_scan.drop_paths(text, {"tel": {"x"}}) == text
-    assert json_scan.skip_path(text, ["tel", "x"]) == text and json_scan.pairs(text) is None and not json_scan.has_path(text, {"tel": {"x"}})
+def test_no_depth_is_too_deep(spark):
+    deep = [left * depth + "1.50" + right * depth for depth in DEPTHS for left, right in SIDES]
+    record = '{"user":[{"tel":"010","d":%s,"name":"a"}],"x":{"tel": 1}}'
+    paths = J.path_array([("user", "tel")])
+    raw = [record % d for d in deep]
+    assert all(applied(spark, raw, lambda c: J.has_path(c, paths)))
+    out = applied(spark, raw, lambda c: J.drop_paths(c, paths))
+    assert out == ['{"user":[{"d":%s,"name":"a"}],"x":{"tel": 1}}' % d for d in deep]
+    assert not any(applied(spark, out, lambda c: J.has_path(c, paths)))
+    assert applied(spark, ['{"tel":%s,"n":1.50}' % d for d in deep], lambda c: J.drop_keys(c, ["tel"])) == ['{"n":1.50}'] * len(deep)
+    got = applied(spark, ['{"p":{"q":%s,"r":%s}}' % (d, d) for d in deep], lambda c: J.skip_path(c, ["p", "q"]))
+    assert got == ['{"p":{"r":%s}}' % d for d in deep]
+    got = applied(spark, ['{"d":%s,"tel":%s,"z":1}' % (d, d) for d in deep], lambda c: J.null_values(c, ["tel"]))
+    assert got == ['{"d":%s,"tel":null,"z":1}' % d for d in deep]
+
+
+# A text that is not JSON: one that may hold the name does not come through, the others come back.
+BROKEN = [
+    "{", '{"tel":1', '{"tel" 1}', '{"tel":1,}', '{"tel":1}}', "[1,2", '{"a":[1}', "text", "{tel:1}", '{"tel":}', '{"tel":1}{', '{"tel":1} x', '{"tel":tru}', "{'tel':1}",
+    '{"x":1,,"tel":2}', '{"tel":01}', '{"tel":1e+-.5}', '{"tel":"a\nb"}', '{"tel":"\\x"}', '["tel":1]', '{"tel"}', '{"tel":[1,]}', '{"tel":[,1]}', '{"tel":1 2}', '[{"tel":1]}',
+    '{"tel":"open', ',{"tel":1}', '{"tel":1}]', '"tel" "tel"', '{"a":{"b":1}"tel":1}', '{"a":{}{"tel":1}}', '{"t\\u0065l":1',
+]
+
+
+def test_what_is_not_json_fails_closed(spark):
+    want = [None if "tel" in t or "\\" in t else t for t in BROKEN]
+    paths = J.path_array([("a", "tel")])
+    for column in (lambda c: J.drop_keys(c, ["tel"]), lambda c: J.drop_paths(c, paths), lambda c: J.skip_path(c, ["a", "tel"]), lambda c: J.null_values(c, ["tel"])):
+        assert applied(spark, BROKEN, column) == want
+    assert applied(spark, BROKEN, lambda c: J.has_path(c, paths)) == [w is None for w in want]
+    assert applied(spark, BROKEN, J.object_pairs) == [[] for _ in BROKEN]
+
+
+WHOLE = ["", "   ", None, "1", " null ", '"tel"', "[]", "{}", '["tel"]', "-0", "1E+2", '{"x":{"tel":[]}}', " [ { } , [ ] ] ", '{"":"tel"}', '[{"tel":1}]']
+
+
+def test_json_without_the_key_comes_back(spark):
+    for column in (lambda c: J.drop_keys(c, ["tel"]), lambda c: J.drop_paths(c, J.path_array([("a", "tel")])), lambda c: J.skip_path(c, ["a", "tel"])):
+        assert applied(spark, WHOLE, column) == WHOLE
+    assert not any(applied(spark, WHOLE, lambda c: J.has_path(c, J.path_array([("a", "tel")]))))
+
+
+def test_grammar_against_the_parser(spark):
+    """What counts as JSON, on texts with a few characters changed."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(4000):
+        t = written(generated(rng, 3))
+        for _ in range(rng.randrange(3)):
+            i = rng.randrange(len(t) + 1)
+            t = t[:i] + rng.choice(["", "{", "}", "[", "]", ",", ":", '"', " ", "\\", "1", "e"]) + t[i + rng.randrange(2) :]
+        texts.append(t)
+
+    def parses(t):
+        try:
+            json.loads(t, parse_constant=lambda c: 1 / 0)
+        except (ValueError, ZeroDivisionError):
+            return False
+        return True
+
+    got = applied(spark, texts, lambda c: J.outer_level(c).isNotNull())
+    assert got == [parses(t) for t in texts] and 500 < sum(got) < 3500
+
+
+def test_long_texts_go_by_blocks(spark):
+    """Thousands of objects to cut in one text, and one object with thousands of keys."""
+    people = [{"tel": str(i), "n": i} for i in range(20_000)]
+    text = json.dumps({"user": people}, separators=(",", ":"))
+    want = json.dumps({"user": [{"n": p["n"]} for p in people]}, separators=(",", ":"))
+    assert applied(spark, [text], lambda c: J.drop_paths(c, J.path_array([("user", "tel")]))) == [want]
+    wide = json.dumps({f"k{i}": {"a": i} for i in range(5000)}, separators=(",", ":"))
+    assert applied(spark, [wide], lambda c: F.size(J.object_pairs(c))) == [5000]
+    nulls = json.dumps({"user": [{"tel": {"z": [i]}} for i in range(3000)]}, separators=(",", ":"))
+    assert applied(spark, [nulls], lambda c: J.null_values(c, ["tel"])) == ['{"user":[' + ",".join(['{"tel":null}'] * 3000) + "]}"]
 
 
 def test_spelling_of_what_stays(spark):

@@ -175,3 +175,12 @@ def test_repeats_of_awkward_rows(docs):
 @pytest.mark.parametrize("run", [exact.mark_copies, exact.drop_copies, simhash.group, simhash.drop_near_copies, chunks.repeated_passages, chunks.remove_repeats])
 def test_no_rows(spark, run):
     assert run(spark.createDataFrame([], helpers.COLUMNS)).collect() == []
+
+
+def test_near_copies_with_shared_ids_lose_no_text(spark):
+    rng = random.Random(9)
+    a, b, c = (" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(80)) for _ in range(3))
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (5, b, "x"), (7, b, "x"), (None, a, "x"), (9, None, "x"), (2, "", "x"), (2, c, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(3)
+    kept = sorted((str(r.doc_id), r.text or "") for r in simhash.drop_near_copies(df).collect())
+    assert kept == sorted([("3", a), ("5", b), ("5", b), ("None", a), ("2", ""), ("2", c)])

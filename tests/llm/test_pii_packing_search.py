@@ -223,3 +223,21 @@ def test_search_large_numbers():
     a = np.array([[2**30, -(2**30)], [3, 4]])
     assert topk._products(a, a).tolist() == [[2**61, -(2**30)], [-(2**30), 25]]
     assert topk._products(a * 2, a).tolist() == [[2**62, -(2**31)], [-(2**31), 50]]
+
+
+def test_search_with_components_beyond_31_bits(spark):
+    big = [(0, [3e6, 1.0]), (1, [1.0, 2.0]), (2, [-2.5e6, 5.0]), (100, [2.2e6, -7.5]), (3, [0.5, -2.4e6]), (4, [2.0, None]), (5, [float("inf"), 1.0])]
+    df = spark.createDataFrame(big, "vec_id long, embedding array<double>").repartition(3)
+    whole = {i: [int(np.floor(1024 * x)) for x in v] for i, v in big if i not in (4, 5)}
+    want = []
+    for q in (0, 100):
+        scores = sorted(((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q))
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    assert sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 100 == 0).collect()) == want
+
+
+@pytest.mark.parametrize("rows", [[(0, [1e16]), (1, [1e16])], [(0, [1e16]), (1, [-1e16])], [(0, [1e18]), (1, [1.0])]])
+def test_search_fails_where_a_long_is_too_short(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.search(df, F.col("vec_id") % 100 == 0).collect()

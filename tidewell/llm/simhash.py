@@ -72,15 +72,18 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, text: str, id: str) -> DataFrame:
+def with_fingerprints(docs: DataFrame, text: str, id: str, keyed: bool = False) -> DataFrame:
+    """(id, fp), and the MD5 of the text as ``key`` if asked for."""
+    tune(docs.sparkSession)
+    plain = docs[f"`{text}`"].cast("string")
+    rows = docs.select(docs[f"`{id}`"].alias("id"), *([F.md5(F.coalesce(plain, F.lit(""))).alias("key")] if keyed else []), plain.alias("text"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = np.array([fingerprint(t) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(found)], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found)], [*b.schema.names[:-1], "fp"])
 
-    tune(docs.sparkSession)
-    rows = docs.select(docs[f"`{id}`"].alias("id"), docs[f"`{text}`"].cast("string").alias("text"))
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], T.StructField("fp", T.LongType(), False)]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("fp", T.LongType(), False)]))
 
 
 # --- parts and thresholds ---------------------------------------------------------------------------------------
@@ -300,6 +303,18 @@ def links(fps: DataFrame, parts: list[Part], block: int = BLOCK) -> DataFrame:
     return cut.repartition(partitions(spark), *key).sortWithinPartitions(*key).mapInArrow(_search, "a long, b long")
 
 
+def _rooted(fps: DataFrame) -> DataFrame:
+    """(fp, least, root) from the distinct fingerprints (fp, least): those that links connect have one root."""
+    count, correlation = bit_statistics(fps)
+    # The smallest by hash: a draw that does not depend on how the rows lie.
+    drawn = [r.fp for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
+    parts = choose_parts(correlation, np.array(drawn, np.int64).view(np.uint64), count) if count > 1 else []
+    if not parts:
+        return fps.select("fp", "least", F.col("fp").alias("root"))
+    found = components(links(fps, parts))
+    return fps.join(found, fps.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def group(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Each row's id, ``fingerprint`` (16 hex digits) and ``component_id``: the smallest id of the rows that links
     can reach, itself included.
@@ -307,29 +322,32 @@ def group(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     A text without words has fingerprint zero and links like any other. Ids that are null are passed over by
     component_id unless the group has no other. Repeated rows give repeated rows. No rows give no rows.
     """
-    spark = tune(docs.sparkSession)
+    tune(docs.sparkSession)
     prints = stored(with_fingerprints(docs, text, id), "fingerprints")
-    fps = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    count, correlation = bit_statistics(fps)
-    # The smallest by hash: a draw that does not depend on how the rows lie.
-    drawn = [r.fp for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
-    parts = choose_parts(correlation, np.array(drawn, np.int64).view(np.uint64), count) if count > 1 else []
-    if parts:
-        found = components(links(fps, parts))
-        rooted = fps.join(found, fps.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-        least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-        of = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    else:
-        of = fps.select("fp", F.col("least").alias("component_id"))
+    rooted = _rooted(stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return prints.join(of, "fp").select(
         F.col("id").alias(id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the one with the smallest id (rows that share an id count as
-    one document; rows whose id is null stay)."""
-    near = group(docs, text, id).where(F.col(f"`{id}`") != F.col("component_id")).select(F.col(f"`{id}`").alias("_gone")).distinct()
+    """The rows of ``docs`` that stay: of each group the one with the smallest id, of several with that id the one
+    whose text has the smallest MD5.
+
+    A row goes by its id and text together, so of rows that share an id each stands for its own text: one that is
+    like no other stays. Rows that are equal in both stay or go together; rows whose id is null stay. A null text
+    counts as empty; texts without words are one group. An empty table stays empty, other columns stay as they are.
+    """
+    tune(docs.sparkSession)
+    prints = stored(with_fingerprints(docs, text, id, keyed=True), "fingerprints")
+    first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "key"))).alias("least")
+    rooted = _rooted(stored(prints.groupBy("fp").agg(first), "distinct-fingerprints"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("stays"))
+    of = rooted.select("fp", "root").join(least, "root").select("fp", "stays")
+    near = prints.join(of, "fp").where(F.col("id").isNotNull() & (F.struct("id", "key") != F.col("stays")))
     # Stored, so that Spark knows its size when it plans the join: a small one is broadcast and no text moves.
-    gone = stored(near, "near-copies")
-    return docs.join(gone, docs[f"`{id}`"] == gone["_gone"], "left_anti")
+    gone = stored(near.select(F.col("id").alias("_gone"), F.col("key").alias("_gone_key")).distinct(), "near-copies")
+    own = F.md5(F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")))
+    return docs.join(gone, (docs[f"`{id}`"] == gone["_gone"]) & (own == gone["_gone_key"]), "left_anti")

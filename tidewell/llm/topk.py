@@ -34,29 +34,39 @@ FIRST = 2
 #: Allowance for rounding where lengths and angles are compared.
 SLACK = 1e-9
 _EXACT = float(1 << 53)
+LEAST = -(1 << 63)
 
 _BLOCKS = "dim int, part int, seq int, longest double, ids binary, data binary"
 
 
 def to_integers(rows: DataFrame, id: str, vector: str) -> DataFrame:
-    """(id, dim, norm, v): floor(1024 x) of each component; vectors that are null, hold a null or a number that is
-    not finite (or too large for an exact product) are left out, and rows without an id."""
+    """(id, dim, norm, v): floor(1024 x) of each component; vectors that are null or hold a null or a number that is
+    not finite are left out, and rows without an id. A component that as an integer does not fit a long fails."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, dims, norms, data = [], [], [], []
-            for i, v in zip(b.column("id").to_pylist(), b.column("v").to_pylist()):
-                if i is None or v is None or any(x is None for x in v):
-                    continue
-                x = np.floor(SCALE * np.array(v, np.float64))
-                if not np.isfinite(x).all() or (np.abs(x) >= 2.0**31).any():
-                    continue
-                ids.append(i)
-                dims.append(len(x))
-                norms.append(float(np.sqrt((x * x).sum())))
-                data.append(x.astype(np.int64).tobytes())
+            lists = b.column("v")
+            dims = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = lists.flatten().to_numpy(zero_copy_only=False)  # a null reads as NaN
+            bad, ends = np.append(0, np.cumsum(~np.isfinite(values))), np.cumsum(dims)
+            part = (lists.is_valid().to_numpy(zero_copy_only=False) & b.column("id").is_valid().to_numpy(zero_copy_only=False)) & (bad[ends] == bad[ends - dims])
+            whole = np.floor(SCALE * values[np.repeat(part, dims)])
+            if len(whole) and not np.abs(whole).max() < 2.0**63:
+                raise ValueError(f"a component times {SCALE} does not fit a long")
+            dims = dims[part]
+            until = np.cumsum(dims)
+            if len(dims) and dims[0] and (dims == dims[0]).all():
+                norms = np.sqrt((whole.reshape(len(dims), -1) ** 2).sum(axis=1))
+            else:
+                norms = np.array([np.sqrt((whole[e - d : e] ** 2).sum()) for d, e in zip(dims, until)], np.float64)
+            data = memoryview(whole.astype(np.int64).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(norms, pa.float64()), pa.array(data, pa.binary())],
+                [
+                    b.column("id").filter(pa.array(part)),
+                    pa.array(dims.astype(np.int32)),
+                    pa.array(norms, pa.float64()),
+                    pa.array([bytes(data[8 * (e - d) : 8 * e]) for d, e in zip(dims.tolist(), until.tolist())], pa.binary()),
+                ],
                 ["id", "dim", "norm", "v"],
             )
 
@@ -163,7 +173,8 @@ class _Best:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All inner products of integer vectors, exactly."""
+    """All inner products of integer vectors, exactly. One beyond a long would be among the best and fails; one below
+    is less than all others and stands as LEAST."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
     most = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
@@ -171,7 +182,10 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
     if most < 2.0**63:
         return a @ b.T
-    return np.array([[min(max(sum(x * y for x, y in zip(p, q)), -(1 << 63)), (1 << 63) - 1) for q in b.tolist()] for p in a.tolist()], np.int64)
+    found = [[sum(x * y for x, y in zip(p, q)) for q in b.tolist()] for p in a.tolist()]
+    if max(map(max, found)) >= 1 << 63:
+        raise OverflowError("a product does not fit a long")
+    return np.array([[max(x, LEAST) for x in row] for row in found], np.int64)
 
 
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +206,8 @@ def search(rows: DataFrame, is_query, k: int = 10, id: str = "vec_id", vector: s
     Queries are the rows where the Column ``is_query`` holds, candidates all rows with another id; ties go to the
     smaller id. Only vectors of one dimension are compared. A vector that is null or holds a null or non-finite
     component takes no part. Of rows that repeat an id with different vectors, each is a candidate of its own and
-    the one with the greatest components is the query. A query with fewer candidates has fewer rows.
+    the one with the greatest components is the query. A query with fewer candidates has fewer rows. Products are
+    exact; one of the k best that does not fit a long fails.
     """
     spark = tune(rows.sparkSession)
     vectors = stored(to_integers(rows, id, vector), "vectors")
@@ -250,7 +265,8 @@ def search(rows: DataFrame, is_query, k: int = 10, id: str = "vec_id", vector: s
         ours.unionByName(theirs).groupBy("dim", "tb", "tq").applyInArrow(lambda t: tile(t), "query_id long, candidate long, score long")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "candidate")
+    fits = F.when(F.col("score") == LEAST, F.raise_error(F.lit("a product does not fit a long")).cast("long")).otherwise(F.col("score"))
     return (
         best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("candidate").alias(id), "score")
+        .select("query_id", "rank", F.col("candidate").alias(id), fits.alias("score"))
     )

@@ -34,7 +34,7 @@ FIRST = 2
 #: Allowance for rounding where lengths and angles are compared.
 SLACK = 1e-9
 _EXACT = float(1 << 53)
-LEAST = -(1 << 63)
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 _BLOCKS = "dim int, part int, seq int, longest double, ids binary, data binary"
 
@@ -173,8 +173,7 @@ class _Best:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All inner products of integer vectors, exactly. One beyond a long would be among the best and fails; one below
-    is less than all others and stands as LEAST."""
+    """All inner products of integer vectors, exactly; those beyond a long as LEAST and MOST, for the caller to refuse."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
     most = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
@@ -183,9 +182,7 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if most < 2.0**63:
         return a @ b.T
     found = [[sum(x * y for x, y in zip(p, q)) for q in b.tolist()] for p in a.tolist()]
-    if max(map(max, found)) >= 1 << 63:
-        raise OverflowError("a product does not fit a long")
-    return np.array([[max(x, LEAST) for x in row] for row in found], np.int64)
+    return np.array([[min(max(x, LEAST), MOST) for x in row] for row in found], np.int64)
 
 
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -265,7 +262,7 @@ def search(rows: DataFrame, is_query, k: int = 10, id: str = "vec_id", vector: s
         ours.unionByName(theirs).groupBy("dim", "tb", "tq").applyInArrow(lambda t: tile(t), "query_id long, candidate long, score long")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "candidate")
-    fits = F.when(F.col("score") == LEAST, F.raise_error(F.lit("a product does not fit a long")).cast("long")).otherwise(F.col("score"))
+    fits = F.when(F.col("score").isin(LEAST, MOST), F.raise_error(F.lit("a product does not fit a long")).cast("long")).otherwise(F.col("score"))
     return (
         best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
         .select("query_id", "rank", F.col("candidate").alias(id), fits.alias("score"))

@@ -39,7 +39,7 @@ def test_attribution_against_brute_force(spark, by):
     ev = at(spark.createDataFrame(events, "e bigint, u bigint, ts bigint"), "ts")
     mk = spark.createDataFrame([(i, *m) for i, m in enumerate(marks)], "name bigint, u bigint, m bigint")
     mk = at(mk if by else mk.drop("u"), "m")
-    got = matching.attribute_to_marks(ev, mk, "ts", "m", "name", by, bucket_seconds=600, rows_per_group=20).collect()
+    got = matching.attribute_to_marks(ev, mk, "ts", "m", "name", by, blocks=7).collect()
     want = {}
     for e, u, ts in events:
         before = [(m[1], i) for i, m in enumerate(marks) if m[1] <= ts and (not by or m[0] == u)]
@@ -51,7 +51,7 @@ def test_attribution_against_brute_force(spark, by):
 def test_attribution_of_rows_with_maps_in_a_hot_bucket(spark):
     ev = spark.range(500).select(F.timestamp_seconds(F.col("id")).alias("ts"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
     mk = spark.createDataFrame([(0, "a"), (250, "b"), (499, "c")], "s bigint, name string").select(F.timestamp_seconds("s").alias("at"), "name")
-    got = matching.attribute_to_marks(ev, mk, "ts", "at", "name", bucket_seconds=100_000, rows_per_group=20).collect()
+    got = matching.attribute_to_marks(ev, mk, "ts", "at", "name", blocks=5).collect()
     assert len(got) == 500 and all(r.name == ("a" if r.m["k"] < 250 else "b" if r.m["k"] < 499 else "c") for r in got)
 
 

@@ -7,7 +7,7 @@ checks the grammar and finds the marks. Otherwise the text is cut into brackets
 fold over these counts what is open, at any depth; it goes by blocks, so its cost grows with the text. All of it runs
 in the JVM.
 
-Masking fails closed: a text that is not JSON and may hold a name whose value is to go becomes NULL.
+Masking fails closed: a text that is not JSON but looks like it and may hold a name whose value is to go becomes NULL.
 """
 
 from __future__ import annotations
@@ -265,9 +265,14 @@ def _rendered(pairs: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(F.lit('"'), p["raw"], F.lit('":'), p["value"])), ","), F.lit("}"))
 
 
-def _closed() -> Column:
+def _was_meant(text: Column) -> Column:
+    """Whether a text that is not JSON has a quote, colon or bracket, so that the name in it may be a key. Prose is not."""
+    return text.rlike(r"""["':{\[]""")
+
+
+def _closed(text: Column) -> Column:
     """What becomes of a text that is not JSON and may hold a name."""
-    return F.lit(None).cast("string")
+    return F.when(~_was_meant(text), text)
 
 
 def _values(value: Column) -> Column:
@@ -280,7 +285,7 @@ def _without(text: Column, names: Column, known: bool = False) -> Column:
         kept = F.filter(pairs, lambda p: ~F.array_contains(names, p["key"]))
         return let(kept, lambda k: F.when(F.size(k) == F.size(pairs), text).otherwise(_rendered(k)))
 
-    return F.when(_may_hold(text, names), by_pairs(text, cut, _closed(), text, known)).otherwise(text)
+    return F.when(_may_hold(text, names), by_pairs(text, cut, _closed(text), text, known)).otherwise(text)
 
 
 def drop_keys(text: Column, names: Column | Sequence[str]) -> Column:
@@ -321,7 +326,7 @@ def drop_paths(text: Column, paths: Column) -> Column:
         known = lambda pairs: F.exists(pairs, lambda p: F.exists(paths, lambda r: r["class"] == p["key"]))
         return lambda pairs: F.when(known(pairs), _rendered(F.transform(pairs, pair))).otherwise(whole)
 
-    return let(text, lambda t: F.when(_may_hold(t, _all_fields(paths)), by_pairs(t, cut(t), _closed(), t)).otherwise(t))
+    return let(text, lambda t: F.when(_may_hold(t, _all_fields(paths)), by_pairs(t, cut(t), _closed(t), t)).otherwise(t))
 
 
 def has_path(text: Column, paths: Column) -> Column:
@@ -339,7 +344,7 @@ def has_path(text: Column, paths: Column) -> Column:
     def found(pairs: Column) -> Column:
         return F.exists(pairs, lambda p: let(_fields_of(paths, p["key"]), lambda f: left(p, f)))
 
-    return let(text, lambda t: F.coalesce(F.when(_may_hold(t, _all_fields(paths)), by_pairs(t, found, F.lit(True), no)), no))
+    return let(text, lambda t: F.coalesce(F.when(_may_hold(t, _all_fields(paths)), by_pairs(t, found, _was_meant(t), no)), no))
 
 
 def skip_path(text: Column, steps: Sequence[str]) -> Column:
@@ -356,7 +361,7 @@ def skip_path(text: Column, steps: Sequence[str]) -> Column:
         def cut(pairs: Column) -> Column:
             return F.when(F.exists(pairs, lambda p: p["key"] == rest[0]), _rendered(F.transform(pairs, pair))).otherwise(value)
 
-        return by_pairs(value, cut, _closed(), value, known)
+        return by_pairs(value, cut, _closed(value), value, known)
 
     path = list(steps)
     if not path:
@@ -453,7 +458,7 @@ def null_values(text: Column, names: Column | Sequence[str]) -> Column:
 
     def nulled(own: Column) -> Column:
         valid = text.rlike(_SHALLOW) | _parses(text) | _checked_level(text).isNotNull()
-        return F.when(~_may_hold(text, own) | (F.size(own) == 0), text).when(valid, let(_key_pattern(own), by_key))
+        return F.when(~_may_hold(text, own) | (F.size(own) == 0), text).when(valid, let(_key_pattern(own), by_key)).otherwise(_closed(text))
 
     return let(F.coalesce(_names(names), F.array().cast("array<string>")), nulled)
 

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-EPOCH_DAY = "1970-01-01"
+from tidewell.operators.scan import numbered
+
+EPOCH_DAY, EPOCH = "1970-01-01", "1900-01-01 00:00:00"
 
 
 def latest(
@@ -39,26 +41,33 @@ def latest_by_rank(df: DataFrame, keys: Sequence[str], version: str | Sequence[s
     return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
-def update_from(base: DataFrame, staged: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Replace ``columns`` of existing keys by the staged values; keys only in ``staged`` are ignored."""
-    marked = staged.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_staged"))
+def update_from(
+    base: DataFrame, staged: DataFrame, keys: Sequence[str], columns: Sequence[str], version: str | Sequence[str] | None = None
+) -> DataFrame:
+    """Replace ``columns`` of existing keys by the staged values; keys only in ``staged`` are ignored.
+
+    Of several staged rows of a key the one with the greatest version counts, without a version the one with the
+    greatest values, so a row of ``base`` stays one row and the result does not depend on the order of arrival.
+    """
+    values = F.struct(*[F.col(c) for c in columns])
+    order = [] if version is None else [version] if isinstance(version, str) else list(version)
+    chosen = F.max_by(values, F.struct(*order, *columns)) if order else F.max(values)
+    marked = staged.groupBy(*keys).agg(chosen.alias("_new"))
     joined = base.join(marked, list(keys), "left")
-    return joined.select(
-        *[
-            F.when(F.col("_staged"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
-            for c in base.columns
-        ]
-    )
+    return joined.select(*[F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in base.columns])
+
 
+def upsert(log: DataFrame, changes: DataFrame, keys: Sequence[str], version: str, order: Sequence[str] = ()) -> DataFrame:
+    """Append changes as new versions of their keys; read the result with :func:`latest`.
 
-def upsert(log: DataFrame, changes: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Append changes as new versions of their keys; read the result with :func:`latest`."""
+    Several changes of a key get versions of their own, one after the other in the order of ``order`` (rows that are
+    equal there by a hash of the row).
+    """
     top = log.groupBy(*keys).agg(F.max(version).alias("_top"))
     placed = (
-        changes.drop(version)
+        numbered(changes.drop(version), keys, list(order), "_number")
         .join(top, list(keys), "left")
-        .withColumn(version, F.coalesce(F.col("_top") + 1, F.lit(0)).cast(log.schema[version].dataType))
-        .drop("_top")
+        .withColumn(version, (F.coalesce(F.col("_top"), F.lit(-1)) + F.col("_number")).cast(log.schema[version].dataType))
     )
     return log.unionByName(placed.select(*log.columns))
 
@@ -85,7 +94,7 @@ def increment(
     keys: Sequence[str],
     arrived: str,
     overlap: str = "1 minute",
-    epoch: str = "1900-01-01 00:00:00",
+    epoch: str = EPOCH,
 ) -> DataFrame:
     """Rows not yet in the target, looked for from ``overlap`` before its newest arrival time.
 

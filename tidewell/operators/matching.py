@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from tidewell.operators.scan import carried, following
 from tidewell.workspace import stored
 
 
@@ -80,70 +80,28 @@ def compare_with_expected(actual: DataFrame, expected: DataFrame, keys: Sequence
 
 
 def attribute_to_marks(
-    events: DataFrame,
-    marks: DataFrame,
-    event_time: str,
-    mark_time: str,
-    mark_name: str,
-    by: Sequence[str] = (),
-    bucket_seconds: int = 3600,
-    rows_per_group: int = 1_000_000,
+    events: DataFrame, marks: DataFrame, event_time: str, mark_time: str, mark_name: str, by: Sequence[str] = (), blocks: int | None = None
 ) -> DataFrame:
     """Add the mark whose [start, next start) holds the event; events before the first mark are dropped.
 
-    ``by`` are equality columns both sides share (for instance a user).  Marks must have distinct times
-    within them.
-
-    Both sides are cut into time buckets and merged by a running ``last`` inside each bucket; a bucket starts with the
-    last mark of the buckets before it.  A bucket with very many events is cut further, by time, into parts of about
-    ``rows_per_group`` events, so every mark is in one part only and columns of any type may ride along.  Events of
-    one microsecond stay together.
+    ``by`` are equality columns both sides share (for instance a user).  Marks must have distinct times within them.
+    Events and marks are merged in blocks of about equal numbers of rows (see :mod:`tidewell.operators.scan`), so neither
+    one user's events nor those of one instant have to be in one task.
     """
-    by = list(by)
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    width = F.lit(bucket_seconds * 1_000_000)
-    slot = lambda c: F.floor(micros(c) / width).cast("bigint")
-    ev = events.withColumn("_slot", slot(event_time))
-    mk = marks.select(*by, F.col(mark_time).alias("_at"), F.col(mark_name).alias("_name")).withColumn("_slot", slot("_at"))
-
-    sizes = ev.groupBy(*by, "_slot").agg(F.ceil(F.count("*") / F.lit(rows_per_group)).cast("int").alias("_parts"))
-
-    def in_parts(df: DataFrame, at: str) -> DataFrame:
-        """With the part of the bucket that the time falls into; a bucket without events is one part."""
-        inside = (micros(at) - F.col("_slot") * width) * F.col("_parts") / width
-        part = F.least(F.floor(inside).cast("int"), F.col("_parts") - 1)
-        return df.join(sizes, [*by, "_slot"], "left").withColumn("_part", F.coalesce(part, F.lit(0))).drop("_parts")
-
-    groups = [*by, "_slot", "_part"]
-    ev, mk = in_parts(ev, event_time), in_parts(mk, "_at")
-    newest = mk.groupBy(*groups).agg(F.max(F.struct("_at", "_name")).alias("_m"))
-    # One row per part of a bucket from here on, so the running value over them follows the time span, not the events.
-    occupied = ev.groupBy(*groups).agg(F.lit(True).alias("_events"))
-    per_part = occupied.join(newest, groups, "full_outer")
-    before = Window.partitionBy(*by).orderBy("_slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_part.withColumn("_carry", F.last("_m", ignorenulls=True).over(before)).where("_events").select(*groups, "_carry")
-
-    rows, start_rows = ev.join(carried, groups), mk.join(carried.select(*groups), groups, "left_semi")
-    both = (
-        rows.withColumn("_at", F.col(event_time))
-        .withColumn("_name", F.lit(None).cast(mk.schema["_name"].dataType))
-        .withColumn("_mark", F.lit(False))
-        .unionByName(start_rows.withColumn("_mark", F.lit(True)), allowMissingColumns=True)
-    )
+    by, named = list(by), F.struct(F.col("_at"), F.col("_name"))
+    mk = marks.select(*by, F.col(mark_time).alias("_at"), F.col(mark_name).alias("_name"), F.lit(0).alias("_side"))
+    kind = mk.schema["_name"].dataType
+    ev = events.withColumn("_at", F.col(event_time)).withColumn("_name", F.lit(None).cast(kind)).withColumn("_side", F.lit(1))
     # At the same instant the mark comes first: an interval includes its start.
-    order = Window.partitionBy(*groups).orderBy(F.col("_at"), F.col("_mark").desc())
-    running = F.last(F.when(F.col("_mark"), F.struct("_at", "_name")), ignorenulls=True).over(order)
-    return (
-        both.withColumn("_m", F.coalesce(running, F.col("_carry")))
-        .where(~F.col("_mark") & F.col("_m").isNotNull())
-        .select(*events.columns, F.col("_m._name").alias(mark_name), F.col("_m._at").alias(mark_time))
-    )
+    both = ev.unionByName(mk, allowMissingColumns=True)
+    found = carried(both, by, ["_at", "_side"], F.when(F.col("_side") == 0, named), "_m", blocks)
+    kept = found.where((F.col("_side") == 1) & F.col("_m").isNotNull())
+    return kept.select(*events.columns, F.col("_m._name").alias(mark_name), F.col("_m._at").alias(mark_time))
 
 
-def mark_ends(marks: DataFrame, mark_time: str, by: Sequence[str]) -> DataFrame:
+def mark_ends(marks: DataFrame, mark_time: str, by: Sequence[str], blocks: int | None = None) -> DataFrame:
     """Each mark with the start of the next one as its end (open for the last)."""
-    order = Window.partitionBy(*by).orderBy(mark_time)
-    return marks.withColumn("ends_at", F.lead(mark_time).over(order))
+    return following(marks, by, [mark_time], mark_time, "ends_at", blocks)
 
 
 # --- containment -----------------------------------------------------------------------------------------

@@ -62,6 +62,11 @@ def remerge(rollup: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     )
 
 
+def merge_minutes(rollup: DataFrame, dims: Sequence[str] = ("country", "device", "event_type")) -> DataFrame:
+    """Partial minute rows of several loads as complete ones."""
+    return remerge(rollup, ["minute", *dims])
+
+
 def hour_rollup(rollup: DataFrame, dims: Sequence[str] = ("country", "device", "event_type")) -> DataFrame:
     return remerge(rollup, [hour(F.col("minute")).alias("hour"), *dims])
 

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.operators.current import latest
-from tidewell.plans.serving import minute_rollup, user_stats
+from tidewell.plans.serving import merge_minutes, merge_user_stats, minute_rollup, user_stats
+from tidewell.streaming import levels
 
 BATCH = "batch_id"
 
@@ -129,9 +130,19 @@ def raw_and_derived(stream: DataFrame, raw_path: str, derived: Mapping[str, Call
     return stream.writeStream.foreachBatch(many_sinks({raw_path: lambda b: b, **derived}))
 
 
-def rollups(stream: DataFrame, minute_path: str, user_path: str):
-    """Partial rollups per batch; readers merge them, so late rows need no rewrite."""
-    return stream.writeStream.foreachBatch(many_sinks({minute_path: minute_rollup, user_path: user_stats}))
+def rollups(stream: DataFrame, minute_path: str, user_path: str, fan_out: int = levels.FAN_OUT):
+    """Partial rollups per batch, merged by levels as batches come in (see :mod:`tidewell.streaming.levels`); late rows
+    need no rewrite. Read with ``levels.read`` and merge."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        cached = batch.persist()
+        try:
+            levels.add(minute_rollup(cached), batch_id, minute_path, merge_minutes, fan_out)
+            levels.add(user_stats(cached), batch_id, user_path, merge_user_stats, fan_out)
+        finally:
+            cached.unpersist()
+
+    return stream.writeStream.foreachBatch(write)
 
 
 def masked(stream: DataFrame, path: str, mask: Callable[[DataFrame], DataFrame]):

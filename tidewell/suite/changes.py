@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import current, matching
-from tidewell.sources import lake
+from tidewell.sources import commits, lake
 from tidewell.suite.base import cents, query, table
 from tidewell.workspace import scratch
 
@@ -214,3 +214,57 @@ def cdc_run_log(spark, sf):
         record.write.mode("append").parquet(f"{root}/runs")
     report = current.run_report(spark.read.parquet(f"{root}/runs"))
     return report.select("job", "runs", "read_rows", "written_rows", (F.col("last_write") < F.col("last_run")).alias("wrote_before_last"))
+
+
+@query(
+    "cdc_update_from_repeats",
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'second' ELSE c_mktsegment END AS c_mktsegment,
+              CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 2 ELSE c_acctbal END AS c_acctbal FROM customer""",
+)
+def cdc_update_from_repeats(spark, sf):
+    """Three staged rows for each third customer: the newest one counts, and a customer stays one row."""
+    base = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    third = base.where(F.col("c_custkey") % 3 == 0)
+    stage = lambda n, name: third.select("c_custkey", F.lit(name).alias("c_mktsegment"), (F.col("c_acctbal") + n).alias("c_acctbal"), F.lit(n).alias("at"))
+    staged = stage(0, None).unionByName(stage(2, "second")).unionByName(stage(1, "zero"))
+    return current.update_from(base, staged, ["c_custkey"], ["c_mktsegment", "c_acctbal"], "at")
+
+
+@query(
+    "cdc_upsert_repeats",
+    f"""WITH {LOG_SQL}, changes AS (
+          SELECT o_orderkey, amount + x.n AS amount, x.n FROM newest, (VALUES (1), (2), (3)) x(n) WHERE o_orderkey % 4 = 0 AND x.n <= 1 + o_orderkey % 3)
+        SELECT o_orderkey, CAST(version AS BIGINT) AS version, amount FROM log UNION ALL
+        SELECT c.o_orderkey, CAST(n.version + row_number() OVER (PARTITION BY c.o_orderkey ORDER BY c.n) AS BIGINT), c.amount
+        FROM changes c JOIN newest n USING (o_orderkey)""",
+)
+def cdc_upsert_repeats(spark, sf):
+    """One to three changes of every 4th order in one load: each gets a version of its own, in their order."""
+    log = change_log(spark, sf)
+    newest = current.latest(log, ["o_orderkey"], "version").where(F.col("o_orderkey") % 4 == 0)
+    several = newest.withColumn("n", F.explode(F.sequence(F.lit(1), (1 + F.col("o_orderkey") % 3).cast("int"))))
+    changes = several.withColumn("amount", F.col("amount") + F.col("n"))
+    return current.upsert(log, changes, ["o_orderkey"], "version", ["n"]).select("o_orderkey", "version", "amount")
+
+
+@query(
+    "cdc_commits",
+    f"""WITH {LOG_SQL}, mark AS (SELECT max(synced_at) AS mark_at FROM log WHERE {_LOADED})
+        SELECT CAST(version AS BIGINT) AS version, count(*) AS rows, count(DISTINCT o_orderkey) AS keys, max(synced_at) AS newest
+        FROM log, mark WHERE ({_LOADED}) OR synced_at >= mark_at - INTERVAL 1 MINUTE GROUP BY version""",
+)
+def cdc_commits(spark, sf):
+    """Two increments by the statistics of commits: the mark is read from them, and only files that may hold a row on
+    offer are opened. The second increment adds nothing."""
+    source, root, keys = scratch(spark, "commits-source"), scratch(spark, "commits"), ["o_orderkey", "version"]
+    change_log(spark, sf).write.parquet(source)
+    log = spark.read.parquet(source)
+    commits.create(spark, root)
+    for month in ("2024-01", "2024-02"):
+        part = _loaded(log).where(F.date_format("synced_at", "yyyy-MM") == month)
+        commits.commit(part.repartitionByRange("synced_at"), root, keys, "synced_at", f"load-{month}")
+    for run in range(2):
+        commits.commit(commits.increment(log, root, keys, "synced_at"), root, keys, "synced_at", f"run-{run}")
+    return commits.read(spark, root, log.schema).groupBy("version").agg(
+        F.count("*").alias("rows"), F.count_distinct("o_orderkey").alias("keys"), F.max("synced_at").alias("newest")
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators import days
 from tidewell.operators.current import new_days
 from tidewell.plans import game
 from tidewell.sources import lake
@@ -116,3 +117,29 @@ def bi_top_spenders(spark, sf):
 def bi_hourly(spark, sf):
     events = _events_by_day(spark, sf).withColumnRenamed("ts", "event_time")
     return game.hourly_count(events, "2024-01-08", "2024-01-14", "click")
+
+
+@query(
+    "lake_late_days",
+    """SELECT CAST(ts AS DATE) AS dt, count(*) AS rows, CAST(sum(CASE WHEN event_id % 97 = 0 THEN event_id + 1 ELSE event_id END) AS BIGINT) AS ids,
+              CAST(ts AS DATE) <> DATE '2024-01-09' AND count(*) FILTER (WHERE event_id % 53 = 0 OR event_id % 97 = 0) > 0 AS written_again
+       FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-09' OR event_id % 97 <> 0 GROUP BY 1""",
+)
+def lake_late_days(spark, sf):
+    """Rows that come late for loaded days, corrected rows and rows taken away; one day is rewritten without a change.
+    Only days that differ are written again, and the target ends equal to the source."""
+    source, target, ledger = (scratch(spark, f"late-{n}") for n in ("source", "target", "ledger"))
+    events = _events_by_day(spark, sf)
+    calm = F.col("dt") == "2024-01-09"
+    late = (F.col("event_id") % 53 == 0) & ~calm
+    events.where(~late & ~(calm & (F.col("event_id") % 97 == 0))).write.partitionBy("dt").parquet(source)
+    scan = lambda path: lake.scan_lake(spark, path, "parquet", schema=events.schema)
+    days.reconcile(scan(source), target, ledger, 0)
+    # The source changes: late rows, corrected ids, and the calm day laid out anew with the same rows.
+    new = events.where(~(calm & (F.col("event_id") % 97 == 0))).withColumn("event_id", F.when((F.col("event_id") % 97 == 0), F.col("event_id") + 1).otherwise(F.col("event_id")))
+    new.write.mode("overwrite").partitionBy("dt").parquet(source)
+    spark.catalog.refreshByPath(source)
+    written = days.reconcile(scan(source), target, ledger, 1).where("was_loaded").select("dt", F.lit(True).alias("_again"))
+    spark.catalog.refreshByPath(target)
+    held = scan(target).groupBy("dt").agg(F.count("*").alias("rows"), F.sum("event_id").alias("ids"))
+    return held.join(written, "dt", "left").select(F.col("dt").cast("date").alias("dt"), "rows", "ids", F.coalesce("_again", F.lit(False)).alias("written_again"))

@@ -26,7 +26,7 @@ def log_attribution(spark, sf):
     marks = events.where("event_type = 'signup'").groupBy("user_id", F.col("ts").alias("mark_at")).agg(
         F.max("event_id").alias("mark")
     )
-    placed = matching.attribute_to_marks(events, marks, "ts", "mark_at", "mark", ["user_id"], bucket_seconds=86400)
+    placed = matching.attribute_to_marks(events, marks, "ts", "mark_at", "mark", ["user_id"])
     return placed.groupBy("user_id", "mark", "event_type").agg(F.count("*").alias("n"))
 
 
@@ -40,7 +40,7 @@ def log_attribution_all(spark, sf):
     events = _events(spark, sf)
     marks = events.where("event_type = 'error'").groupBy(F.col("ts").alias("mark_at")).agg(F.max("event_id").alias("mark"))
     others = events.where("event_type <> 'error'")
-    placed = matching.attribute_to_marks(others, marks, "ts", "mark_at", "mark", bucket_seconds=86400, rows_per_group=50)
+    placed = matching.attribute_to_marks(others, marks, "ts", "mark_at", "mark", blocks=16)
     return placed.groupBy("mark", "event_type").agg(F.count("*").alias("n"))
 
 

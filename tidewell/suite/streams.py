@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidewell.operators import masking
 from tidewell.operators.current import latest, run_report
 from tidewell.plans import game, serving
-from tidewell.streaming import jobs
+from tidewell.streaming import jobs, levels
 from tidewell.suite.base import CLICKSTREAM_SQL, GAME_SQL, clickstream, game_events, query, table
 from tidewell.suite.changes import LOG_SQL, change_log
 from tidewell.workspace import scratch
@@ -75,7 +75,7 @@ def stream_rollup(spark, sf):
     stream = _click_stream(spark, sf, root)
     jobs.run_once(jobs.rollups(stream, f"{root}/minutes", f"{root}/users"), f"{root}/checkpoint")
     partial = serving.minute_rollup(clickstream(spark, sf)).schema
-    return serving.hour_rollup(jobs.read_batches(spark, f"{root}/minutes", partial)).drop("users")
+    return serving.hour_rollup(levels.read(spark, f"{root}/minutes", partial)).drop("users")
 
 
 @query(
@@ -87,7 +87,7 @@ def stream_user_stats(spark, sf):
     stream = _click_stream(spark, sf, root)
     jobs.run_once(jobs.rollups(stream, f"{root}/minutes", f"{root}/users"), f"{root}/checkpoint")
     partial = serving.user_stats(clickstream(spark, sf)).schema
-    return serving.merge_user_stats(jobs.read_batches(spark, f"{root}/users", partial))
+    return serving.merge_user_stats(levels.read(spark, f"{root}/users", partial))
 
 
 @query(
@@ -182,3 +182,21 @@ def stream_run_log(spark, sf):
     log = jobs.run_log(spark, f"{_counted(spark, sf)}/log").withColumn("written_rows", F.col("read_rows"))
     report = run_report(log)
     return report.select("job", "read_rows", "written_rows", (F.col("runs") >= 1).alias("has_batches"))
+
+
+@query(
+    "stream_levels",
+    f"""WITH {CLICKSTREAM_SQL} SELECT user_id, count(*) AS events, CAST(sum(revenue) AS BIGINT) AS revenue, max(ts) AS last_ts, TRUE AS few_folders FROM clicks GROUP BY 1""",
+)
+def stream_levels(spark, sf):
+    """Thirteen batches in levels of three, the last two sent again; at most two folders of each of three levels are live."""
+    root, clicks, batches = scratch(spark, "levels"), clickstream(spark, sf), 13
+    spread = clicks.withColumn("_batch", F.pmod(F.xxhash64("user_id", "ts"), F.lit(batches)))
+    spread.write.partitionBy("_batch").parquet(f"{root}/in")
+    schema = serving.user_stats(clicks).schema
+    for b in (*range(batches), batches - 2, batches - 1):
+        part = spark.read.schema(clicks.schema).parquet(f"{root}/in/_batch={b}")
+        levels.add(serving.user_stats(part), b, f"{root}/users", serving.merge_user_stats, fan_out=3)
+    folders = levels.live(spark, f"{root}/users")[1]
+    merged = serving.merge_user_stats(levels.read(spark, f"{root}/users", schema))
+    return merged.withColumn("few_folders", F.lit(len(folders) <= 2 * 3))

@@ -96,8 +96,16 @@ def read_responses(spark: SparkSession, path: str, spec: LedgerSpec) -> tuple[Da
     return records, headers
 
 
+_FAILURES = "array<struct<rule:string,field:string,value:string>>"
+
+
+def _failure(rule: str, field: Column, value: Column) -> Column:
+    """A broken rule with the place it was broken at and what stood there."""
+    return F.struct(F.lit(rule).alias("rule"), field.cast("string").alias("field"), value.cast("string").alias("value"))
+
+
 def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFrame:
-    """One typed row per raw record, with the failures found in it as an array of texts.
+    """One typed row per raw record, with the rules it breaks as an array of (rule, field, value).
 
     ``records`` carries (window, record).  A metric that is absent is 0, an absent text is ''.  A record
     that lacks a required field or has an unusable total has ``usable = false``.
@@ -154,25 +162,22 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
     complete, dated, shaped = F.size("_absent") == 0, F.col("_dated"), F.col("_shaped")
     known, who, counted = F.col("_known"), F.col("_who"), F.col("total").isNotNull()
     usable = complete & dated & counted & shaped
+    # Of a record that can't be used the first rule it breaks; of one that can, every metric at fault.
     problem = (
-        F.when(
-            ~complete,
-            F.concat(F.lit("record without "), F.array_join("_absent", ", "), F.lit(" (entityId="), F.col("entity_id"), F.lit(")")),
-        )
-        .when(~dated, F.concat(F.lit("date is not YYYY-MM-DD: "), F.col("_date")))
-        .when(~counted, F.concat(who, F.lit(" total is not a number")))
-        .when(~shaped, F.concat(who, F.lit(" metrics is not an object")))
-        .when(known.isNull(), F.concat(F.lit("unknown entityType: "), who))
+        F.when(~complete, _failure("missing_field", F.array_join("_absent", ","), F.col("entity_id")))
+        .when(~dated, _failure("date", F.lit("date"), F.col("_date")))
+        .when(~counted, _failure("total", who, F.lit(None)))
+        .when(~shaped, _failure("metrics", who, F.lit(None)))
+        .when(known.isNull(), _failure("entity_type", F.col("entity_type"), who))
     )
     unexpected = F.transform(
-        F.filter(F.map_keys("_m"), lambda k: known.isNotNull() & ~F.array_contains(known, k)),
-        lambda k: F.concat(F.lit("unexpected metric: "), who, F.lit(" carries "), k),
+        F.filter(F.map_keys("_m"), lambda k: known.isNotNull() & ~F.array_contains(known, k)), lambda k: _failure("metric_name", k, who)
     )
     bad_value = F.transform(
         F.map_entries(F.map_filter("_m", lambda k, v: F.try_element_at("_values", k).isNull())),
-        lambda e: F.concat(F.lit("bad metric value: "), who, F.lit(" "), e["key"], F.lit(" = "), F.to_json(e["value"])),
+        lambda e: _failure("metric_value", F.concat(who, F.lit(" "), e["key"]), F.to_json(e["value"])),
     )
-    per_metric = F.when(usable, F.concat(unexpected, bad_value)).otherwise(F.array().cast("array<string>"))
+    per_metric = F.when(usable, F.concat(unexpected, bad_value)).otherwise(F.array().cast(_FAILURES))
     base = json_text.once(
         base, {"usable": usable, "failures": F.concat(F.array_compact(F.array(problem)), per_metric)}
     )
@@ -200,9 +205,10 @@ def flatten(records: DataFrame, spec: LedgerSpec, fetched_at: Column) -> DataFra
 
 
 def record_failures(flat: DataFrame) -> DataFrame:
+    """(window, rule, field, value): the rules that records break."""
     # Outer, then a filter on what came out: an inner explode would make the optimizer infer a filter on the array and
     # copy the whole validation expression into it.
-    return flat.select("window", F.explode_outer("failures").alias("failure")).where(F.col("failure").isNotNull())
+    return flat.select("window", F.explode_outer("failures").alias("f")).where(F.col("f").isNotNull()).select("window", "f.*")
 
 
 def control_totals(flat: DataFrame, headers: DataFrame) -> DataFrame:
@@ -229,16 +235,12 @@ def all_failures(flat: DataFrame, headers: DataFrame) -> DataFrame:
     """Everything that stops a publication: bad responses, bad records, totals that differ."""
     bad_response = headers.where(
         F.col("grand_total").isNull() | (F.col("records") < 0) | (F.coalesce("status", F.lit(200)) != 200)
-    ).select("window", F.lit("response without costs and a numeric grand total, or status not 200").alias("failure"))
+    ).select("window", _failure("response", F.lit("status"), F.col("status")).alias("f")).select("window", "f.*")
     totals = (
         control_totals(flat, headers)
         .where(~F.col("agrees") & F.col("grand_total").isNotNull())
-        .select(
-            "window",
-            F.format_string(
-                "totals differ: sum %.6f, grand total %.6f", F.col("sum_total"), F.col("grand_total")
-            ).alias("failure"),
-        )
+        .select("window", _failure("grand_total", F.col("grand_total"), F.col("sum_total")).alias("f"))
+        .select("window", "f.*")
     )
     return record_failures(flat).unionByName(bad_response).unionByName(totals)
 

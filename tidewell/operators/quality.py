@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators.current import latest
-from tidewell.operators.totals import union_labelled
+from tidewell.operators.totals import literal_rows, union_labelled
 
 _WORDS = (1, 16, 31, 46)  # four 15-digit words of a 64-digit hash; 15 hex digits fit a bigint
 
@@ -83,40 +83,43 @@ def last_runs(results: DataFrame, keys: Sequence[str], finished: str) -> DataFra
     return latest(results, keys, finished)
 
 
+#: State of a run, and for a run that went well whether its reference did and whether the hashes are the same.
+_RULES = [
+    *[(state, wanted, same, verdict) for state, verdict in (("none", "not run"), ("syntax", "syntax"), ("failed", "error")) for wanted in (True, False) for same in (True, False)],
+    *[("ok", False, same, "error") for same in (True, False)],
+    ("ok", True, True, "match"),
+    ("ok", True, False, "mismatch"),
+]
+
+
 def verdicts(reference: DataFrame, results: DataFrame, name: str = "query") -> DataFrame:
-    """One verdict per query of the reference.
+    """(query, verdict, rows_found, rows_expected, column_off): one verdict per query of the reference.
 
-    Both sides carry (query, status, rows, result_hash, col_sums).  Sums agree when each pair differs by at
-    most 0.05 or one millionth.
+    Both sides carry (query, status, rows, result_hash, col_sums). ``column_off`` is the place, from 1, of the first
+    column whose sum differs by more than 0.05 and more than one millionth; NULL when all agree.
     """
-    ref = reference.select(
-        name, *[F.col(c).alias(f"_ref_{c}") for c in ("status", "rows", "result_hash", "col_sums")]
+    sides = reference.select(name, F.struct("status", "rows", "result_hash", "col_sums").alias("want")).join(
+        results.select(name, F.struct("status", "rows", "result_hash", "col_sums").alias("got")), name, "left"
     )
-    joined = ref.join(results, name, "left")
-    pairs = F.arrays_zip(F.col("col_sums").alias("a"), F.col("_ref_col_sums").alias("b"))
-    close = (F.size("col_sums") == F.size("_ref_col_sums")) & F.forall(
-        pairs,
-        lambda p: F.when(p["a"].isNull() | p["b"].isNull(), p["a"].isNull() & p["b"].isNull()).otherwise(
-            F.abs(p["a"] - p["b"]) <= F.greatest(F.lit(0.05), F.abs(p["b"]) * F.lit(0.000001))
-        ),
+    known = F.array(F.lit("ok"), F.lit("syntax"))
+    status = F.col("got.status")
+    keyed = sides.withColumns(
+        {
+            "state": F.when(status.isNull(), "none").when(F.array_contains(known, status), status).otherwise("failed"),
+            "wanted": F.coalesce(F.col("want.status") == "ok", F.lit(False)),
+            "same": F.coalesce(F.col("got.result_hash") == F.col("want.result_hash"), F.lit(False)),
+        }
     )
-    status = F.col("status")
-    verdict = (
-        F.when(status.isNull(), "not run")
-        .when(status == "syntax", "syntax")
-        .when(status != "ok", "error")
-        .when(F.coalesce(F.col("_ref_status"), F.lit("")) != "ok", "error")
-        .when(F.col("result_hash") == F.col("_ref_result_hash"), "match")
-        .otherwise("mismatch")
+
+    def off(a: Column, b: Column) -> Column:
+        apart = F.abs(a - b)
+        return ~(a.eqNullSafe(b) | F.coalesce((apart <= 0.05) | (apart * 1_000_000 <= F.abs(b)), F.lit(False)))
+
+    places = F.array_position(F.zip_with("got.col_sums", "want.col_sums", off), True)
+    rules = literal_rows(reference.sparkSession, _RULES, "state string, wanted boolean, same boolean, verdict string")
+    return keyed.join(rules, ["state", "wanted", "same"]).select(
+        name, "verdict", F.col("got.rows").alias("rows_found"), F.col("want.rows").alias("rows_expected"), F.when(places > 0, places).alias("column_off")
     )
-    detail = F.when(
-        verdict == "mismatch",
-        F.concat(
-            F.lit("rows "), F.col("rows").cast("string"), F.lit(" of "), F.col("_ref_rows").cast("string"),
-            F.lit("; column sums "), F.when(F.coalesce(close, F.lit(False)), "agree").otherwise("differ"),
-        ),
-    ).otherwise("")
-    return joined.select(name, verdict.alias("verdict"), detail.alias("detail"))
 
 
 def agreement(sources: Mapping[str, DataFrame], value: Column) -> DataFrame:

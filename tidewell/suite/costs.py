@@ -168,7 +168,10 @@ def ledger_checks(spark, sf):
     """Every fault put into the records and headers is named; months that lost a record or carry a wrong total differ."""
     flat = flat_ledger(spark, sf, faults=True)
     failures = L.all_failures(flat, ledger_headers(spark, sf, faults=True))
-    kind = F.regexp_extract("failure", r"^(unknown entityType|record without entityId|unexpected metric|bad metric value|totals differ)", 1)
+    names = {"entity_type": "unknown entityType", "metric_name": "unexpected metric", "metric_value": "bad metric value", "grand_total": "totals differ"}
+    kind = F.when((F.col("rule") == "missing_field") & (F.col("field") == "entityId"), "record without entityId")
+    for rule, name in names.items():
+        kind = kind.when(F.col("rule") == rule, name)
     return failures.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 

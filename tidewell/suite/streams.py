@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidewell.operators import masking
 from tidewell.operators.current import latest, run_report
 from tidewell.plans import game, serving
-from tidewell.streaming import jobs, levels
+from tidewell.streaming import jobs, levels, sessions
 from tidewell.suite.base import CLICKSTREAM_SQL, GAME_SQL, clickstream, game_events, query, table
 from tidewell.suite.changes import LOG_SQL, change_log
 from tidewell.workspace import scratch
@@ -200,3 +200,41 @@ def stream_levels(spark, sf):
     folders = levels.live(spark, f"{root}/users")[1]
     merged = serving.merge_user_stats(levels.read(spark, f"{root}/users", schema))
     return merged.withColumn("few_folders", F.lit(len(folders) <= 2 * 3))
+
+
+_GAP, _SLIDE, _PANES = 1800, 900, 4
+
+
+@query(
+    "stream_sessions",
+    f"""WITH {CLICKSTREAM_SQL}, o AS (
+          SELECT user_id, ts, revenue, CASE WHEN ts - lag(ts) OVER w <= INTERVAL {_GAP} SECOND THEN 0 ELSE 1 END AS opens FROM clicks
+          WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM o)
+        SELECT user_id, min(ts) AS started_at, max(ts) AS last_at, count(*) AS events, CAST(sum(revenue) AS BIGINT) AS total FROM s GROUP BY user_id, n""",
+)
+def stream_sessions(spark, sf):
+    """Sessions with a gap of half an hour, from batches in which the rows of a session come apart and late."""
+    root, clicks = scratch(spark, "sessions"), clickstream(spark, sf).select("user_id", "ts", "revenue")
+    schema = _files(clicks, f"{root}/in")
+    stream = jobs.file_stream(spark, f"{root}/in", schema, "parquet", files_per_batch=_half(spark))
+    jobs.run_once(sessions.sessions(stream, "ts", _GAP, ["user_id"], "revenue", f"{root}/out"), f"{root}/checkpoint")
+    parts = levels.read(spark, f"{root}/out", sessions.session_parts(clicks, "ts", _GAP, ["user_id"], "revenue").schema)
+    return sessions.merge_sessions(parts, _GAP, ["user_id"])
+
+
+@query(
+    "stream_sliding",
+    f"""WITH {CLICKSTREAM_SQL}, w AS (
+          SELECT country, revenue, time_bucket(INTERVAL {_SLIDE} SECOND, ts, TIMESTAMP '1970-01-01') - to_seconds({_SLIDE} * k) AS window_start
+          FROM clicks, range({_PANES}) r(k))
+        SELECT country, window_start, count(*) AS events, CAST(sum(revenue) AS BIGINT) AS total FROM w GROUP BY ALL""",
+)
+def stream_sliding(spark, sf):
+    """Windows of an hour that start every quarter of an hour, per country."""
+    root, clicks = scratch(spark, "sliding"), clickstream(spark, sf).select("country", "ts", "revenue")
+    schema = _files(clicks, f"{root}/in")
+    stream = jobs.file_stream(spark, f"{root}/in", schema, "parquet", files_per_batch=_half(spark))
+    jobs.run_once(sessions.sliding(stream, "ts", _SLIDE, ["country"], "revenue", f"{root}/out"), f"{root}/checkpoint")
+    panes = levels.read(spark, f"{root}/out", sessions.pane_parts(clicks, "ts", _SLIDE, ["country"], "revenue").schema)
+    return sessions.sliding_windows(panes, _SLIDE, _PANES, ["country"])

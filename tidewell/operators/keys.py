@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import ciphers
+from tidewell.sources import lake
 
 
 def unwrap_keys(rows: DataFrame, wrapped: str, unwrap: Callable[[Sequence[str]], Sequence[str]]) -> DataFrame:
@@ -97,6 +98,23 @@ def find_by_ciphertext(df: DataFrame, column: str, search: DataFrame) -> DataFra
     return df.join(search.select(F.col("ciphertext").alias(column)).distinct(), column, "left_semi").select(*df.columns)
 
 
+def store_for_lookup(df: DataFrame, path: str, column: str, rows_per_file: int = 5_000_000) -> None:
+    """Write the rows sorted by a stored ciphertext, with Parquet Bloom filters on it: an equality skips files and row
+    groups by least and greatest value, and by the filter where the value falls between them."""
+    lake.export_sorted(df, path, column, rows_per_file, bloom=[column])
+
+
+def find_stored(df: DataFrame, column: str, ring: DataFrame, key_column: str, values: Sequence[str]) -> DataFrame:
+    """Rows whose stored ciphertext is one of the given texts under any key version.
+
+    The predicate is a list of constants, one for each text and key version, so it reaches the scan; a join would not.
+    For more texts than a person types use :func:`find_by_ciphertext`.
+    """
+    spark = df.sparkSession
+    search = ciphertexts(ring, key_column, spark.createDataFrame([(v,) for v in values], "v string"), "v")
+    return df.where(F.col(column).isin([r.ciphertext for r in search.select("ciphertext").collect()]))
+
+
 def all_but_ciphertext(df: DataFrame, column: str, search: DataFrame) -> DataFrame:
     """Rows whose stored ciphertext is none of the searched ones; NULL matches neither, as with ``<>``."""
     known = df.where(F.col(column).isNotNull())

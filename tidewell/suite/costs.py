@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators import ledger as L
 from tidewell.operators.totals import with_grand_total
 from tidewell.plans.allocation import allocate
+from tidewell.sources import keyed
 from tidewell.suite.base import cents, query, table
-from tidewell.workspace import stored
+from tidewell.workspace import scratch, stored
 
 SPEC = L.LedgerSpec()
 _FETCHED = "2024-01-01 00:00:00"
@@ -604,3 +606,23 @@ def ledger_rollup_total(spark, sf):
         cents(F.col("o_totalprice")).alias("c"),
     )
     return with_grand_total(o, "priority", "total", {"orders": F.count("*"), "amount": F.sum("c")})
+
+
+@query(
+    "ledger_append",
+    f"""WITH {LEDGER_SQL} SELECT day AS date, entity_id, CASE WHEN day >= DATE '1995-01-01' THEN total + 1 ELSE total END AS total,
+          day >= DATE '1995-01-01' AS corrected FROM led""",
+)
+def ledger_append(spark, sf):
+    """JSON lines in two batches that overlap, the second with corrected totals; the first is loaded again at the end."""
+    root = scratch(spark, "ledger-append")
+    rows = ledger(spark, sf).select("date", "entity_id", "total")
+    late = F.col("date") >= F.lit("1995-01-01").cast("date")
+    first = rows.where(F.col("date") < F.lit("1996-01-01").cast("date")).withColumn("fetched", F.lit(1)).withColumn("corrected", F.lit(False))
+    second = rows.where(late).withColumn("fetched", F.lit(2)).withColumn("corrected", F.lit(True)).withColumn("total", F.col("total") + 1)
+    schema = T.StructType.fromDDL("date date, entity_id string, total double, fetched int, corrected boolean")
+    for name, part in (("a", first), ("b", second)):
+        part.select(F.to_json(F.struct(*part.columns)).alias("value")).write.text(f"{root}/in/{name}")
+    for batch in ("a", "b", "a"):
+        keyed.load_lines(spark, [f"{root}/in/{batch}"], schema, f"{root}/table", ["date", "entity_id"], batch)
+    return keyed.newest(spark, f"{root}/table", schema, ["date", "entity_id"], ["fetched"]).drop("fetched")

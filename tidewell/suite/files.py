@@ -282,3 +282,28 @@ def store_export(spark, sf):
     stats = table(spark, sf, "events").groupBy("user_id").agg(F.count("*").alias("events"))
     sent = export.export_rows(stats, open_store, batch_rows=25, pause_seconds=0.001)
     return sent.select("rows", (F.col("retries") == F.col("batches")).alias("resent"))
+
+
+@query(
+    "io_clustered_export",
+    """SELECT 'part' AS filter, count(*) AS rows, TRUE AS under_half FROM lineitem WHERE l_partkey BETWEEN (SELECT max(l_partkey) // 2 FROM lineitem)
+         AND (SELECT max(l_partkey) // 2 + max(l_partkey) // 100 FROM lineitem) UNION ALL
+       SELECT 'day', count(*), TRUE FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-06-01' AND DATE '1995-06-20'""",
+)
+def io_clustered_export(spark, sf):
+    """Line items clustered by part and day: a narrow filter on either column can meet under half of the files."""
+    path = scratch(spark, "clustered")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_quantity")
+    lake.export_clustered(lines, path, ["l_partkey", "l_shipdate"], files=64)
+    held = spark.read.schema(lines.schema).parquet(path)
+    top = held.agg(F.max("l_partkey").alias("m")).scalar()
+    first, last = F.floor(top / 2), F.floor(top / 2) + F.floor(top / 100)
+    day = [F.lit(d).cast("date") for d in ("1995-06-01", "1995-06-20")]
+    spans = held.groupBy(F.col("_metadata.file_path").alias("f")).agg(*[f(c).alias(f"{n}_{c}") for c in ("l_partkey", "l_shipdate") for n, f in (("lo", F.min), ("hi", F.max))])
+    out = None
+    for name, column, lo, hi in (("part", "l_partkey", first, last), ("day", "l_shipdate", *day)):
+        met = spans.agg((F.count_if((F.col(f"lo_{column}") <= hi) & (F.col(f"hi_{column}") >= lo)) * 2 < F.count("*")).alias("under_half"))
+        counted = held.where(F.col(column).between(lo, hi)).agg(F.count("*").alias("rows")).withColumn("under_half", met.scalar())
+        row = counted.withColumn("filter", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.operators import matching, quality
+from tidewell.operators import differences, matching, quality
 from tidewell.operators.totals import union_labelled
 from tidewell.sources.catalog import count_rows
 from tidewell.suite.base import cents, query, table
+from tidewell.workspace import scratch
 
 
 @query(
@@ -135,3 +136,23 @@ def quality_maps(spark, sf):
     one = F.create_map(F.lit("k"), key, F.lit("s"), status)
     other = F.create_map(F.lit("s"), status, F.lit("k"), F.when(F.col("o_orderkey") % 3 == 0, F.concat(key, F.lit("!"))).otherwise(key))
     return table(spark, sf, "orders").select("o_orderkey", quality.same_map(one, other).alias("same"))
+
+
+@query(
+    "quality_locate",
+    """SELECT o_orderkey, 'left' AS found, NULL AS columns FROM orders WHERE o_orderkey % 1000 = 1 UNION ALL
+       SELECT o_orderkey, 'both', 'o_custkey,o_totalprice' FROM orders WHERE o_orderkey % 1000 = 2 UNION ALL
+       SELECT -1 - o_orderkey, 'right', NULL FROM orders WHERE o_orderkey % 1000 = 3""",
+)
+def quality_locate(spark, sf):
+    """Lost, changed and added rows of a copy, found by a hash tree: only leaves that differ are read again."""
+    left, right = scratch(spark, "locate-left"), scratch(spark, "locate-right")
+    o, key = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"), F.col("o_orderkey")
+    changed = o.where(key % 1000 != 1).withColumns(
+        {c: F.when(key % 1000 == 2, F.col(c) + 1).otherwise(F.col(c)) for c in ("o_custkey", "o_totalprice")}
+    )
+    added = o.where(key % 1000 == 3).withColumn("o_orderkey", -1 - key)
+    differences.store_hashed(o, left, ["o_orderkey"])
+    differences.store_hashed(changed.unionByName(added), right, ["o_orderkey"])
+    found = differences.locate(spark, left, right, o.schema, ["o_orderkey"])
+    return found.withColumn("columns", F.array_join("columns", ","))

@@ -237,3 +237,24 @@ def crypto_batched_calls(spark, sf):
         pause_seconds=0.01,
     )
     return called.select("c_custkey", "answer")
+
+
+@query(
+    "crypto_lookup_stored",
+    """SELECT c_custkey AS user_id, 'customer#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '@example.com' AS email, TRUE AS few_files
+       FROM customer WHERE c_custkey IN (8, 9, 30)""",
+)
+def crypto_lookup_stored(spark, sf):
+    """Three addresses looked for by their stored ciphertexts under all key versions, in files sorted by these; the
+    predicate's constants can be in at most one file each."""
+    ring, path = key_ring(spark), scratch(spark, "stored-ciphertext")
+    K.store_for_lookup(ring_users(spark, sf).select("user_id", "encrypted_email"), path, "encrypted_email")
+    held = spark.read.parquet(path)
+    emails = [f"customer#{n:09d}@example.com" for n in (8, 9, 30)]
+    found = K.find_stored(held, "encrypted_email", ring, "email", emails)
+    plain = ciphers.decrypt_versioned(F.col("encrypted_email"), K.ring_of(ring, "email"))
+    spans = held.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("encrypted_email").alias("lo"), F.max("encrypted_email").alias("hi"))
+    asked = K.ciphertexts(ring, "email", spark.createDataFrame([(e,) for e in emails], "v string"), "v")
+    per_text = asked.join(spans, F.col("ciphertext").between(F.col("lo"), F.col("hi"))).groupBy("ciphertext").agg(F.count("*").alias("n"))
+    few = per_text.agg(F.coalesce(F.max("n") <= 1, F.lit(True)).alias("few")).scalar()
+    return found.select("user_id", plain.alias("email"), few.alias("few_files"))

@@ -144,3 +144,27 @@ def serve_adhoc(spark, sf):
         part = serving.adhoc(clicks, dim, filters, start, end, exact=True).withColumn("q", F.lit(i))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query(
+    "serve_latency_rollup",
+    f"""WITH {CLICKSTREAM_SQL} SELECT date_trunc('day', ts) AS day, country, count(revenue) AS values, TRUE AS p50_close, TRUE AS p90_close, TRUE AS p99_close
+        FROM clicks GROUP BY ALL""",
+)
+def serve_latency_rollup(spark, sf):
+    """Quantile sketches per minute, merged to hours and these to days: each quantile's exact rank lies within three
+    times the sketch's error of what was asked for."""
+    clicks = clickstream(spark, sf)
+    hours = serving.merge_quantiles(serving.quantile_rollup(clicks, "revenue"), [F.date_trunc("hour", "minute").alias("hour"), "country"])
+    days = serving.merge_quantiles(hours, [F.date_trunc("day", "hour").alias("day"), "country"])
+    shares = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    found = serving.quantiles(days, shares)
+    # The exact ranks of the answers: shares of rows under and up to each of them.
+    rows = clicks.select(F.date_trunc("day", "ts").alias("day"), "country", F.col("revenue").cast("double").alias("v")).where("v IS NOT NULL").join(found, ["day", "country"])
+    slack = lambda n: 3 * serving.RANK_ERROR + 1 / n
+    near = {
+        f"{q}_close": (F.avg((F.col("v") < F.col(q)).cast("int")) <= p + slack(F.count("*"))) & (F.avg((F.col("v") <= F.col(q)).cast("int")) >= p - slack(F.count("*")))
+        for q, p in shares.items()
+    }
+    out = rows.groupBy("day", "country", "values").agg(*[c.alias(n) for n, c in near.items()])
+    return out.select(F.col("day").cast("timestamp_ntz").alias("day"), "country", "values", *near)

@@ -299,3 +299,32 @@ def test_digest_columns(spark, sf, public):
     for r in got:
         ids = public.encode_ordinary(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), digest(" ".join(map(str, ids)).encode()), digest(texts[r.doc_id].encode()))
+
+
+PLAIN = {
+    "en": [
+        "The house is on the hill.", "She went to the market yesterday to buy some bread.", "It was the best of times, it was the worst of times.",
+        "I don't know what you mean by that.", "Please send me the report before Friday.", "Water boils at one hundred degrees.",
+        "He quickly realised that nothing would change.", "My brother plays football every weekend.", "The committee approved the new budget.",
+        "Why would anyone want to live there?",
+    ],
+    "fr": ["La maison est sur la colline.", "Je ne sais pas ce que vous voulez dire.", "Nous allons à la plage demain matin.", "Le chat dort sur le canapé.", "Il fait très froid en hiver."],
+    "de": ["Das Haus steht auf dem Hügel.", "Ich weiß nicht, was du meinst.", "Wir gehen morgen früh an den Strand.", "Die Katze schläft auf dem Sofa.", "Im Winter ist es sehr kalt."],
+    "es": ["La casa está en la colina.", "No sé lo que quieres decir.", "Mañana vamos a la playa.", "El gato duerme en el sofá.", "Hace mucho frío en invierno."],
+}
+STRANGE = [
+    "Дом стоит на холме.", "Я не знаю, что вы имеете в виду.", "Το σπίτι είναι στο λόφο.", "房子在山上。我不知道你的意思", "البيت على التل", "xqzv wkjp qzzx vbnm kjhg",
+    "lkjw qpoz mxnb vczx wqer", "aGVsbG8gd29ybGQgdGhpcyBpcyBhIHRlc3Qgb2YgYmFzZTY0", "TWFuIGlzIGRpc3Rpbmd1aXNoZWQsIG5vdCBvbmx5IGJ5IGhpcyByZWFzb24",
+]
+
+
+def test_plain_sentences_stay_and_what_is_no_learned_script_goes(spark, sf):
+    model = langid.train(spark.read.parquet(f"{sf}/documents.parquet"))
+    sentences = [t for texts in PLAIN.values() for t in texts]
+    _, _, rejected = langid.predict(model, sentences + [t + " " + t for t in sentences])
+    assert sum(rejected) <= 0.05 * len(rejected)
+    assert all(langid.predict(model, STRANGE)[2])
+    rng = np.random.default_rng(3)
+    for words in (5, 20, 80):  # rejection of random letters by length
+        texts = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzäöüéèñ"), rng.integers(2, 9))) for _ in range(words)) for _ in range(100)]
+        assert sum(langid.predict(model, texts)[2]) >= 90

@@ -3,9 +3,12 @@
 A text is the average of the embeddings of its subwords: the runs of 2 to 4 characters within a word, whose
 ends count as characters. Subwords are hashed into ``BUCKETS`` rows. The embeddings and the softmax are trained
 by stochastic gradient descent in numpy, on a bounded sample of the labelled rows; the softmax is then given a
-temperature. A text's score is its best probability times the share of its subwords that training met (by a hash
-of ``WIDE`` values, so that few meet by chance). It is rejected below a threshold set from validation texts
-and from texts of random letters: see ``_threshold``.
+temperature. How far a text is of the learned languages at all is its familiarity: the share of its subwords of
+three characters that training met (by a hash of ``WIDE`` values, so that few meet by chance), one added on either
+side, so that a short text is not judged by two or three subwords. Pairs are nearly always met in any language of a
+learned script, and quadruples seldom in a text of new words, so neither is counted. A text is rejected when its
+familiarity is little more than that of texts of random letters: see ``_threshold``. The score is the best probability
+times the familiarity.
 
 Prediction runs in Arrow batches over the whole text. As the model is linear, each subword has one row of
 scores per language, and a text costs one histogram of its subwords.
@@ -29,6 +32,8 @@ BUCKETS = 1 << 15
 #: Values of the hash that tells whether training met a subword; a multiple of BUCKETS.
 WIDE = 1 << 22
 SIZES = (2, 3, 4)
+#: Size of the subwords that familiarity counts.
+FAMILIAR = 3
 #: Characters that one numpy step sees; a longer text is read in pieces that overlap by the longest subword.
 STEP = 1 << 20
 
@@ -47,7 +52,8 @@ class Training:
     rate: float = 0.5
     seed: int = 11
     kept: float = 0.999
-    least_share: float = 0.5
+    unlike: float = 0.99
+    margin: float = 0.1
 
 
 @dataclass(frozen=True)
@@ -59,19 +65,19 @@ class Model:
     threshold: float
     met: np.ndarray  # bits of the WIDE values of the subwords that training met
 
-    def share_met(self, keys: np.ndarray) -> float:
-        return float(((self.met[keys >> 3] >> (keys & 7)) & 1).mean()) if len(keys) else 0.0
+    def number_met(self, keys: np.ndarray) -> int:
+        return int(((self.met[keys >> 3] >> (keys & 7)) & 1).sum())
 
 
-def subword_keys(points: np.ndarray) -> np.ndarray:
+def subword_keys(points: np.ndarray, sizes: tuple[int, ...] = SIZES) -> np.ndarray:
     """Hashes below WIDE of all subwords of a text given as code points. Everything but letters ends a word."""
     if not len(points):
         return np.zeros(0, np.int64)
     letter = char_classes()[points] == LETTER
     c = np.concatenate([[0], np.where(letter, points, 0), [0]]).astype(np.uint64)
     inside = c != 0
-    out = []
-    for n in SIZES:
+    out = [np.zeros(0, np.int64)]
+    for n in sizes:
         m = len(c) - n + 1
         if m <= 0:
             continue
@@ -113,15 +119,19 @@ def histogram(points: np.ndarray) -> np.ndarray:
     return sum(np.bincount(subwords(piece), minlength=BUCKETS) for piece in _pieces(points))
 
 
+def familiarity(met: int, number: int) -> float:
+    return (met + 1) / (number + 2)
+
+
 def measure(model: Model, points: np.ndarray) -> tuple[np.ndarray, float]:
-    """Histogram of a whole text, and the share of its subwords that training met."""
-    counts, met, n = np.zeros(BUCKETS, np.int64), 0.0, 0
+    """Histogram of a whole text, and its familiarity."""
+    counts, met, n = np.zeros(BUCKETS, np.int64), 0, 0
     for piece in _pieces(points):
-        keys = subword_keys(piece)
-        counts += np.bincount(keys % BUCKETS, minlength=BUCKETS)
-        met += model.share_met(keys) * len(keys)
+        counts += np.bincount(subwords(piece), minlength=BUCKETS)
+        keys = subword_keys(piece, (FAMILIAR,))
+        met += model.number_met(keys)
         n += len(keys)
-    return counts, met / max(1, n)
+    return counts, familiarity(met, n)
 
 
 def _some_words(text: str, words: int, key: int) -> str:
@@ -173,7 +183,7 @@ def fit(examples: list[tuple[str, str]], settings: Training = Training()) -> Mod
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0, np.zeros(WIDE // 8, np.uint8))
     rng = np.random.default_rng(settings.seed)
     place = {lang: i for i, lang in enumerate(languages)}
-    train, check, check_keys, unlike = [], [], [], []
+    train, check, check_points, unlike = [], [], [], []
     met = np.zeros(WIDE, bool)
     letters = np.unique(np.concatenate([code_points(text.lower()) for _, text in examples]))
     letters = letters[char_classes()[letters] == LETTER]
@@ -181,13 +191,13 @@ def fit(examples: list[tuple[str, str]], settings: Training = Training()) -> Mod
         parts = text.split()
         if i % 5 == 4:
             parts = parts[: 1 + int(rng.integers(0, max(1, len(parts))))]
-            unlike.append(subword_keys(_random_letters(code_points(text.lower()), letters, i)))
+            unlike.append(_random_letters(code_points(" ".join(parts).lower()), letters, i))
         keys = subword_keys(code_points(" ".join(parts).lower()))
         if not len(keys):
             continue
         if i % 5 == 4:
             check.append((place[lang], keys % BUCKETS))
-            check_keys.append(keys)
+            check_points.append(code_points(" ".join(parts).lower()))
         else:
             train.append((place[lang], keys % BUCKETS))
             met[keys] = True
@@ -222,12 +232,9 @@ def fit(examples: list[tuple[str, str]], settings: Training = Training()) -> Mod
     logits = np.array([scores[x].mean(axis=0) + bias for _, x in check]) if check else np.zeros((0, len(languages)))
     truth = np.array([y for y, _ in check], int)
     temperature = _temperature(logits, truth)
-    best = softmax(logits / temperature).max(axis=1) if len(check) else np.ones(1)
     model = Model(languages, scores.astype(np.float32), bias, temperature, 0.0, np.packbits(met, bitorder="little"))
-    if check_keys:
-        best = best * [model.share_met(keys) for keys in check_keys]
-    random = [model.share_met(keys) for keys in unlike if len(keys)]
-    return replace(model, threshold=_threshold(best, np.array(random), settings))
+    like, random = (np.array([measure(model, p)[1] for p in texts if len(p)]) for texts in (check_points, unlike))
+    return replace(model, threshold=_threshold(like, random, settings))
 
 
 def _random_letters(points: np.ndarray, letters: np.ndarray, seed: int) -> np.ndarray:
@@ -239,11 +246,11 @@ def _random_letters(points: np.ndarray, letters: np.ndarray, seed: int) -> np.nd
 
 
 def _threshold(own: np.ndarray, random: np.ndarray, settings: Training) -> float:
-    """Half of what nearly all validation texts score, or what nearly all texts of random letters stay under if that is
-    more; never over what nearly all validation texts score."""
-    usual = float(np.quantile(own, 1 - settings.kept))
-    unlike = float(np.quantile(random, settings.kept)) if len(random) else 0.0
-    return min(usual, max(settings.least_share * usual, unlike))
+    """A little over the familiarity that nearly all texts of random letters stay under, of all lengths that validation
+    texts have: ``margin`` of the way to what nearly all validation texts reach, and never over that."""
+    unlike = float(np.quantile(random, settings.unlike)) if len(random) else 0.0
+    usual = float(np.quantile(own, 1 - settings.kept)) if len(own) else unlike
+    return min(usual, unlike + settings.margin * (usual - unlike))
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -272,9 +279,8 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
         logits = counts.astype(np.float32) @ model.scores / max(1, counts.sum()) + model.bias
         p = softmax(logits / model.temperature)
         best = int(p.argmax())
-        score = float(min(1.0, p[best])) * share
-        langs.append(model.languages[best]), scores.append(score)
-        rejected.append(score < model.threshold)
+        langs.append(model.languages[best]), scores.append(float(min(1.0, p[best])) * share)
+        rejected.append(share < model.threshold)
     return langs, scores, rejected
 
 

@@ -175,3 +175,21 @@ def test_repeated_staged_rows_and_changes(spark):
     changes = spark.createDataFrame([(1, "c", 2), (1, "d", 1), (3, "e", 1), (3, "f", 2)], "k int, s string, at int")
     got = current.upsert(log, changes, ["k"], "version", ["at"])
     assert sorted(map(tuple, got.collect())) == [(1, "a", 4), (1, "c", 6), (1, "d", 5), (2, "b", 0), (3, "e", 0), (3, "f", 1)]
+
+
+def test_rows_without_a_key_wait_and_come_once(spark, folder):
+    root, none = f"{folder}/t", _rows(spark, 0, 0)
+    commits.create(spark, root)
+    entries = lambda *parities: spark.createDataFrame([(p,) for p in parities], "v string")
+    source = _rows(spark, 0, 1000).withColumn("v", F.when(F.col("id") % 4 == 0, "late").otherwise("known"))
+    ready, waiting = commits.increment_with_keys(source, root, none, entries("known"), "v", KEYS, "at")
+    waiting.select(*source.columns).write.parquet(f"{folder}/pending")
+    commits.commit(ready.select(*source.columns), root, KEYS, "at", "one")
+    pending = spark.read.parquet(f"{folder}/pending")
+    assert (ready.count(), pending.count()) == (750, 250)
+    ready, waiting = commits.increment_with_keys(source, root, pending, entries("known", "late"), "v", KEYS, "at")
+    commits.commit(ready.select(*source.columns), root, KEYS, "at", "two")
+    held = commits.read(spark, root, source.schema)
+    assert held.count() == held.select(*KEYS).distinct().count() == 1000 and waiting.count() == 0
+    ready, waiting = commits.increment_with_keys(source, root, pending, entries("known", "late"), "v", KEYS, "at")
+    assert ready.count() == waiting.count() == 0

@@ -145,3 +145,16 @@ def missing(rows: DataFrame, root: str, keys: Sequence[str], arrived: str, low=N
         return rows
     held = spark.read.schema(rows.schema).parquet(*paths)
     return rows.join(held.select(*keys), list(keys), "left_anti")
+
+
+def increment_with_keys(
+    source: DataFrame, root: str, pending: DataFrame, known_keys: DataFrame, key_column: str, keys: Sequence[str], arrived: str, overlap: str = "1 minute"
+) -> tuple[DataFrame, DataFrame]:
+    """(ready, pending) as :func:`tidewell.operators.current.increment_with_keys` gives them, against a table of commits.
+
+    Rows that waited may lie anywhere in time; of the table only files whose range and filter let them be there are read.
+    """
+    waiting = missing(pending.select(*source.columns), root, keys, arrived)
+    offered = increment(source, root, keys, arrived, overlap).unionByName(waiting).dropDuplicates(list(keys))
+    entries = known_keys.select(key_column).distinct()
+    return offered.join(entries, key_column, "left_semi"), offered.join(entries, key_column, "left_anti")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators import ledger as L
+from tidewell.operators.scan import numbered
 from tidewell.operators.totals import with_grand_total
 from tidewell.plans.allocation import allocate
 from tidewell.sources import keyed
@@ -93,9 +94,11 @@ def ledger_headers(spark: SparkSession, sf: str, faults: bool) -> DataFrame:
     )
 
 
-def flat_ledger(spark: SparkSession, sf: str, faults: bool = False) -> DataFrame:
-    # Stored: failures, totals, notes and the published rows all read the validated rows, not the records again.
-    return stored(L.flatten(ledger_records(spark, sf, faults), SPEC, F.lit(_FETCHED).cast("timestamp")), "ledger-rows")
+def flat_ledger(spark: SparkSession, sf: str, faults: bool = False, readers: int = 1) -> DataFrame:
+    """The validated rows. They are stored where several steps read them; for one reader only the columns it needs are
+    made, and nothing is written."""
+    flat = L.flatten(ledger_records(spark, sf, faults), SPEC, F.lit(_FETCHED).cast("timestamp"))
+    return stored(flat, "ledger-rows") if readers > 1 else flat
 
 
 def ledger(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,7 +171,7 @@ def ledger_flatten(spark, sf):
 )
 def ledger_checks(spark, sf):
     """Every fault put into the records and headers is named; months that lost a record or carry a wrong total differ."""
-    flat = flat_ledger(spark, sf, faults=True)
+    flat = flat_ledger(spark, sf, faults=True, readers=2)
     failures = L.all_failures(flat, ledger_headers(spark, sf, faults=True))
     names = {"entity_type": "unknown entityType", "metric_name": "unexpected metric", "metric_value": "bad metric value", "grand_total": "totals differ"}
     kind = F.when((F.col("rule") == "missing_field") & (F.col("field") == "entityId"), "record without entityId")
@@ -192,7 +195,7 @@ def ledger_control_totals(spark, sf):
           count(*) AS records, 0 AS duplicate_keys FROM led""",
 )
 def ledger_notes(spark, sf):
-    return L.notes(flat_ledger(spark, sf), SPEC)
+    return L.notes(flat_ledger(spark, sf, readers=2), SPEC)
 
 
 @query(
@@ -626,3 +629,15 @@ def ledger_append(spark, sf):
     for batch in ("a", "b", "a"):
         keyed.load_lines(spark, [f"{root}/in/{batch}"], schema, f"{root}/table", ["date", "entity_id"], batch)
     return keyed.newest(spark, f"{root}/table", schema, ["date", "entity_id"], ["fetched"]).drop("fetched")
+
+
+@query(
+    "ledger_report_order",
+    f"""WITH {ALLOC_SQL}, r AS (
+          SELECT service, 0 AS is_total, database, bytes FROM db UNION ALL SELECT service, 1, 'total', CAST(sum(bytes) AS BIGINT) FROM db GROUP BY service)
+        SELECT row_number() OVER (ORDER BY service, is_total, bytes DESC, database) AS position, service, database, bytes AS bytes_on_disk FROM r""",
+)
+def ledger_report_order(spark, sf):
+    """The rows of the storage report with the place at which the report has them."""
+    report = _allocation(spark, sf).storage_report().withColumn("_at", F.monotonically_increasing_id())
+    return numbered(report, [], ["_at"], "position").select("position", "service", "database", "bytes_on_disk")

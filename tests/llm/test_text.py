@@ -2,6 +2,7 @@ import base64
 import hashlib
 import itertools
 import random
+import time
 
 import helpers
 import numpy as np
@@ -328,3 +329,23 @@ def test_plain_sentences_stay_and_what_is_no_learned_script_goes(spark, sf):
     for words in (5, 20, 80):  # rejection of random letters by length
         texts = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzäöüéèñ"), rng.integers(2, 9))) for _ in range(words)) for _ in range(100)]
         assert sum(langid.predict(model, texts)[2]) >= 90
+
+
+def test_deep_nesting_takes_linear_time_and_changes_nothing():
+    """A megabyte of elements that nothing closes, and what ends an open paragraph however many elements are inside."""
+    for tag in ("<div>", "<b>", "<li>", '<p class="x">'):
+        times = []
+        for size in (250_000, 1_000_000):
+            page = "<article><p>first</p>" + "".join(tag + "w " * (i % 50 == 0) for i in range(size // len(tag))) + "</article>"
+            start = time.process_time()
+            blocks = html.blocks_of(page)
+            times.append(time.process_time() - start)
+            assert blocks[0].text == "first"
+        assert times[1] < 8 * times[0] + 0.5
+    known = html.Known(frozenset(("article", "p")), frozenset())
+    page = "".join(f"<x{i}><div></div>word" for i in range(60_000))
+    start = time.process_time()
+    assert len(html.blocks_of(page, known)) == 60_000 and time.process_time() - start < 30
+    many = "<p>one" + "<b>" * 20 + "<div>two</div>"
+    one, two = html.blocks_of(many)
+    assert (one.text, two.text, two.own, sorted(two.tags)) == ("one", "two", "div", ["div"])

@@ -10,6 +10,7 @@ other ones can be given to ``fit``.
 from __future__ import annotations
 
 import html as references
+import functools
 import math
 import random
 import re
@@ -48,36 +49,71 @@ _TOKENS = re.compile(r"[a-z]+")
 _WHITE = re.compile(r"\s+")
 
 
+@dataclass(frozen=True)
+class Known:
+    """Tags and name words that a model has weights for; others need not be remembered."""
+
+    tags: frozenset[str]
+    names: frozenset[str]
+
+
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
+    tags: frozenset[str]  # of the ancestors
     names: frozenset[str]  # words of the class, id and role attributes of the ancestors
+    own: str  # the nearest block element, and the one around it
+    parent: str
     linked: int = 0  # characters inside links
     label: int | None = None
 
 
 @dataclass
 class _Open:
+    """An open element with what it has in common with those around it. Elements that add nothing share their parent's
+    sets, so a stack of any depth is as large as its elements."""
+
     tag: str
+    tags: frozenset[str]
     names: frozenset[str]
+    own: str
+    parent: str
     label: int | None
+    block: int  # place of the nearest block element, itself included
+    wall: int  # the same without paragraphs
+
+
+_NOTHING = _Open("", frozenset(), frozenset(), "-", "-", None, -1, -1)
 
 
 @dataclass
 class _Page:
+    known: Known | None = None
     stack: list[_Open] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)  # of each tag's open elements in the stack
     blocks: list[Block] = field(default_factory=list)
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     breaks: int = 0
 
+    def nearest(self, tags) -> int:
+        """Place of the innermost open element with one of the tags; -1 if there is none."""
+        return max((found[-1] for t in tags if (found := self.places.get(t))), default=-1)
+
+    @property
+    def top(self) -> _Open:
+        return self.stack[-1] if self.stack else _NOTHING
+
+    def cut(self, at: int) -> None:
+        while len(self.stack) > at:
+            self.places[self.stack.pop().tag].pop()
+
     def say(self, text: str) -> None:
         if not text:
             return
         if text.strip():
             self.breaks = 0
-        if any(o.tag == "a" for o in self.stack):
+        if self.places.get("a"):
             self.linked += len(text.strip())
         self.pieces.append(text)
 
@@ -92,40 +128,49 @@ class _Page:
     def end(self) -> None:
         text = _WHITE.sub(" ", "".join(self.pieces)).strip()
         if text:
-            names = frozenset().union(*(o.names for o in self.stack)) if self.stack else frozenset()
-            label = next((o.label for o in reversed(self.stack) if o.label is not None), None)
-            self.blocks.append(Block(text, tuple(o.tag for o in self.stack), names, self.linked, label))
+            o = self.top
+            self.blocks.append(Block(text, o.tags, o.names, o.own, o.parent, self.linked, o.label))
         self.pieces, self.linked, self.breaks = [], 0, 0
 
     def open(self, tag: str, attributes: dict[str, str]) -> None:
         if tag in _BLOCK_TAGS:
             self.end()
-            if tag == "p" or tag in _ENDS:
-                self.close_open(*_ENDS.get(tag, (set(), set())))
-            if any(o.tag == "p" for o in self.stack[-8:]):  # a block ends an open paragraph
-                self.close_open({"p"}, _BLOCK_TAGS - {"p"})
+            if tag in _ENDS:
+                ended, within = _ENDS[tag]
+                if (at := self.nearest(ended)) > self.nearest(within):
+                    self.cut(at)
+            if (at := self.nearest(("p",))) > self.top.wall:  # a block ends an open paragraph
+                self.cut(at)
         if tag not in _VOID_TAGS:
-            text = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
-            mark = attributes.get("data-label")
-            self.stack.append(_Open(tag, frozenset(_TOKENS.findall(text.lower())), int(mark) if mark in ("0", "1") else None))
-
-    def close_open(self, tags: set[str], within) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag in tags:
-                del self.stack[i:]
-                return
-            if self.stack[i].tag in within:
-                return
+            self.push(tag, attributes)
+
+    def push(self, tag: str, attributes: dict[str, str]) -> None:
+        text = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
+        words, tags = frozenset(_TOKENS.findall(text.lower())), frozenset((tag,))
+        if self.known is not None:
+            words, tags = words & self.known.names, tags & self.known.tags
+        o, at, block = self.top, len(self.stack), tag in _BLOCK_TAGS
+        mark = attributes.get("data-label")
+        self.stack.append(
+            _Open(
+                tag,
+                o.tags if tags <= o.tags else o.tags | tags,
+                o.names if words <= o.names else o.names | words,
+                tag if block else o.own,
+                o.own if block else o.parent,
+                int(mark) if mark in ("0", "1") else o.label,
+                at if block else o.block,
+                at if block and tag != "p" else o.wall,
+            )
+        )
+        self.places.setdefault(tag, []).append(at)
 
     def close(self, tag: str) -> None:
         if tag in _BLOCK_TAGS:
             self.end()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
-            if tag not in _BLOCK_TAGS and self.stack[i].tag in _BLOCK_TAGS:
-                return  # an inline end tag does not end a block
+        at = self.nearest((tag,))
+        if at >= 0 and (tag in _BLOCK_TAGS or at > self.top.block):  # an inline end tag does not end a block
+            self.cut(at)
 
 
 def _attributes(page: str, at: int) -> tuple[dict[str, str], int, bool]:
@@ -149,13 +194,14 @@ def _attributes(page: str, at: int) -> tuple[dict[str, str], int, bool]:
     return found, at + 1, slash and at < n
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The leaf blocks of a page in order; comments and what is never shown are left out.
+def blocks_of(page: str, known: Known | None = None) -> list[Block]:
+    """The leaf blocks of a page in order; comments and what is never shown are left out, the text for browsers that
+    cannot show an object, sound, film or drawing too. Time and memory grow with the page, however it is nested.
 
     The tags of a head, which may be left out, hide nothing: what a head holds is hidden or empty by itself. In svg and
     math '/>' ends an element.
     """
-    out, at, n = _Page(), 0, len(page)
+    out, at, n = _Page(known), 0, len(page)
     hidden: str | None = None  # the element whose content is left out
     depth = 0
     while at < n:
@@ -184,7 +230,7 @@ def blocks_of(page: str) -> list[Block]:
         elif m := _NAME.match(page, lt + 1):
             tag = m[0].lower()
             attributes, at, slash = _attributes(page, m.end())
-            foreign = tag in _FOREIGN_TAGS or hidden == "svg" or any(o.tag == "math" for o in out.stack)
+            foreign = tag in _FOREIGN_TAGS or hidden == "svg" or bool(out.places.get("math"))
             if slash and foreign:
                 continue
             if hidden is not None:
@@ -218,11 +264,9 @@ def features(blocks: list[Block]) -> list[list[str]]:
         n = len(b.text)
         words = b.text.count(" ") + 1
         found = ["bias", f"words={min(7, int(math.log2(words)))}", f"linked={min(4, 5 * b.linked // max(1, n))}"]
-        found += [f"tag={t}" for t in dict.fromkeys(b.tags)]
-        found += [f"name={w}" for w in b.names]
-        blocky = [t for t in b.tags if t in _BLOCK_TAGS]
-        found.append(f"own={blocky[-1] if blocky else '-'}")
-        found.append(f"parent={blocky[-2] if len(blocky) > 1 else '-'}")
+        found += [f"tag={t}" for t in sorted(b.tags)]
+        found += [f"name={w}" for w in sorted(b.names)]
+        found += [f"own={b.own}", f"parent={b.parent}"]
         found.append(f"commas={min(3, b.text.count(','))}")
         if _SENTENCE_END.search(b.text):
             found.append("sentence")
@@ -249,6 +293,11 @@ class Field:
     weights: np.ndarray  # features x 2
     moves: np.ndarray  # from label, to label
 
+    @functools.cached_property
+    def known(self) -> Known:
+        starting = lambda kind: frozenset(f[len(kind) :] for f in self.index if f.startswith(kind))
+        return Known(starting("tag="), starting("name="))
+
 
 def _scores(model_index: dict[str, int], weights: np.ndarray, found: list[list[str]]) -> np.ndarray:
     out = np.zeros((len(found), 2))
@@ -329,7 +378,7 @@ def fit(pages: list[list[Block]], epochs: int = 12, rate: float = 0.3, decay: fl
 
 
 def main_text(model: Field, page: str | None) -> str:
-    blocks = blocks_of(page or "")
+    blocks = blocks_of(page or "", model.known)
     labels = viterbi(_scores(model.index, model.weights, features(blocks)), model.moves)
     return "\n".join(b.text for b, y in zip(blocks, labels) if y)
 

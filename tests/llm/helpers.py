@@ -61,6 +61,39 @@ def near_groups(prints):
     return groups_by(len(f), [(i, i + 1 + j) for i in range(len(f)) for j in np.flatnonzero(np.bitwise_count(f[i + 1 :] ^ f[i]) <= 4)])
 
 
+def shingle_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+    return frozenset(" ".join(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else frozenset()
+
+
+def similar(x, y):
+    return len(x & y) >= 0.8 * len(x | y)
+
+
+def wide_fingerprints(shingles):
+    """Both 64-bit fingerprints of a set of shingles, as one number of 128 bits."""
+    first = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    full, second = 2**64 - 1, []
+    for h in first:
+        h = (h ^ h >> 31) * 0x9E3779B97F4A7C15 & full
+        h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & full
+        second.append(h ^ h >> 32)
+    return sum(1 << 64 * k + b for k, hs in enumerate((first, second)) for b in range(64) if 2 * sum(x >> b & 1 for x in hs) > len(hs))
+
+
+def similar_groups(texts):
+    """Group number of each text: similar shingles, searched among those that near fingerprints connect, by all pairs."""
+    sets = [shingle_set(t) for t in texts]
+    prints = {s: wide_fingerprints(s) for s in set(sets)}
+    near = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 15 and (a ^ b).bit_count() <= 27
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if near(prints[sets[i]], prints[sets[j]])]
+    loose = groups_by(len(sets), pairs)
+    of = {}
+    for i, g in enumerate(loose):
+        of.setdefault(g, []).append(i)
+    return groups_by(len(sets), [(i, j) for m in of.values() for i in m for j in m if j < i and similar(sets[i], sets[j])])
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -79,7 +79,7 @@ def test_exact_stage(stages):
 
 def test_near_stage(stages):
     _, rows = stages
-    groups = helpers.near_groups([helpers.fingerprint(r.text) for r in rows[2]])
+    groups = helpers.similar_groups([r.text for r in rows[2]])
     least = {}
     for r, g in zip(rows[2], groups):
         least[g] = min(least.get(g, r.doc_id), r.doc_id)

@@ -185,6 +185,38 @@ def test_perplexity_against_brute_force(spark):
         assert bits[key] == pytest.approx(-np.log2(p(g)), rel=1e-4), g
 
 
+def test_characters_of_a_class_are_told_apart(spark):
+    """é and ñ, % and @, and letters eight code points apart share a class."""
+    texts = ["l'été est passé à 5 % près", "мама мыла раму", "état à 7 %"] * 3
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    changed = [texts[0].replace("é", "ñ"), texts[0].replace("%", "@"), "".join(chr(ord(c) + 8) if c != " " else c for c in texts[1])]
+    others = spark.createDataFrame([(100 + i, t, "x") for i, t in enumerate(changed)], df.schema)
+    for t, o in zip([texts[0], texts[0], texts[1]], changed):
+        assert (quality.symbols(base.code_points(t)) == quality.symbols(base.code_points(o))).all()
+    got = {r.doc_id: r.perplexity for r in quality.classify(df.union(others), df.select("doc_id")).collect()}
+    assert all(got[100 + i] > 1.05 * got[j] for i, j in enumerate((0, 0, 1)))
+
+    # Against counts in dictionaries, and all characters of a class together.
+    counted = base.stored(quality.count(df, "text"), "counts")
+    p = 2.0 ** -quality._character_bits(counted).astype(float)
+    kinds, own = quality._classed(np.arange(quality.POINTS, dtype=np.uint32))
+    one_each = np.unique(own)
+    assert np.allclose(np.bincount(kinds[one_each], weights=p[one_each], minlength=quality.SYMBOLS)[np.unique(kinds)], 1, atol=1e-5)
+    seen = {}
+    for t in texts:
+        for c in " ".join(t.split()):
+            seen[c] = seen.get(c, 0) + 1
+    d = quality._discounts(spark.createDataFrame(list(seen.items()), "gram string, c long"))
+    for c in "é%5мñ'a z":
+        group = {x: n for x, n in seen.items() if kinds[ord(x)] == kinds[ord(c)]}
+        total, cut = sum(group.values()), lambda n: d[min(n, 3) - 1]
+        members = len({own[x] for x in np.flatnonzero(kinds == kinds[ord(c)])})
+        expected = 1 / members
+        if group:
+            expected = sum(map(cut, group.values())) / total / members + ((group[c] - cut(group[c])) / total if c in group else 0)
+        assert p[ord(c)] == pytest.approx(expected, rel=1e-4), c
+
+
 def test_good_documents_stay(spark, sf):
     labels = base.table(spark, sf, "labels").select("doc_id", "quality", "toxic")
     got = quality.classify(base.table(spark, sf, "documents"), labels.where("quality = 1 AND toxic = 0")).join(labels, "doc_id").collect()

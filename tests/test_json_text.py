@@ -131,6 +131,34 @@ def test_no_depth_is_too_deep(spark):
     assert got == ['{"d":%s,"tel":null,"z":1}' % d for d in deep]
 
 
+def test_nested_texts_need_no_fold(spark, monkeypatch):
+    """Objects and arrays of up to 200 levels are cut by patterns alone; the fold is for deeper ones."""
+
+    def fold(text):
+        return F.raise_error(F.lit("folded")).cast("string")
+
+    nested = [left * depth + '"]}\\\\"' + right * depth for depth in (5, 60, 99) for left, right in SIDES]
+    record = ' {"user": [{"tel":"010", "d":%s},{ "n":1 }, [{"tel":1}]] ,"t\\u0065l":%s}\n'
+    raw, paths = [record % (d, d) for d in nested], J.path_array([("user", "tel")])
+    want = ['{"user":[{"d":%s},{ "n":1 },[{"tel":1}]],"t\\u0065l":%s}' % (d, d) for d in nested]
+    monkeypatch.setattr(J, "_deep_level", fold)
+    monkeypatch.setattr(J, "_checked_level", fold)
+    assert applied(spark, raw, lambda c: J.drop_paths(c, paths)) == want
+    assert all(applied(spark, raw, lambda c: J.has_path(c, paths))) and not any(applied(spark, want, lambda c: J.has_path(c, paths)))
+
+
+def test_nested_texts_fail_closed(spark):
+    """What a parser that stops at a value's end would take, and what only counts brackets would."""
+    d = "[" * 9 + "1" + "]" * 9
+    bad = ['{"a":{"tel":%s}}{}', '{"a":{"tel":%s}}]', '{"a":{"tel":%s},}', '{"a":{"tel":%s}', '{"a":{"tel":%s},"b"}', '{"a":{"tel":%s} "b":1}', '{"a":{"tel" %s}}', '{"a":{"tel":%s]}', '{"a":{"tel":[%s}}]', '{"tel":%s}{"tel":1}']
+    paths = J.path_array([("a", "tel")])
+    for column in (lambda c: J.drop_paths(c, paths), lambda c: J.drop_keys(c, ["tel"])):
+        assert applied(spark, [t % d for t in bad], column) == [None] * len(bad)
+    assert all(applied(spark, [t % d for t in bad], lambda c: J.has_path(c, paths)))
+    twice = '{"a":{"tel":%s,"x":1},"a":{"x":2,"tel":%s}}' % (d, d)
+    assert applied(spark, [twice], lambda c: J.drop_paths(c, paths)) == ['{"a":{"x":1},"a":{"x":2}}']
+
+
 # A text that is not JSON: one that may hold the name does not come through, the others come back.
 BROKEN = [
     "{", '{"tel":1', '{"tel" 1}', '{"tel":1,}', '{"tel":1}}', "[1,2", '{"a":[1}', "text", "{tel:1}", '{"tel":}', '{"tel":1}{', '{"tel":1} x', '{"tel":tru}', "{'tel':1}",

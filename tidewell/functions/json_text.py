@@ -3,7 +3,8 @@
 ``from_json`` + ``to_json`` re-renders what it reads (``1.50`` becomes ``1.5``, nested keys are sorted), which is not
 acceptable for a masking job. Here the commas and colons of the outermost level are marked with control characters,
 which no JSON text may hold; pairs and elements are then a split at the marks. Where the nesting is shallow one pattern
-checks the grammar and finds the marks. Otherwise the text is cut into brackets and what stands between them, and a
+checks the grammar and finds the marks. Where it is deeper a parser checks the grammar, and a pattern that only counts
+brackets finds the marks. Where that ends too, the text is cut into brackets and what stands between them, and a
 fold over these counts what is open, at any depth; it goes by blocks, so its cost grows with the text. All of it runs
 in the JVM.
 
@@ -69,6 +70,21 @@ def _unit(deepest: int) -> str:
     return unit
 
 
+#: Levels that a pattern counts in a text that is known to be JSON; each takes stack, so deeper ones are folded.
+_NESTED = 200
+
+
+def _entries(opening: str, key: str, closing: str) -> str:
+    """Group 1: one entry of a container after the other, then an empty one if the pattern came to the container's end."""
+    value = rf'(?:"(?:[^"\\]++|\\.)*+"|[^\s,:"\[\]{{}}]++|{_unit(_NESTED)})'
+    return rf"(?s)\G(?:(?:^{opening}|,){_GAP}({key}{value}){_GAP}|(?:^{opening}{_GAP})?{closing}\z)"
+
+
+_ELEMENTS = _entries(r"\[", "", r"\]")
+_PAIRS = _entries(r"\{", rf'"(?:[^"\\]++|\\.)*+"{_GAP}:{_GAP}', r"\}")
+#: Group 1: the raw key, group 2: the raw value of one pair.
+_ONE_PAIR = rf'(?s)^"((?:[^"\\]++|\\.)*+)"{_GAP}:{_GAP}(.*)'
+
 #: Group 1: the raw key, group 2: the raw value of an outermost pair.
 _PAIR = rf'(?s)"((?:[^"\\]++|\\.)*+)"{_GAP}:{_GAP}("(?:[^"\\]++|\\.)*+"|[^\s,"\[\]{{}}]++|{_unit(_LEVELS - 1)})'
 _WORDS = r'"(?:[^"\\]++|\\.)*+"|[,:]|[^\s,:"\[\]{}]++'
@@ -225,11 +241,36 @@ def _shallow_pairs(text: Column) -> Column:
     return F.zip_with(found(1), found(2), lambda raw, value: F.struct(raw.alias("raw"), _unescape(raw).alias("key"), value.alias("value")))
 
 
+def _nested_entries(text: Column, entries: str, known: bool) -> Column:
+    """Entries of a container of :data:`_NESTED` levels at most; NULL for any other text.
+
+    If the pattern came to the end, no bracket before the last one closes the first one. So a parser that takes the text,
+    and does not look behind the value's end, has taken all of it."""
+
+    def found(bare: Column) -> Column:
+        def checked(e: Column) -> Column:
+            reached = F.get(e, F.size(e) - F.lit(1)) == ""
+            whole = reached if known else reached & F.try_parse_json(bare).isNotNull()
+            return F.when(whole, F.slice(e, F.lit(1), F.size(e) - F.lit(1)))
+
+        return let(F.regexp_extract_all(bare, F.lit(entries), F.lit(1)), checked)
+
+    return let(F.trim(text, F.lit(" \t\n\r")), found)
+
+
+def _nested_pairs(text: Column, known: bool) -> Column:
+    def pair(entry: Column) -> Column:
+        part = lambda group: F.regexp_extract(entry, _ONE_PAIR, group)
+        return let(part(1), lambda raw: F.struct(raw.alias("raw"), _unescape(raw).alias("key"), part(2).alias("value")))
+
+    return F.transform(_nested_entries(text, _PAIRS, known), pair)
+
+
 def by_pairs(text: Column, pairs: Callable[[Column], Column], broken: Column, other: Column, known: bool = False) -> Column:
     """``pairs`` of the outermost pairs of an object; for what is not JSON ``broken``, for other values ``other``."""
     no_object = F.array(F.lit(None).cast("struct<raw:string,key:string,value:string>"))
-    slow = let(outer_level(text, known), lambda level: F.when(_is(level, "{"), _pairs(level)).when(level.isNotNull(), no_object))
-    found = F.when(text.rlike(_SHALLOW_OBJECT), _shallow_pairs(text)).otherwise(slow)
+    deeper = let(outer_level(text, known), lambda level: F.when(_is(level, "{"), _pairs(level)).when(level.isNotNull(), no_object))
+    found = F.when(text.rlike(_SHALLOW_OBJECT), _shallow_pairs(text)).otherwise(let(_nested_pairs(text, known), lambda p: F.coalesce(p, deeper)))
     # An object's pairs are never null, so a null one says that there is none.
     return let(found, lambda p: F.when(p.isNull(), broken).when((F.size(p) == 1) & F.get(p, F.lit(0)).isNull(), other).otherwise(pairs(p)))
 
@@ -277,7 +318,9 @@ def _closed(text: Column) -> Column:
 
 def _values(value: Column) -> Column:
     """The elements of an array; any other value alone."""
-    return F.when(_is(value, "["), _inside(outer_level(value, known=True))).otherwise(F.array(value))
+    deeper = let(outer_level(value, known=True), _inside)
+    elements = let(_nested_entries(value, _ELEMENTS, known=True), lambda e: F.coalesce(e, deeper))
+    return F.when(_is(value, "["), elements).otherwise(F.array(value))
 
 
 def _without(text: Column, names: Column, known: bool = False) -> Column:

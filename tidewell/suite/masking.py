@@ -228,10 +228,13 @@ _DEEP = 60
         SELECT o_orderkey, '{{"user":[{{"d":' || deep || ',"name":"a"}}],"amount":12.50}}' AS req, FALSE AS left_over FROM d""",
 )
 def mask_json_deep(spark, sf):
-    """A sensitive field beside values nested up to 60 levels of objects and arrays, and the check after it."""
+    """A sensitive field beside values nested up to 60 levels of objects and arrays, and the check after it.
+
+    The rows are dealt out first: a file of keys that is one task to read is much work to cut."""
     depth = (F.col("o_orderkey") % _DEEP).cast("int")
     deep = F.concat(F.repeat(F.lit('{"a":['), depth), F.lit("1.50"), F.repeat(F.lit("]}"), depth))
     raw = F.concat(F.lit('{"user":[{"phone":"010","d":'), deep, F.lit(',"name":"a"}],"amount":12.50}'))
     paths = json_text.path_array([("user", "phone")])
-    cleaned = table(spark, sf, "orders").select("o_orderkey", json_text.drop_paths(raw, paths).alias("req"))
+    dealt = table(spark, sf, "orders").select("o_orderkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cleaned = dealt.select("o_orderkey", json_text.drop_paths(raw, paths).alias("req"))
     return cleaned.withColumn("left_over", json_text.has_path(F.col("req"), paths))

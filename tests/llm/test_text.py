@@ -2,6 +2,7 @@ import base64
 import hashlib
 import itertools
 import random
+import re
 import time
 
 import helpers
@@ -217,6 +218,96 @@ def test_characters_of_a_class_are_told_apart(spark):
         assert p[ord(c)] == pytest.approx(expected, rel=1e-4), c
 
 
+def test_what_stands_before_a_character_counts(spark):
+    """é and ñ share a class and are as frequent as each other, but each has its own word before it."""
+    texts = ["tu é", "no ñ"] * 20
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts + ["tu ñ", "no é"])], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.perplexity for r in quality.classify(df, df.where("doc_id < 40").select("doc_id")).collect()}
+    assert (quality.symbols(base.code_points("tu ñ")) == quality.symbols(base.code_points("tu é"))).all()
+    assert got[40] > 1.005 * got[0] and got[41] > 1.005 * got[1]
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_character_ngrams_against_brute_force(spark, monkeypatch, wide):
+    """Sums of bits per text, one n-gram at a time, with counts in dictionaries; also of n-grams that fit no number."""
+    if wide:
+        monkeypatch.setattr(quality, "_coded", lambda characters, letters: None)
+    rng = random.Random(3)
+    words = ["thé", "Cat", "sat,", "on", "año", "мат", "中文", "\0", "a😀", " \n", "7%"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 30))) for _ in range(24)] + ["", "ЖЖ zzz 文中"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "id long, text string, lang string").repartition(3)
+    n, folded = quality.ORDER, [re.sub(r"\s+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), t)) for t in texts]
+    windows = lambda t: [(" " * (n - 1) + t)[i : i + n] for i in range(len(t))]
+    seen = {n: {}}
+    for t in folded[:16]:
+        for g in windows(t):
+            seen[n][g] = seen[n].get(g, 0) + 1
+    for k in range(n - 1, 1, -1):
+        seen[k] = {}
+        for g in seen[k + 1]:
+            seen[k][g[1:]] = seen[k].get(g[1:], 0) + 1
+    d = {k: quality._discounts(spark.createDataFrame(list(seen[k].items()), "gram string, c long")) for k in seen}
+    counted = base.stored(quality.count(df.where("id < 16"), "text"), "counts")
+    table, own_bits = quality._gram_bits(counted), quality._character_bits(counted)
+
+    def p(g, bottom):
+        if len(g) == 1:
+            return bottom
+        same = {x: c for x, c in seen[len(g)].items() if x[:-1] == g[:-1]}
+        if not same:
+            return p(g[1:], bottom)
+        cut = lambda c: d[len(g)][min(c, 3) - 1]
+        total = sum(same.values())
+        return (same[g] - cut(same[g]) if g in same else 0) / total + sum(map(cut, same.values())) / total * p(g[1:], bottom)
+
+    def bits(t):
+        out = 0.0
+        for g in windows(t):
+            key = 0
+            for s in (0 if c == " " else quality.symbols(base.code_points(c))[0] for c in g):
+                key = key * quality.SYMBOLS + int(s)
+            out -= np.log2(p(g, 2.0 ** -(float(table[key]) + float(own_bits[ord(g[-1])]))))
+        return out
+
+    ids, dealt = quality._dealt(df, df.select("id").where("id < 16"))
+    if wide:  # the workers have the module as it is
+        rows = [(0, (quality._ID, str(i))) for i in range(16)] + dealt.collect()
+        asked = spark.createDataFrame(list(quality._ask(0, iter(rows))), "kind int, part int, keys binary, counts binary")
+        parts = 1
+    else:
+        asked, parts = spark.createDataFrame(ids.union(dealt).mapPartitionsWithIndex(quality._ask), "kind int, part int, keys binary, counts binary"), dealt.getNumPartitions()
+    grams, classes = quality._counted(base.stored(asked, "asked"))
+    assert {r.gram: r.c for r in grams.where("c > 0").collect()} == seen[n]
+    assert {r.gram for r in grams.collect()} == {g for t in folded for g in windows(t)}
+    assert sorted(map(tuple, classes.collect())) == sorted(map(tuple, counted.collect()))
+    answers = quality._answers(grams, quality._character_levels(grams), parts)
+    shared = spark.sparkContext.broadcast((table, own_bits))
+    if wide:
+        class Here:
+            mapPartitions = staticmethod(lambda run: list(run(iter(rows[:16] + answers.collect() + rows[16:]))))
+
+        got = quality._scores(Here, shared)
+    else:
+        got = quality._scores(ids.union(answers).union(dealt), shared).collect()
+    assert len(got) == len(texts)
+    for i, _, good, b, count in got:
+        assert good == (i < 16) and count == len(folded[i])
+        assert b == pytest.approx(bits(folded[i]), rel=1e-5, abs=1e-6), texts[i]
+
+
+def test_parts_are_judged_alike(spark, sf, monkeypatch):
+    """Neither the number of parts nor the size of steps changes a result; rows without an id and repeated ids stay apart."""
+    docs = base.table(spark, sf, "documents").select("doc_id", "lang", "text").where("doc_id < 80")
+    df = docs.union(docs.where("doc_id < 3").withColumn("text", F.lit("another text of this id"))).union(docs.selectExpr("CAST(NULL AS LONG)", "lang", "text").limit(5))
+    good = docs.where("doc_id % 2 = 0").select(F.col("doc_id").cast("int"))
+    results = []
+    for parts, step in (("1", 1 << 20), ("7", 1000)):
+        monkeypatch.setattr(quality, "STEP", step)
+        monkeypatch.setattr(quality, "partitions", lambda _, n=int(parts): n)
+        results.append(sorted((r.doc_id or -1, round(r.perplexity, 4), round(r.threshold, 4), r.kept) for r in quality.classify(df, good).collect()))
+    assert results[0] == results[1] and len(results[0]) == df.count()
+
+
 def test_good_documents_stay(spark, sf):
     labels = base.table(spark, sf, "labels").select("doc_id", "quality", "toxic")
     got = quality.classify(base.table(spark, sf, "documents"), labels.where("quality = 1 AND toxic = 0")).join(labels, "doc_id").collect()
